@@ -1,0 +1,66 @@
+"""Keyed state of foreachBatch queries, kept as Parquet in a shared folder.
+
+Every micro-batch adds one small delta; every `compact_every` batches the deltas and the base are merged
+into the base of a new generation. A generation becomes visible through a marker written after it is
+complete, and a batch that is run again sees the generation it saw the first time, so retries after a lost
+driver or executor write the same files again.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+class DeltaState:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: StructType,
+        merge: Callable[[DataFrame], DataFrame],
+        compact_every: int = 50,
+    ):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.merge, self.compact_every = merge, compact_every
+        self._create_generation(-1, spark.createDataFrame([], schema), mode="ignore")
+
+    def _create_generation(self, generation: int, base: DataFrame, mode: str = "overwrite") -> None:
+        folder = f"{self.path}/gen={generation}"
+        base.write.mode(mode).parquet(f"{folder}/base")
+        # An empty delta makes the folder readable before its first real one.
+        empty = self.spark.createDataFrame([], self.schema)
+        empty.write.mode(mode).parquet(f"{folder}/deltas/batch_id=-1")
+        marker = self.spark.range(1).select(F.lit(generation).alias("generation"))
+        marker.write.mode(mode).parquet(f"{self.path}/markers/gen={generation}")
+
+    def _generation(self, before: int | None) -> int:
+        markers = self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.path}/markers")
+        if before is not None:
+            markers = markers.filter(F.col("generation") < before)
+        return markers.agg(F.max("generation")).first()[0]
+
+    def _parts(self, generation: int, before: int | None) -> DataFrame:
+        folder = f"{self.path}/gen={generation}"
+        base = self.spark.read.schema(self.schema).parquet(f"{folder}/base")
+        with_batch = StructType([*self.schema.fields]).add("batch_id", "long")
+        deltas = self.spark.read.schema(with_batch).parquet(f"{folder}/deltas")
+        if before is not None:
+            deltas = deltas.filter(F.col("batch_id") < before)
+        return base.unionByName(deltas.drop("batch_id"))
+
+    def entries(self, before: int | None = None) -> DataFrame:
+        """Unmerged entries, up to but without batch `before`."""
+        return self._parts(self._generation(before), before)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        return self.merge(self.entries(before))
+
+    def write(self, delta: DataFrame, batch_id: int) -> None:
+        generation = self._generation(batch_id)
+        delta.write.mode("overwrite").parquet(f"{self.path}/gen={generation}/deltas/batch_id={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self._create_generation(batch_id, self.merge(self._parts(generation, batch_id + 1)))
