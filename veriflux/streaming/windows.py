@@ -6,20 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veriflux.params import RiskParams
-from veriflux.plans.bronze import WATERMARK
 
 
-def windowed_activity(
-    transactions: DataFrame, params: RiskParams = RiskParams(), watermark: str = WATERMARK
-) -> DataFrame:
+def windowed_activity(transactions: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
     """Count, value and approximate distinct merchants per customer and tumbling window.
 
-    Streams cannot count distinct values exactly; a sketch keeps the state of a window small. In append
-    mode a window comes out once the watermark has passed its end.
+    `transactions` carries the watermark of the bronze layer. Streams cannot count distinct values
+    exactly; a sketch keeps the state of a window small. In append mode a window comes out once the
+    watermark has passed its end.
     """
     return (
-        transactions.withWatermark("event_timestamp", watermark)
-        .groupBy("customer_id", F.window("event_timestamp", params.velocity_window))
+        transactions.groupBy("customer_id", F.window("event_timestamp", params.velocity_window))
         .agg(
             F.count(F.lit(1)).alias("txn_count"),
             F.sum("amount").alias("total_amount"),

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriflux.functions.bands import is_high_risk_category
+
 AS_OF = "2024-01-31 00:00:00"
 LATER = "2024-02-10 00:00:00"
 
@@ -222,3 +224,62 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offset").alias("offset"),
         F.col("event_timestamp").cast("timestamp").alias("timestamp"),
     )
+
+
+def customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer landing rows with all columns of the file; every fortieth lacks its id."""
+    c = F.col("c_custkey")
+    devices = F.array(F.concat(F.lit("D"), c.cast("string")), F.concat(F.lit("E"), (c % 9).cast("string")))
+    return table(spark, sf_dir, "customer").select(
+        F.when(c % 40 != 0, F.concat(F.lit("CUST_"), c.cast("string"))).alias("customer_id"),
+        F.col("c_name").alias("full_name"),
+        F.concat(F.lit("c"), c.cast("string"), F.lit("@example.org")).alias("email"),
+        F.concat(F.lit("+91"), (c + 6000000000).cast("string")).alias("phone"),
+        F.lit("1980-05-17").alias("date_of_birth"),
+        pick(("VERIFIED", "PENDING", "FAILED", "EXPIRED"), c % 4).alias("kyc_status"),
+        pick(("ACTIVE", "SUSPENDED", "UNDER_REVIEW"), c % 3).alias("account_status"),
+        ((c % 64) / F.lit(64.0)).alias("risk_score"),
+        (c % 2000).cast("int").alias("account_age_days"),
+        F.lit("IN").alias("country"),
+        pick([row[0] for row in CITIES], c % len(CITIES)).alias("city"),
+        pick([row[1] for row in CITIES], c % len(CITIES)).alias("state"),
+        (c + 100000).cast("string").alias("pin_code"),
+        pick(("LOW", "MEDIUM", "HIGH", "ULTRA_HIGH"), c % 4).alias("income_band"),
+        F.concat(F.lit("FP"), c.cast("string")).alias("device_fingerprint"),
+        F.concat_ws("|", devices).alias("registered_devices"),
+        pick(PAYMENTS, c % len(PAYMENTS)).alias("preferred_payment"),
+        F.col("c_acctbal").alias("typical_transaction_amount"),
+        F.concat_ws("|", F.lit("FUEL"), F.col("c_mktsegment")).alias("typical_merchant_categories"),
+        (c % 50 == 0).alias("is_politically_exposed"),
+        F.lit("2020-01-01").alias("account_open_date"),
+        F.lit("2024-01-01").alias("last_login_date"),
+        (c % 11).cast("int").alias("failed_login_count"),
+        (c % 5 == 0).alias("is_synthetic_fraud_customer"),
+        F.when(c % 5 == 0, pick(FRAUD_TYPES, c % 4)).alias("fraud_type"),
+    )
+
+
+def merchant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchant landing rows with all columns of the file; every ninth lacks its id."""
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.when(s % 9 != 0, F.concat(F.lit("MERCH_"), s.cast("string"))).alias("merchant_id"),
+        F.col("s_name").alias("merchant_name"),
+        pick(CATEGORIES, s % len(CATEGORIES)).alias("merchant_category"),
+        (s + 4000).cast("string").alias("merchant_category_code"),
+        pick(("ONLINE", "PHYSICAL", "HYBRID"), s % 3).alias("business_type"),
+        F.lit("IN").alias("country"),
+        pick([row[0] for row in CITIES], s % len(CITIES)).alias("city"),
+        pick([row[1] for row in CITIES], s % len(CITIES)).alias("state"),
+        pick([row[3] for row in CITIES], s % len(CITIES)).alias("latitude"),
+        pick([row[4] for row in CITIES], s % len(CITIES)).alias("longitude"),
+        F.when(s % 2 == 0, "LOW").otherwise("HIGH").alias("risk_category"),
+        ((s % 64) / F.lit(64.0)).alias("historical_fraud_score"),
+        F.col("s_acctbal").alias("avg_transaction_amount"),
+        (s * 10).cast("int").alias("monthly_transaction_volume"),
+        (s % 3 == 0).alias("accepts_international"),
+        is_high_risk_category(pick(CATEGORIES, s % len(CATEGORIES))).alias("is_high_risk_category"),
+        ((s * 53) % 3650).cast("int").alias("merchant_tenure_days"),
+        ((s % 16) / F.lit(64.0)).alias("chargeback_rate"),
+        F.lit("2021-06-01").alias("registered_date"),
+    )

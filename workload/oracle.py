@@ -419,7 +419,6 @@ def _velocity_query(source: str, key: str, unit: str) -> str:
     return _with(TXN, f"source AS ({source})", grouped, select=select)
 
 
-_TXN_LIST = ", ".join(f'"{c}"' for c in TXN_COLUMNS)
 _TXN_LIST_TEXT_DATE = ", ".join(
     "CAST(transaction_date AS VARCHAR) AS transaction_date" if c == "transaction_date" else f'"{c}"'
     for c in TXN_COLUMNS
@@ -575,3 +574,94 @@ z AS (
     ]) + ")", select="""SELECT *, CASE WHEN lag_minutes > 60 THEN 'CRITICAL' WHEN lag_minutes > 30 THEN 'WARNING'
       ELSE 'HEALTHY' END AS health_status FROM h"""),
 }
+
+_C = "c_custkey"
+_CITY_NAMES, _CITY_STATES = [c[0] for c in CITIES], [c[1] for c in CITIES]
+
+CUSTOMER_FILES = f"""SELECT 'CUST_' || CAST({_C} AS VARCHAR) AS customer_id, c_name AS full_name,
+  'c' || CAST({_C} AS VARCHAR) || '@example.org' AS email, '+91' || CAST({_C} + 6000000000 AS VARCHAR) AS phone,
+  '1980-05-17' AS date_of_birth, {_pick(("VERIFIED", "PENDING", "FAILED", "EXPIRED"), f"{_C} % 4")} AS kyc_status,
+  {_pick(("ACTIVE", "SUSPENDED", "UNDER_REVIEW"), f"{_C} % 3")} AS account_status,
+  ({_C} % 64) / CAST(64 AS DOUBLE) AS risk_score, {_C} % 2000 AS account_age_days, 'IN' AS country,
+  {_pick(_CITY_NAMES, f"{_C} % {len(CITIES)}")} AS city, {_pick(_CITY_STATES, f"{_C} % {len(CITIES)}")} AS state,
+  CAST({_C} + 100000 AS VARCHAR) AS pin_code,
+  {_pick(("LOW", "MEDIUM", "HIGH", "ULTRA_HIGH"), f"{_C} % 4")} AS income_band,
+  'FP' || CAST({_C} AS VARCHAR) AS device_fingerprint,
+  'D' || CAST({_C} AS VARCHAR) || '|E' || CAST({_C} % 9 AS VARCHAR) AS registered_devices,
+  {_pick(PAYMENTS, f"{_C} % {len(PAYMENTS)}")} AS preferred_payment, c_acctbal AS typical_transaction_amount,
+  'FUEL|' || c_mktsegment AS typical_merchant_categories, {_C} % 50 = 0 AS is_politically_exposed,
+  '2020-01-01' AS account_open_date, '2024-01-01' AS last_login_date, {_C} % 11 AS failed_login_count,
+  {_C} % 5 = 0 AS is_synthetic_fraud_customer,
+  CASE WHEN {_C} % 5 = 0 THEN {_pick(FRAUD_TYPES, f"{_C} % 4")} END AS fraud_type,
+  'S3_CUSTOMERS' AS _source_system, CAST(NULL AS VARCHAR) AS _batch_id, 'BRONZE' AS _layer,
+  'fraud_engine_v1' AS _pipeline_name
+FROM customer WHERE {_C} % 40 <> 0"""
+
+_CATEGORY = _pick(CATEGORIES, f"s_suppkey % {len(CATEGORIES)}")
+
+MERCHANT_FILES = f"""SELECT CASE WHEN s_suppkey % 9 <> 0 THEN 'MERCH_' || CAST(s_suppkey AS VARCHAR) END AS merchant_id,
+  s_name AS merchant_name, {_CATEGORY} AS merchant_category,
+  CAST(s_suppkey + 4000 AS VARCHAR) AS merchant_category_code,
+  {_pick(("ONLINE", "PHYSICAL", "HYBRID"), "s_suppkey % 3")} AS business_type, 'IN' AS country,
+  {_pick(_CITY_NAMES, f"s_suppkey % {len(CITIES)}")} AS city,
+  {_pick(_CITY_STATES, f"s_suppkey % {len(CITIES)}")} AS state,
+  CAST({_pick([c[3] for c in CITIES], f"s_suppkey % {len(CITIES)}")} AS DOUBLE) AS latitude,
+  CAST({_pick([c[4] for c in CITIES], f"s_suppkey % {len(CITIES)}")} AS DOUBLE) AS longitude,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'LOW' ELSE 'HIGH' END AS risk_category,
+  (s_suppkey % 64) / CAST(64 AS DOUBLE) AS historical_fraud_score, s_acctbal AS avg_transaction_amount,
+  s_suppkey * 10 AS monthly_transaction_volume, s_suppkey % 3 = 0 AS accepts_international,
+  {HIGH_RISK.replace("merchant_category", _CATEGORY, 1)} AS is_high_risk_category,
+  (s_suppkey * 53) % 3650 AS merchant_tenure_days, (s_suppkey % 16) / CAST(64 AS DOUBLE) AS chargeback_rate,
+  '2021-06-01' AS registered_date
+FROM supplier"""
+
+_CUT = '"offset" % 50 = 0'
+_PARSED = ", ".join(
+    f"CASE WHEN NOT ({_CUT}) THEN "
+    + ("CAST(transaction_date AS VARCHAR)" if c == "transaction_date" else f'"{c}"') + f' END AS "{c}"'
+    for c in TXN_COLUMNS
+)
+
+FILES = {
+    "src_envelope_parse": _with(TXN, select=f"""SELECT {_PARSED}, CAST(NULL AS VARCHAR) AS _kafka_produced_at,
+      CAST(NULL AS VARCHAR) AS _schema_version,
+      CASE WHEN {_CUT} THEN '{{{{{{"transaction_id":"T' END AS _corrupt_record,
+      'payments' AS _kafka_topic, "offset" % 3 AS _kafka_partition, "offset" AS _kafka_offset,
+      event_timestamp AS _kafka_timestamp, 'KAFKA' AS _source_system,
+      CASE WHEN NOT ({_CUT}) THEN event_timestamp END AS event_timestamp, 'BRONZE' AS _layer,
+      'fraud_engine_v1' AS _pipeline_name FROM txn"""),
+    "src_parquet_incremental": _with(TXN, select=f"""SELECT {_TXN_LIST_TEXT_DATE}, 'S3_AUTO_LOADER' AS _source_system,
+      event_timestamp, 'BRONZE' AS _layer, 'fraud_engine_v1' AS _pipeline_name FROM txn"""),
+    "src_csv_customers": CUSTOMER_FILES,
+    "src_csv_merchants": f"""SELECT *, 'S3_MERCHANTS' AS _source_system, 'BRONZE' AS _layer,
+      'fraud_engine_v1' AS _pipeline_name FROM ({MERCHANT_FILES}) WHERE merchant_id IS NOT NULL""",
+    "src_csv_fx": _with(TXN, FX, select="""SELECT currency_code, CAST(rate_date AS VARCHAR) AS rate_date,
+      usd_multiplier, 'S3_FX_RATES' AS _source_system, 'BRONZE' AS _layer, 'fraud_engine_v1' AS _pipeline_name
+      FROM fx"""),
+    "src_json_schema": _with(MESSY, select=f"""SELECT * FROM (SELECT transaction_id, merchant_id, amount, "timestamp",
+      {_REASON} AS _quarantine_reason FROM messy) WHERE _quarantine_reason IS NOT NULL"""),
+    "src_file_lineage": _with(TXN, select="SELECT transaction_id, currency AS folder_currency FROM txn"),
+    "src_partition_pruned": _with(TXN, select="""SELECT transaction_id, CAST(transaction_date AS VARCHAR)
+      AS transaction_date, amount FROM txn WHERE transaction_date >= DATE '2024-01-20'"""),
+    "sink_csv_roundtrip": MERCHANT_FILES,
+    "sink_parquet_partitioned": _with(TXN, select=f"SELECT {_TXN_LIST_TEXT_DATE} FROM txn"),
+    "sink_envelope_encode": _with(TXN, select="""SELECT customer_id AS message_key, transaction_id, customer_id, amount,
+      "timestamp", is_fraud FROM txn"""),
+}
+
+STREAMS = {
+    "stream_alerts": BATCH["fraud_alerts"],
+    "stream_fx_join": BATCH["fx_join"],
+    # Windows that end after the final watermark have not come out yet.
+    "stream_tumbling": _with(TXN, select="""SELECT * FROM (
+      SELECT customer_id, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start,
+        CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,
+        count(*) AS txn_count, sum(amount) AS total_amount FROM txn GROUP BY ALL)
+      WHERE window_end <= (SELECT max(event_timestamp) FROM txn) - INTERVAL 30 MINUTES"""),
+    "dedup_watermark": FILES["sink_parquet_partitioned"],
+    "stream_scd1": BATCH["scd1_transactions"],
+    "stream_scd2": BATCH["scd2_customers"],
+    "stream_impossible_travel": BATCH["impossible_travel"],
+}
+
+SQL = {**BATCH, **FILES, **STREAMS}
