@@ -12,9 +12,9 @@ def _half_chord(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     dlat = (F.radians(lat2) - F.radians(lat1)) / 2
     dlon = (F.radians(lon2) - F.radians(lon1)) / 2
     chord = F.pow(F.sin(dlat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon), 2)
-    # Rounding can lift antipodal points just above 1, where asin is NaN. least() drops nulls, so a
-    # missing coordinate has to stay missing by hand.
-    return F.when(chord.isNotNull(), F.least(F.lit(1.0), chord))
+    # Rounding can lift antipodal points just above 1, where asin is NaN. Not least(), which would turn
+    # a missing coordinate into the largest distance.
+    return F.when(chord > 1, F.lit(1.0)).otherwise(chord)
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -136,11 +136,13 @@ def drop_duplicates(
     """One row per key.
 
     `watermark` bounds the state of a stream; batch frames have no state and fall back to the plain
-    form. `first_by` makes the surviving row of a batch frame the smallest in that order.
+    form. `first_by` makes the surviving row of a batch frame the smallest in that order, ties going by the
+    other columns. Copies are merged before the shuffle, so a much-repeated key stays cheap.
     """
     if watermark and df.isStreaming:
         return df.dropDuplicatesWithinWatermark(list(keys))
     if first_by and not df.isStreaming:
-        first = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), F.struct(*first_by)).alias("_row"))
-        return first.select("_row.*")
+        others = [c for c in df.columns if c not in {*keys, *first_by}]
+        first = df.groupBy(*keys).agg(F.min(F.struct(*first_by, *others)).alias("_row"))
+        return first.select(*keys, "_row.*").select(*df.columns)
     return df.dropDuplicates(list(keys))

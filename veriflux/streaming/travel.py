@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,8 +18,9 @@ ORDER = ("event_timestamp", "transaction_id")
 
 
 def last_per_customer(rows: DataFrame) -> DataFrame:
-    latest = F.max_by(F.struct(*TRAVEL_STATE), F.struct(*ORDER)).alias("_row")
-    return rows.groupBy("customer_id").agg(latest).select("customer_id", "_row.*")
+    others = [c for c in TRAVEL_STATE if c not in ORDER]
+    latest = F.max(F.struct(*ORDER, *others)).alias("_row")
+    return rows.groupBy("customer_id").agg(latest).select("customer_id", "_row.*").select("customer_id", *TRAVEL_STATE)
 
 
 class TravelStream:
@@ -43,6 +45,14 @@ class TravelStream:
         self.state = DeltaState(spark, f"{path}/state", schema, last_per_customer, compact_every)
 
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        # Read four times below. A lost cached block is read from the source again.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._pair(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _pair(self, batch: DataFrame, batch_id: int) -> None:
         customers = batch.select("customer_id").distinct()
         if fits_broadcast(customers):
             customers = F.broadcast(customers)

@@ -55,7 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(values: Sequence, index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    items = ", ".join(f"{v!r}D" if isinstance(v, float) else repr(v) for v in values)
+    return F.get(F.expr(f"array({items})"), index.cast("int"))
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

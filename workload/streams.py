@@ -62,7 +62,7 @@ def stream_scd1(spark: SparkSession, sf: str) -> DataFrame:
     changes = inputs.transaction_changes(spark, sf)
     # The records of a transaction arrive out of order, spread over several micro-batches.
     third = F.pmod(F.xxhash64("offset"), F.lit(3))
-    feed = _feed(changes, folder, [third == i for i in (2, 0, 1)], files_per_trigger=4).drop("_source_file")
+    feed = _feed(changes, folder, [third == i for i in (2, 0, 1)], files_per_trigger=1).drop("_source_file")
     exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
     upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, compact_every=2)
     drain(upsert.start())
@@ -73,7 +73,7 @@ def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "scd2")
     changes = inputs.customer_changes(spark, sf)
     half = F.pmod(F.xxhash64("change_id"), F.lit(2))
-    feed = _feed(changes, folder, [half == 1, half == 0], files_per_trigger=4).drop("_source_file")
+    feed = _feed(changes, folder, [half == 1, half == 0], files_per_trigger=1).drop("_source_file")
     upsert = Scd2Stream(feed, folder, ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY)
     drain(upsert.start())
     return present(upsert.history())
