@@ -10,7 +10,7 @@ from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
 from veriflux.streaming.run import drain, to_batches, to_files
-from veriflux.streaming.state import DeltaState
+from veriflux.streaming.state import SegmentState
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
@@ -112,8 +112,8 @@ def largest(rows):
     return rows.groupBy("k").agg(F.max("v").alias("v"))
 
 
-def state(spark, folder, compact_every=3):
-    return DeltaState(spark, folder, spark.createDataFrame([], "k string, v long").schema, largest, compact_every)
+def state(spark, folder, fanout=3):
+    return SegmentState(spark, folder, spark.createDataFrame([], "k string, v long").schema, largest, fanout)
 
 
 def test_state_merges_compacts_and_reopens(spark, folder):
@@ -121,13 +121,25 @@ def test_state_merges_compacts_and_reopens(spark, folder):
     for i in range(8):
         kept.write(spark.createDataFrame([("a", i), (f"b{i}", i)], "k string, v long"), i)
     for reopened in (kept, state(spark, folder)):
+        assert reopened.batches() == 8
         assert {r.k: r.v for r in reopened.read().collect()} == {"a": 7, **{f"b{i}": i for i in range(8)}}
-    # Only what came after the last compaction is still unmerged.
-    assert kept._generation(None) == 5
+    # Two merged segments and two single ones; "a" occurs once in each.
+    assert kept.entries().filter("k = 'a'").count() == 4
+
+
+def test_segments_cover_every_batch_once(spark, folder):
+    kept = state(spark, folder)
+    for batches in range(100):
+        covered = []
+        for path in kept._cover(batches):
+            size, start = map(int, path.rsplit("-", 2)[1:])
+            covered += range(start, start + size)
+        assert covered == list(range(batches))
+        assert len(kept._cover(batches)) <= 2 * 5
 
 
 def test_a_repeated_batch_sees_what_it_saw_before(spark, folder):
-    kept = state(spark, folder, compact_every=2)
+    kept = state(spark, folder, fanout=2)
     rows = {i: spark.createDataFrame([("a", 10 * i)], "k string, v long") for i in range(3)}
     for i in (0, 1):
         kept.write(rows[i], i)
@@ -144,7 +156,7 @@ def test_failed_batch_is_replayed_without_double_effect(spark, folder):
     feed = Feed(spark, folder, spark.createDataFrame([], schema).schema)
     feed.deliver(spark.createDataFrame([("k", 1, "a1")], schema))
     feed.deliver(spark.createDataFrame([("k", 2, None), ("m", 1, "b1")], schema))
-    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], exclude=["seq"], compact_every=1)
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], exclude=["seq"], fanout=2)
     real, calls = upsert.state.write, []
 
     def lose_the_commit(delta, batch_id):
@@ -169,7 +181,7 @@ def test_scd1_stream_with_deletes_equals_batch(spark, folder):
     for i in (2, 0, 3, 1):
         feed.deliver(rows.filter(F.pmod(F.xxhash64("seq"), F.lit(4)) == i))
     options = dict(exclude=["seq", "gone"], delete_when=F.col("gone"))
-    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], compact_every=2, **options)
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], fanout=2, **options)
     drain(upsert.start())
     batch = scd1(rows, ["id"], ["seq"], **options)
     assert sorted(map(tuple, upsert.table().collect())) == sorted(map(tuple, batch.collect()))
@@ -194,7 +206,7 @@ def test_travel_pairs_across_batches(spark, folder):
     feed = Feed(spark, folder, rows.schema)
     for low in range(1, 31, 6):
         feed.deliver(rows.filter(F.dayofmonth("event_timestamp").between(low, low + 5)))
-    travel = TravelStream(feed.stream(), folder, params, compact_every=2)
+    travel = TravelStream(feed.stream(), folder, params, fanout=2)
     drain(travel.start())
     batch = gold.impossible_travel(rows, params).drop("detected_at")
     found = travel.found().drop("detected_at")

@@ -1,9 +1,12 @@
 """Keyed state of foreachBatch queries, kept as Parquet in a shared folder.
 
-Every micro-batch adds one small delta; every `compact_every` batches the deltas and the base are merged
-into the base of a new generation. A generation becomes visible through a marker written after it is
-complete, and a batch that is run again sees the generation it saw the first time, so retries after a lost
-driver or executor write the same files again.
+Micro-batch n writes one small segment. Whenever the number of batches reaches a multiple of `fanout`,
+the last `fanout` segments of a size are merged into one of the next size, so a row is rewritten once per
+size and never on every compaction. Which segments cover batches 0..n-1 follows from n alone (its digits
+to base `fanout`): a batch that runs again after a lost driver or executor reads what it read the first
+time and writes the same files again, and nothing has to be listed.
+
+Merged segments are left in place for such reruns; they may be deleted by age.
 """
 
 from __future__ import annotations
@@ -14,53 +17,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+PROGRESS_SLOTS = 64
+
 
-class DeltaState:
+class SegmentState:
     def __init__(
         self,
         spark: SparkSession,
         path: str,
         schema: StructType,
         merge: Callable[[DataFrame], DataFrame],
-        compact_every: int = 50,
+        fanout: int = 32,
     ):
+        if fanout < 2:
+            raise ValueError("fanout must be at least 2")
         self.spark, self.path, self.schema = spark, path, schema
-        self.merge, self.compact_every = merge, compact_every
-        self._create_generation(-1, spark.createDataFrame([], schema), mode="ignore")
-
-    def _create_generation(self, generation: int, base: DataFrame, mode: str = "overwrite") -> None:
-        folder = f"{self.path}/gen={generation}"
-        base.write.mode(mode).parquet(f"{folder}/base")
-        # An empty delta makes the folder readable before its first real one.
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode(mode).parquet(f"{folder}/deltas/batch_id=-1")
-        marker = self.spark.range(1).select(F.lit(generation).alias("generation"))
-        marker.write.mode(mode).parquet(f"{self.path}/markers/gen={generation}")
-
-    def _generation(self, before: int | None) -> int:
-        markers = self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.path}/markers")
-        if before is not None:
-            markers = markers.filter(F.col("generation") < before)
-        return markers.agg(F.max("generation")).first()[0]
-
-    def _parts(self, generation: int, before: int | None) -> DataFrame:
-        folder = f"{self.path}/gen={generation}"
-        base = self.spark.read.schema(self.schema).parquet(f"{folder}/base")
-        with_batch = StructType([*self.schema.fields]).add("batch_id", "long")
-        deltas = self.spark.read.schema(with_batch).parquet(f"{folder}/deltas")
-        if before is not None:
-            deltas = deltas.filter(F.col("batch_id") < before)
-        return base.unionByName(deltas.drop("batch_id"))
+        self.merge, self.fanout = merge, fanout
+        self._mark(0, "start", mode="ignore")
+
+    def _mark(self, batches: int, slot: str, mode: str = "overwrite") -> None:
+        done = self.spark.range(1).select(F.lit(batches).cast("long").alias("batches"))
+        done.write.mode(mode).parquet(f"{self.path}/progress/{slot}")
+
+    def batches(self) -> int:
+        """Number of batches written so far."""
+        reader = self.spark.read.option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+        return reader.parquet(f"{self.path}/progress").agg(F.max("batches")).first()[0]
+
+    def _segment(self, size: int, start: int) -> str:
+        return f"{self.path}/segment-{size}-{start}"
+
+    def _cover(self, batches: int) -> list[str]:
+        size, start, paths = 1, 0, []
+        while size * self.fanout <= batches:
+            size *= self.fanout
+        while start < batches:
+            while size > batches - start:
+                size //= self.fanout
+            paths.append(self._segment(size, start))
+            start += size
+        return paths
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def entries(self, before: int | None = None) -> DataFrame:
-        """Unmerged entries, up to but without batch `before`."""
-        return self._parts(self._generation(before), before)
+        """Unmerged entries of the batches before `before`, or of all."""
+        return self._read(self._cover(self.batches() if before is None else before))
 
     def read(self, before: int | None = None) -> DataFrame:
         return self.merge(self.entries(before))
 
     def write(self, delta: DataFrame, batch_id: int) -> None:
-        generation = self._generation(batch_id)
-        delta.write.mode("overwrite").parquet(f"{self.path}/gen={generation}/deltas/batch_id={batch_id}")
-        if (batch_id + 1) % self.compact_every == 0:
-            self._create_generation(batch_id, self.merge(self._parts(generation, batch_id + 1)))
+        delta.write.mode("overwrite").parquet(self._segment(1, batch_id))
+        end, size = batch_id + 1, self.fanout
+        while end % size == 0:
+            part = size // self.fanout
+            parts = [self._segment(part, start) for start in range(end - size, end, part)]
+            self.merge(self._read(parts)).write.mode("overwrite").parquet(self._segment(size, end - size))
+            size *= self.fanout
+        self._mark(end, f"slot-{batch_id % PROGRESS_SLOTS}")

@@ -12,7 +12,7 @@ from veriflux.operators.sizing import fits_broadcast
 from veriflux.params import RiskParams
 from veriflux.plans.gold import TRAVEL_STATE, score_travel
 from veriflux.streaming.run import to_batches
-from veriflux.streaming.state import DeltaState
+from veriflux.streaming.state import SegmentState
 
 ORDER = ("event_timestamp", "transaction_id")
 
@@ -36,13 +36,13 @@ class TravelStream:
         path: str,
         params: RiskParams = RiskParams(),
         policy: SkewPolicy = SkewPolicy(),
-        compact_every: int = 50,
+        fanout: int = 32,
     ):
         self.transactions = transactions.select("customer_id", "amount", *TRAVEL_STATE)
         self.path, self.params, self.policy = path, params, policy
         spark = transactions.sparkSession
         schema = self.transactions.select("customer_id", *TRAVEL_STATE).schema
-        self.state = DeltaState(spark, f"{path}/state", schema, last_per_customer, compact_every)
+        self.state = SegmentState(spark, f"{path}/state", schema, last_per_customer, fanout)
 
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         # Read four times below. A lost cached block is read from the source again.

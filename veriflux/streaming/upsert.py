@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from veriflux.operators.cdc import current_rows, merge_winners, scd2, winners
 from veriflux.operators.ordered import SkewPolicy
 from veriflux.streaming.run import to_batches
-from veriflux.streaming.state import DeltaState
+from veriflux.streaming.state import SegmentState
 
 
 class Scd1Stream:
@@ -26,7 +26,7 @@ class Scd1Stream:
         exclude: Sequence[str] = (),
         ignore_null_updates: bool = True,
         delete_when: Column | None = None,
-        compact_every: int = 50,
+        fanout: int = 32,
     ):
         columns = [c for c in changes.columns if c not in {*keys, *exclude}]
         self.changes, self.keys, self.path = changes, list(keys), path
@@ -36,8 +36,8 @@ class Scd1Stream:
 
         spark = changes.sparkSession
         schema = partial(spark.createDataFrame([], changes.schema)).schema
-        self.state = DeltaState(
-            spark, f"{path}/state", schema, lambda rows: merge_winners(rows, keys), compact_every
+        self.state = SegmentState(
+            spark, f"{path}/state", schema, lambda rows: merge_winners(rows, keys), fanout
         )
         self._partial = partial
 
@@ -54,7 +54,7 @@ class Scd1Stream:
 class Scd2Stream:
     """History rows. Micro-batches append to a change log; the history is derived from the whole log.
 
-    A late record may split any earlier version, so the log keeps every record.
+    A late record may split any earlier version, so the log keeps every record and only merges its files.
     """
 
     def __init__(
@@ -65,18 +65,14 @@ class Scd2Stream:
         sequence: Sequence[str],
         track: Sequence[str],
         policy: SkewPolicy = SkewPolicy(),
+        fanout: int = 32,
     ):
         self.changes, self.path = changes, path
         self.keys, self.sequence, self.track, self.policy = keys, sequence, track, policy
+        self.log = SegmentState(changes.sparkSession, f"{path}/log", changes.schema, lambda rows: rows, fanout)
 
     def start(self, every: str | None = None) -> StreamingQuery:
-        def append(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
-
-        return to_batches(self.changes, append, f"{self.path}/checkpoint", every)
-
-    def log(self) -> DataFrame:
-        return self.changes.sparkSession.read.parquet(f"{self.path}/log").drop("batch_id")
+        return to_batches(self.changes, self.log.write, f"{self.path}/checkpoint", every)
 
     def history(self) -> DataFrame:
-        return scd2(self.log(), self.keys, self.sequence, self.track, self.policy)
+        return scd2(self.log.read(), self.keys, self.sequence, self.track, self.policy)

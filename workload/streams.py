@@ -64,7 +64,7 @@ def stream_scd1(spark: SparkSession, sf: str) -> DataFrame:
     third = F.pmod(F.xxhash64("offset"), F.lit(3))
     feed = _feed(changes, folder, [third == i for i in (2, 0, 1)], files_per_trigger=1).drop("_source_file")
     exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
-    upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, compact_every=2)
+    upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, fanout=2)
     drain(upsert.start())
     return present(upsert.table().select(*TRANSACTION_TABLE_COLUMNS))
 
@@ -87,7 +87,7 @@ def stream_impossible_travel(spark: SparkSession, sf: str) -> DataFrame:
     travel = None
     for period in (day <= 10, (day > 10) & (day <= 20), day > 20):
         feed = _feed(rows, folder, [period])
-        travel = TravelStream(feed, folder, PARAMS, compact_every=2)
+        travel = TravelStream(feed, folder, PARAMS, fanout=2)
         drain(travel.start())
     return present(travel.found())
 
