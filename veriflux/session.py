@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -21,7 +22,6 @@ def build_session(app: str = "veriflux", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -30,6 +30,21 @@ def build_session(app: str = "veriflux", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def sized_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a cluster job from the size of its largest shuffle.
+
+    Reducers start at about 256 MB, at least two per core; AQE merges the ones that turn out small. Input
+    splits of 256 MB keep the number of map outputs, and with it of shuffle blocks, in bounds.
+    """
+    target = 256 << 20
+    return {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, math.ceil(shuffle_bytes / target))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(target),
+    }
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 

@@ -47,7 +47,9 @@ def create_layers(spark: SparkSession, layers: Mapping[str, str] = LAYERS) -> Da
     return spark.sql("SHOW DATABASES")
 
 
-def save_table(df: DataFrame, name: str, by: Sequence[str] = ()) -> None:
-    """Materializes a dataset as a Parquet table."""
-    writer = df.write.mode("overwrite").format("parquet")
+def save_table(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Materializes a dataset as a Parquet table and returns it as stored."""
+    rows = df.hint("rebalance", *by) if by else df
+    writer = rows.write.mode("overwrite").format("parquet").option("maxRecordsPerFile", RECORDS_PER_FILE)
     (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
