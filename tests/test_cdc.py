@@ -75,6 +75,15 @@ def test_history_versions_and_untracked_columns(spark):
     assert got == [(1, 3, "PENDING", "x2"), (3, 5, None, "x4"), (5, None, "PENDING", "x5")]
 
 
+def test_history_with_deletes(spark):
+    rows = [("c", 1, "A", "x1", False), ("c", 3, None, None, True), ("c", 4, None, None, True),
+            ("c", 6, "A", "x6", False), ("d", 1, "A", "y", False), ("d", 2, "A", "y", True)]
+    for policy in (NEVER_HOT, ALWAYS_HOT):
+        history = scd2(changes(spark, rows), ["id"], ["seq"], ["a"], policy, delete_when=F.col("gone"))
+        got = sorted(((r.id, r.valid_from, r.valid_to, r.b) for r in history.collect()), key=str)
+        assert got == [("c", 1, 3, "x1"), ("c", 6, None, "x6"), ("d", 1, 2, "y")]
+
+
 def expected_history(rows):
     """Brute force over (id, seq, a, b)."""
     out = []

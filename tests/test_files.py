@@ -8,6 +8,7 @@ from conftest import SF
 from veriflux import schemas
 from veriflux.params import RiskParams
 from veriflux.plans import bronze, gold
+from veriflux.sinks.bus import publish
 from veriflux.sinks.files import create_layers, save_table, write_csv, write_partitioned
 from veriflux.sources import bus
 from veriflux.sources.files import infer_schema, read_files, stream_files
@@ -65,6 +66,8 @@ def test_envelope_replay_is_a_stream(spark, folder):
 def test_live_topic_needs_the_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         bus.subscribe(spark, "broker:9092", "payments")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        publish(inputs.landing(spark, SF), "broker:9092", "payments")
 
 
 def test_layers_and_tables(spark):

@@ -9,6 +9,7 @@ from veriflux.params import RiskParams
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
+from veriflux.streaming.alerts import alerts_once
 from veriflux.streaming.run import drain, to_batches, to_files
 from veriflux.streaming.state import SegmentState
 from veriflux.streaming.travel import TravelStream
@@ -213,6 +214,19 @@ def test_travel_pairs_across_batches(spark, folder):
     assert found.count() == batch.count() and found.exceptAll(batch).count() == 0
 
 
+def test_one_alert_per_transaction(spark, folder):
+    deliveries = [
+        [dict(transaction_id="A", is_fraud=False), dict(transaction_id="B", is_fraud=True, fraud_score=0.7)],
+        [dict(transaction_id="A", is_fraud=True, fraud_score=0.8), dict(transaction_id="B", is_fraud=True, fraud_score=0.9)],
+        [dict(transaction_id="A", is_fraud=True, fraud_score=0.95)],
+    ]
+    feed = Feed(spark, folder, txns(spark, {}).schema)
+    for rows in deliveries:
+        feed.deliver(txns(spark, *rows))
+    alerts = run(alerts_once(feed.stream().withWatermark("event_timestamp", "30 minutes")), folder)
+    assert {(r.transaction_id, r.fraud_score) for r in alerts.collect()} == {("A", 0.8), ("B", 0.7)}
+
+
 def test_alert_stream_stops_on_a_negative_score(spark, folder):
     rows = txns(spark, dict(is_fraud=True, fraud_score=0.7))
     feed = Feed(spark, folder, rows.schema)

@@ -19,10 +19,14 @@ def stamp_ingestion(df: DataFrame, source_system: str) -> DataFrame:
     })
 
 
-def type_event_time(df: DataFrame) -> DataFrame:
-    """Adds `event_timestamp` and types `transaction_date`; unreadable values become null."""
+def type_event_time(df: DataFrame, source_zone: str | None = None) -> DataFrame:
+    """Adds `event_timestamp` and types `transaction_date`; unreadable values become null.
+
+    Times without an offset are read in the session time zone (UTC), or in `source_zone`.
+    """
+    event_time = parse_timestamp(F.col("timestamp"))
     return df.withColumns({
-        "event_timestamp": parse_timestamp(F.col("timestamp")),
+        "event_timestamp": F.to_utc_timestamp(event_time, source_zone) if source_zone else event_time,
         "transaction_date": parse_date(F.col("transaction_date").cast("string")),
     })
 

@@ -87,24 +87,25 @@ def scd2(
     sequence: Sequence[str],
     track: Sequence[str],
     policy: SkewPolicy = SkewPolicy(),
+    delete_when: Column | None = None,
 ) -> DataFrame:
     """History rows with `valid_from` and `valid_to` (null while current).
 
     A new version starts where a tracked column differs from the record before; other columns show
-    their latest value within the version.
+    their latest value within the version. A delete ends the version before it and starts none.
     """
-    columns = [c for c in changes.columns if c not in keys]
+    output = [c for c in changes.columns if c not in keys]
+    deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
+    columns = [*output, "_deleted"]
     rows = changes.withColumns({
-        "_tie": null_safe_hash(*columns),
-        "_tracked": F.struct(*track),
-    })
+        "_tie": null_safe_hash(*output),
+        "_deleted": deleted,
+    }).withColumn("_tracked", F.struct("_deleted", *track))
     order = [*sequence, "_tie"]
     ordered = OrderedRows(rows, keys, order, policy).previous(["_tracked"])
     # The first record of a key has no predecessor, so its previous struct is null and differs.
     starts_here = ~F.col("_tracked").eqNullSafe(F.col("prev__tracked"))
-    ordered = ordered._with(
-        ordered.rows.withColumn("_start", F.when(starts_here, F.struct(*order)))
-    ).running_last("_start", "_version")
+    ordered = ordered.with_column("_start", F.when(starts_here, F.struct(*order))).running_last("_start", "_version")
     versions = (
         ordered.result()
         .groupBy(*keys, "_version")
@@ -114,8 +115,8 @@ def scd2(
     ends = OrderedRows(
         versions, keys, [f"_from_{c}" for c in order], policy, hot=ordered.hot, look_for_hot=False
     ).following([f"_from_{sequence[0]}"])
-    return ends.result().select(
-        *keys, *columns,
+    return ends.result().filter(~F.col("_deleted")).select(
+        *keys, *output,
         F.col(f"_from_{sequence[0]}").alias("valid_from"),
         F.col(f"next__from_{sequence[0]}").alias("valid_to"),
     )

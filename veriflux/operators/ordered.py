@@ -21,8 +21,9 @@ from veriflux.operators.sizing import MAX_BROADCAST_ROWS
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    # A key with more rows than this is sliced, each slice holding about this many rows.
-    hot_rows: int = 2_000_000
+    # A key with more rows than this is sliced, each slice holding about this many rows. None skips the
+    # count and promises that no key is hot.
+    hot_rows: int | None = 2_000_000
     # Largest hot-key table that is broadcast; a larger one is joined by shuffle.
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
 
@@ -53,7 +54,7 @@ class HotKeys:
     def find(cls, df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy) -> HotKeys | None:
         """One column-pruned count per key; None when no key is above the threshold."""
         position = _position(df, order)
-        if position is None:
+        if position is None or policy.hot_rows is None:
             return None
         sizes = df.select(*keys, position.alias("_pos")).groupBy(*keys).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi")
@@ -128,6 +129,9 @@ class OrderedRows:
         other.__dict__.update(self.__dict__, rows=rows)
         return other
 
+    def with_column(self, name: str, value: Column) -> OrderedRows:
+        return self._with(self.rows.withColumn(name, value))
+
     def previous(self, columns: Sequence[str], prefix: str = "prev_") -> OrderedRows:
         """Adds the values of the preceding row of the same key."""
         return self._neighbour(columns, prefix, following=False)

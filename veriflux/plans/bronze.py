@@ -17,15 +17,15 @@ def _late_bound(df: DataFrame) -> DataFrame:
     return df.withWatermark("event_timestamp", WATERMARK) if df.isStreaming else df
 
 
-def transactions_raw(envelopes: DataFrame) -> DataFrame:
+def transactions_raw(envelopes: DataFrame, source_zone: str | None = None) -> DataFrame:
     """Live messages, all kept; malformed bodies carry their text in the corrupt-record column."""
-    rows = type_event_time(stamp_ingestion(unpack(envelopes), "KAFKA"))
+    rows = type_event_time(stamp_ingestion(unpack(envelopes), "KAFKA"), source_zone)
     return add_audit_columns(_late_bound(rows), "BRONZE", PIPELINE)
 
 
-def transactions_landed(scan: DataFrame) -> DataFrame:
+def transactions_landed(scan: DataFrame, source_zone: str | None = None) -> DataFrame:
     """Historical transactions from landing files."""
-    rows = type_event_time(stamp_ingestion(scan, "S3_AUTO_LOADER"))
+    rows = type_event_time(stamp_ingestion(scan, "S3_AUTO_LOADER"), source_zone)
     return add_audit_columns(_late_bound(rows), "BRONZE", PIPELINE)
 
 
