@@ -36,6 +36,8 @@ def test_from_messages_to_gold(spark):
 
     direct = gold.impossible_travel(unified, PARAMS).drop("detected_at")
     assert tables["impossible_travel"].drop("detected_at").exceptAll(direct).count() == 0
+    failed = {r.rule: r.failed for r in silver["quality"].collect()}
+    assert failed["valid_currency"] == 0 and set(failed) == set(quality.silver_rules())
     profiles = tables["customer_profiles"]
     assert profiles.count() == profiles.select("customer_id").distinct().count()
     assert quality.report(profiles, quality.gold_rules()).filter("failed > 0").count() == 0

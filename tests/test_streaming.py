@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from conftest import SF
 from test_rules import txns
 from veriflux.operators import quality
-from veriflux.operators.cdc import drop_duplicates, scd1
+from veriflux.operators.cdc import drop_duplicates, scd1, scd2
+from veriflux.operators.ordered import SkewPolicy
 from veriflux.params import RiskParams
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
@@ -97,6 +98,17 @@ def test_tracked_rules_appear_in_the_progress(spark, folder):
     assert sum(c["amount_positive"] for c in counts) == 2
 
 
+def test_bronze_stream_reports_its_rules(spark, folder):
+    rows = inputs.landing(spark, SF).limit(10).withColumn("customer_id", F.lit(None).cast("string"))
+    feed = Feed(spark, folder, rows.schema)
+    feed.deliver(rows)
+    query = to_files(bronze.transactions_landed(feed.stream()), f"{folder}/o", f"{folder}/c")
+    drain(query)
+    seen = [p.observedMetrics["bronze_transactions_landed"]["customer_id_present"] for p in query.recentProgress
+            if p.observedMetrics]
+    assert sum(seen) == 10
+
+
 def test_union_of_two_streams(spark, folder):
     rows = ticks(spark, "2024-01-01 10:00:00")
     live, landed = Feed(spark, f"{folder}/a", rows.schema), Feed(spark, f"{folder}/b", rows.drop("merchant_id").schema)
@@ -201,6 +213,27 @@ def test_late_record_splits_a_version(spark, folder):
     assert got == [(1, 3, "A"), (3, 5, "B"), (5, None, "A")]
 
 
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=4)], ids=["plain", "hot"])
+def test_scd2_stream_equals_batch_in_any_order(spark, folder, policy):
+    """Some keys arrive in order, some late, some are deleted; one key has most of the records."""
+    rows = spark.range(160).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), (F.col("id") % 5).cast("string")))
+        .otherwise(F.when(F.col("id") % 20 == 1, None).otherwise("hot")).alias("key"),
+        F.col("id").alias("seq"),
+        F.pmod(F.xxhash64(F.col("id") / 4), F.lit(3)).alias("a"), F.col("id").cast("string").alias("b"),
+        (F.col("id") % 23 == 5).alias("gone"))
+    feed = Feed(spark, folder, rows.schema)
+    for low in range(0, 160, 40):
+        late = (F.col("key") == "k0") & F.col("seq").between(40, 60)
+        period = F.col("seq").between(low, low + 39)
+        feed.deliver(rows.filter(F.when(F.coalesce(late, F.lit(False)), F.lit(low == 120)).otherwise(period)))
+    upsert = Scd2Stream(feed.stream(), folder, ["key"], ["seq"], ["a"], policy, F.col("gone"), fanout=2)
+    drain(upsert.start())
+    batch = scd2(rows, ["key"], ["seq"], ["a"], delete_when=F.col("gone"))
+    assert sorted(map(str, upsert.history().collect())) == sorted(map(str, batch.collect()))
+    assert {r.key for r in upsert.resets.read(before=4).collect()} == {"k0"}
+
+
 def test_travel_pairs_across_batches(spark, folder):
     rows = inputs.transactions(spark, SF).select("customer_id", "amount", *gold.TRAVEL_STATE)
     params = RiskParams(as_of=inputs.AS_OF)

@@ -81,6 +81,43 @@ def scd1(
     return current_rows(state, keys)
 
 
+def change_rows(
+    changes: DataFrame, keys: Sequence[str], track: Sequence[str], delete_when: Column | None = None
+) -> DataFrame:
+    """Change records with what `versions` needs: a tie-break, a delete mark and the tracked struct."""
+    deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
+    return changes.withColumns({
+        "_tie": null_safe_hash(*[c for c in changes.columns if c not in keys]),
+        "_deleted": deleted,
+    }).withColumn("_tracked", F.struct("_deleted", *track))
+
+
+def versions(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy, origin: Column | None = None
+) -> DataFrame:
+    """One row per run of equal `_tracked` values, in the total order of the `order` columns.
+
+    It carries the columns of the last row of the run, the order values of its first row as `_from_*`, and
+    the `_from_*` of the following run as `_next` (null for the last one). `origin` replaces the order
+    values of a first row that stands for an older run.
+    """
+    columns = [c for c in rows.columns if c not in keys]
+    ordered = OrderedRows(rows, keys, order, policy).previous(["_tracked"])
+    # The first row of a key has no predecessor, so its previous struct is null and differs.
+    starts_here = ~F.col("_tracked").eqNullSafe(F.col("prev__tracked"))
+    begin = F.struct(*order) if origin is None else origin
+    ordered = ordered.with_column("_start", F.when(starts_here, begin)).running_last("_start", "_version")
+    runs = (
+        ordered.result()
+        .groupBy(*keys, "_version")
+        .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_row"))
+        .select(*keys, "_row.*", *[F.col("_version")[c].alias(f"_from_{c}") for c in order])
+    )
+    starts = [f"_from_{c}" for c in order]
+    ends = OrderedRows(runs, keys, starts, policy, hot=ordered.hot, look_for_hot=False)
+    return ends.following([starts[0]]).result().withColumnRenamed(f"next_{starts[0]}", "_next")
+
+
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -94,31 +131,15 @@ def scd2(
     A new version starts where a tracked column differs from the record before; other columns show
     their latest value within the version. A delete ends the version before it and starts none.
     """
-    output = [c for c in changes.columns if c not in keys]
-    deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
-    columns = [*output, "_deleted"]
-    rows = changes.withColumns({
-        "_tie": null_safe_hash(*output),
-        "_deleted": deleted,
-    }).withColumn("_tracked", F.struct("_deleted", *track))
-    order = [*sequence, "_tie"]
-    ordered = OrderedRows(rows, keys, order, policy).previous(["_tracked"])
-    # The first record of a key has no predecessor, so its previous struct is null and differs.
-    starts_here = ~F.col("_tracked").eqNullSafe(F.col("prev__tracked"))
-    ordered = ordered.with_column("_start", F.when(starts_here, F.struct(*order))).running_last("_start", "_version")
-    versions = (
-        ordered.result()
-        .groupBy(*keys, "_version")
-        .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_row"))
-        .select(*keys, "_row.*", *[F.col("_version")[c].alias(f"_from_{c}") for c in order])
-    )
-    ends = OrderedRows(
-        versions, keys, [f"_from_{c}" for c in order], policy, hot=ordered.hot, look_for_hot=False
-    ).following([f"_from_{sequence[0]}"])
-    return ends.result().filter(~F.col("_deleted")).select(
-        *keys, *output,
+    rows = change_rows(changes, keys, track, delete_when)
+    return history_rows(versions(rows, keys, [*sequence, "_tie"], policy), changes.columns, sequence)
+
+
+def history_rows(runs: DataFrame, columns: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    return runs.filter(~F.col("_deleted")).select(
+        *columns,
         F.col(f"_from_{sequence[0]}").alias("valid_from"),
-        F.col(f"next__from_{sequence[0]}").alias("valid_to"),
+        F.col("_next").alias("valid_to"),
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
@@ -15,6 +16,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Null-safe join on equally named keys, kept once; `right` is broadcast when it is small."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    side = F.broadcast(renamed) if fits_broadcast(renamed) else renamed
+    return left.join(side, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def lookup_left(
     facts: DataFrame,
     dimension: DataFrame,

@@ -11,6 +11,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
+from veriflux.operators import quality
 from veriflux.operators.cdc import current_versions
 from veriflux.operators.ordered import SkewPolicy
 from veriflux.params import RiskParams
@@ -38,6 +39,8 @@ def refresh_silver(
         silver.transactions_landed_cleaned(landed, params.as_of), "silver.transactions_landed_cleaned", day)
     rates = save_table(silver.exchange_rates(fx), "silver.exchange_rates")
     return {
+        # Tracked, not enforced: the live path keeps every transaction.
+        "quality": save_table(quality.report(cleaned, quality.silver_rules(params.as_of)), "silver.quality"),
         "transactions_cleaned": cleaned,
         "transactions_landed_cleaned": landed_cleaned,
         "exchange_rates": rates,
@@ -55,16 +58,20 @@ def refresh_gold(
     tables: dict[str, DataFrame],
     params: RiskParams = RiskParams(),
     policy: SkewPolicy = SkewPolicy(),
+    enforce_rules: bool = True,
 ) -> dict[str, DataFrame]:
-    """Silver tables in, stored gold tables out."""
+    """Silver tables in, stored gold tables out. With `enforce_rules` a bad profile stops the refresh."""
     pruned = replace(params, partition_column="transaction_date")
     unified = tables["transactions_unified"]
     alerts = save_table(gold.fraud_alerts(tables["transactions_cleaned"], params), "gold.fraud_alerts")
+    profiles = gold.customer_profiles(unified, current_versions(tables["customers"]), pruned)
+    if enforce_rules:
+        profiles = quality.fail_on_violation(profiles, quality.gold_rules())
     views = {
         "velocity": gold.velocity(unified, pruned),
         "impossible_travel": gold.impossible_travel(unified, pruned, policy),
         "merchant_scores": gold.merchant_scores(unified, tables["merchants"], pruned),
-        "customer_profiles": gold.customer_profiles(unified, current_versions(tables["customers"]), pruned),
+        "customer_profiles": profiles,
         "aml_structuring": gold.aml_structuring(unified, params),
         "daily_anomalies": monitoring.daily_anomalies(unified, params),
         "ops_kpis": gold.ops_kpis(unified),

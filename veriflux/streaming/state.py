@@ -28,12 +28,14 @@ class SegmentState:
         schema: StructType,
         merge: Callable[[DataFrame], DataFrame],
         fanout: int = 32,
+        track_progress: bool = True,
     ):
         if fanout < 2:
             raise ValueError("fanout must be at least 2")
         self.spark, self.path, self.schema = spark, path, schema
-        self.merge, self.fanout = merge, fanout
-        self._mark(0, "start", mode="ignore")
+        self.merge, self.fanout, self.track_progress = merge, fanout, track_progress
+        if track_progress:
+            self._mark(0, "start", mode="ignore")
 
     def _mark(self, batches: int, slot: str, mode: str = "overwrite") -> None:
         done = self.spark.range(1).select(F.lit(batches).cast("long").alias("batches"))
@@ -67,6 +69,10 @@ class SegmentState:
         """Unmerged entries of the batches before `before`, or of all."""
         return self._read(self._cover(self.batches() if before is None else before))
 
+    def written(self, batch_id: int) -> DataFrame:
+        """The entries of one batch, as stored."""
+        return self._read([self._segment(1, batch_id)])
+
     def read(self, before: int | None = None) -> DataFrame:
         return self.merge(self.entries(before))
 
@@ -78,4 +84,5 @@ class SegmentState:
             parts = [self._segment(part, start) for start in range(end - size, end, part)]
             self.merge(self._read(parts)).write.mode("overwrite").parquet(self._segment(size, end - size))
             size *= self.fanout
-        self._mark(end, f"slot-{batch_id % PROGRESS_SLOTS}")
+        if self.track_progress:
+            self._mark(end, f"slot-{batch_id % PROGRESS_SLOTS}")

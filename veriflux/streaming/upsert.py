@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from veriflux.operators.cdc import current_rows, merge_winners, scd2, winners
+from veriflux.operators.cdc import change_rows, current_rows, history_rows, merge_winners, versions, winners
 from veriflux.operators.ordered import SkewPolicy
+from veriflux.operators.sizing import match
 from veriflux.streaming.run import to_batches
 from veriflux.streaming.state import SegmentState
 
 
+def _unmerged(rows: DataFrame) -> DataFrame:
+    return rows
+
+
 class Scd1Stream:
     """Current rows per key. A micro-batch costs its own size: only its winners are written."""
 
@@ -52,9 +58,11 @@ class Scd1Stream:
 
 
 class Scd2Stream:
-    """History rows. Micro-batches append to a change log; the history is derived from the whole log.
+    """History rows, kept up to date by work in proportion to the micro-batch.
 
-    A late record may split any earlier version, so the log keeps every record and only merges its files.
+    Closed versions are appended, and the open version of each key is state. Records that follow the open
+    version extend or close it. For a key with a late record, which may split any version, the history is
+    derived again from the log; its earlier closed versions are cancelled by a reset mark.
     """
 
     def __init__(
@@ -65,14 +73,70 @@ class Scd2Stream:
         sequence: Sequence[str],
         track: Sequence[str],
         policy: SkewPolicy = SkewPolicy(),
+        delete_when: Column | None = None,
         fanout: int = 32,
     ):
-        self.changes, self.path = changes, path
-        self.keys, self.sequence, self.track, self.policy = keys, sequence, track, policy
-        self.log = SegmentState(changes.sparkSession, f"{path}/log", changes.schema, lambda rows: rows, fanout)
+        self.changes, self.path, self.policy = changes, path, policy
+        self.keys, self.sequence, self.order = list(keys), list(sequence), [*sequence, "_tie"]
+        self.columns = changes.columns
+        self._prepare = lambda rows: change_rows(rows, keys, track, delete_when)
+        spark = changes.sparkSession
+        rows = self._prepare(spark.createDataFrame([], changes.schema))
+        # Planned on no rows, for the schema.
+        runs = versions(rows, self.keys, self.order, SkewPolicy(hot_rows=None)).withColumn("_batch", F.lit(0))
+        reset = runs.select(*keys, "_batch").schema
+        # `open` is written last in a batch and says how many batches are complete.
+        self.open = SegmentState(spark, f"{path}/open", runs.schema, self._latest, fanout)
+        self.log = SegmentState(spark, f"{path}/log", rows.schema, _unmerged, fanout, False)
+        self.closed = SegmentState(spark, f"{path}/closed", runs.schema, _unmerged, fanout, False)
+        self.resets = SegmentState(spark, f"{path}/resets", reset, self._latest, fanout, False)
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        """The entry of the last micro-batch per key."""
+        others = [c for c in rows.columns if c not in {*self.keys, "_batch"}]
+        last = rows.groupBy(*self.keys).agg(F.max_by(F.struct("_batch", *others), "_batch").alias("_entry"))
+        return last.select(*self.keys, "_entry.*").select(*rows.columns)
+
+    def _apply(self, batch: DataFrame, batch_id: int) -> None:
+        self.log.write(self._prepare(batch), batch_id)
+        rows = self.log.written(batch_id)
+        first = rows.groupBy(*self.keys).agg(F.min(F.struct(*self.order)).alias("_first"))
+        touched = match(self.open.entries(before=batch_id), first.select(*self.keys), self.keys, "left_semi")
+        # Both are read several times below; lost cached blocks are computed again.
+        known = match(self._latest(touched), first, self.keys, "inner").persist(StorageLevel.MEMORY_AND_DISK)
+        runs = self._runs(rows, known, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            late = known.filter(self._is_late()).select(*self.keys, F.lit(batch_id).alias("_batch"))
+            self.resets.write(late, batch_id)
+            self.closed.write(runs.filter(F.col("_next").isNotNull()), batch_id)
+            self.open.write(runs.filter(F.col("_next").isNull()), batch_id)
+        finally:
+            runs.unpersist()
+            known.unpersist()
+
+    def _is_late(self) -> Column:
+        return F.struct(*self.order) >= F.col("_first")
+
+    def _runs(self, rows: DataFrame, known: DataFrame, batch_id: int) -> DataFrame:
+        """Versions of the touched keys, from the open version on, or all of them for late keys."""
+        own = F.struct(*self.order).alias("_origin")
+        origin = F.struct(*[F.col(f"_from_{c}").alias(c) for c in self.order]).alias("_origin")
+        # An open version that is only extended stands in the run as its own last record.
+        seeds = known.filter(~self._is_late()).select(*rows.columns, origin)
+        late = known.filter(self._is_late()).select(*self.keys)
+        replayed = match(self.log.entries(before=batch_id), late, self.keys, "left_semi").select("*", own)
+        run = rows.select("*", own).unionByName(seeds).unionByName(replayed)
+        runs = versions(run, self.keys, self.order, self.policy, origin=F.col("_origin"))
+        return runs.drop("_origin").withColumn("_batch", F.lit(batch_id))
 
     def start(self, every: str | None = None) -> StreamingQuery:
-        return to_batches(self.changes, self.log.write, f"{self.path}/checkpoint", every)
+        return to_batches(self.changes, self._apply, f"{self.path}/checkpoint", every)
 
     def history(self) -> DataFrame:
-        return scd2(self.log.read(), self.keys, self.sequence, self.track, self.policy)
+        done = self.open.batches()
+        resets = self.resets.read(before=done).withColumnRenamed("_batch", "_reset")
+        closed = self.closed.entries(before=done)
+        cancelled = F.coalesce(F.col("_batch") < F.col("_reset"), F.lit(False))
+        valid = match(closed, resets, self.keys, "left").filter(~cancelled).select(*closed.columns)
+        runs = valid.unionByName(self.open.read(before=done))
+        return history_rows(runs, self.columns, self.sequence)
