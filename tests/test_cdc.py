@@ -99,7 +99,7 @@ def expected_history(rows):
     return sorted(out, key=str)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("kkkl"), st.integers(0, 200), st.sampled_from(["x", "y", None])),
                 min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1])))
 def test_history_equals_brute_force_with_and_without_hot_keys(spark, drawn):

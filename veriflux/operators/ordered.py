@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from veriflux.operators.sizing import MAX_BROADCAST_ROWS
+from veriflux.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast
+from veriflux.session import shared_dir
+
+SAMPLED_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -52,29 +55,42 @@ class HotKeys:
 
     @classmethod
     def find(cls, df: DataFrame, keys: Sequence[str], order: str, policy: SkewPolicy) -> HotKeys | None:
-        """One column-pruned count per key; None when no key is above the threshold."""
+        """Counts the rows per key on a column-pruned sample; None when no key is above the threshold.
+
+        The sample only decides which keys are sliced and where. Every row gets exactly one slice, in
+        order, whatever the answer, so results do not depend on it; but all branches of a plan have to see
+        the same answer, which is why it is stored.
+        """
         position = _position(df, order)
         if position is None or policy.hot_rows is None:
             return None
-        sizes = df.select(*keys, position.alias("_pos")).groupBy(*keys).agg(
+        rows = df.select(*keys, position.alias("_pos"))
+        # A key at the threshold is expected SAMPLED_ROWS times in the sample.
+        fraction = min(1.0, SAMPLED_ROWS / policy.hot_rows)
+        if fraction < 1:
+            rows = rows.sample(fraction, seed=0)
+        sizes = rows.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi")
         )
-        hot = sizes.filter(F.col("_n") > policy.hot_rows).select(
+        limit = policy.hot_rows * fraction
+        hot = sizes.filter(F.col("_n") > limit).select(
             *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            "_lo", "_hi", F.ceil(F.col("_n") / policy.hot_rows).alias("_slices"),
+            "_lo", "_hi", F.ceil(F.col("_n") / F.lit(limit)).alias("_slices"),
         )
-        found = hot.limit(policy.max_broadcast_rows + 1).count()
-        return cls(hot, found <= policy.max_broadcast_rows) if found else None
+        if not hot.limit(1).count():
+            return None
+        path = shared_dir(df.sparkSession, "hot-keys")
+        hot.write.parquet(path)
+        stored = df.sparkSession.read.schema(hot.schema).parquet(path)
+        return cls(stored, fits_broadcast(stored, policy.max_broadcast_rows))
 
     def slice(self, df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
         """Adds `_slice`, non-decreasing in `order`; null for keys that are not hot."""
         side = F.broadcast(self.table) if self.broadcast else self.table
         share = (_position(df, order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-        index = F.when(
-            F.col("_slices").isNotNull(),
-            # A null order value sorts first, so it belongs to the first slice.
-            F.coalesce(F.greatest(F.lit(0), F.floor(share * F.col("_slices"))), F.lit(0)),
-        )
+        inside = F.least(F.col("_slices") - 1, F.greatest(F.lit(0), F.floor(share * F.col("_slices"))))
+        # A null order value sorts first, so it belongs to the first slice.
+        index = F.when(F.col("_slices").isNotNull(), F.when(share.isNull(), F.lit(0)).otherwise(inside))
         joined = df.join(side, _same(df, self.table, [(k, f"_hot_{k}") for k in keys]), "left")
         return joined.withColumn("_slice", index).drop(
             "_lo", "_hi", "_slices", *[f"_hot_{k}" for k in keys]
