@@ -11,18 +11,25 @@ from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
 
 
+def _rank(keys: Sequence[str], sequence: Sequence[str], columns: Sequence[str], unique: bool) -> Column:
+    """What orders the records of a key. Unless the sequence is unique per key, a hash of the record
+    decides between equals, so that all columns come from the same one."""
+    if not unique:
+        return F.struct(*sequence, null_safe_hash(*keys, *columns).alias("_tie"))
+    return F.struct(*sequence) if len(sequence) > 1 else F.col(sequence[0])
+
+
 def winners(
     changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], columns: Sequence[str],
-    ignore_nulls: bool = True, delete_when: Column | None = None,
+    ignore_nulls: bool = True, delete_when: Column | None = None, unique_sequence: bool = False,
 ) -> DataFrame:
     """Per key and column the struct (seq, value) with the highest sequence.
 
     max over structs is associative, so these partial states merge in any order: over map tasks, over
     micro-batches, and over late records.
     """
-    seq = F.struct(*sequence, null_safe_hash(*keys, *columns).alias("_tie"))
     deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
-    rows = changes.withColumns({"_seq": seq, "_deleted": deleted})
+    rows = changes.withColumns({"_seq": _rank(keys, sequence, columns, unique_sequence), "_deleted": deleted})
     live = ~F.col("_deleted")
     return rows.groupBy(*keys).agg(
         F.max(F.when(live, F.col("_seq"))).alias("_live"),
@@ -63,22 +70,23 @@ def scd1(
     exclude: Sequence[str] = (),
     ignore_null_updates: bool = True,
     delete_when: Column | None = None,
+    unique_sequence: bool = False,
 ) -> DataFrame:
-    """Current row per key: for every column the latest value, nulls not overwriting by default."""
+    """Current row per key: for every column the latest value, nulls not overwriting by default.
+
+    `unique_sequence` says that no two different records of a key share a sequence; it saves hashing every
+    record, and with it reading columns that nobody selects.
+    """
     columns = _payload(changes, keys, exclude)
-    if delete_when is None and ignore_null_updates:
-        seq = F.struct(*sequence, null_safe_hash(*keys, *columns).alias("_tie"))
-        known = [F.col(c).isNotNull() for c in columns]
-        return changes.withColumn("_seq", seq).groupBy(*keys).agg(*[
-            F.max_by(F.col(c), F.when(has_value, F.col("_seq"))).alias(c)
-            for c, has_value in zip(columns, known)
+    if delete_when is not None:
+        state = winners(changes, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence)
+        return current_rows(state, keys)
+    rows = changes.withColumn("_seq", _rank(keys, sequence, columns, unique_sequence)).groupBy(*keys)
+    if ignore_null_updates:
+        return rows.agg(*[
+            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_seq"))).alias(c) for c in columns
         ])
-    if delete_when is None:
-        seq = F.struct(*sequence, null_safe_hash(*keys, *columns).alias("_tie"))
-        latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*columns), seq).alias("_row"))
-        return latest.select(*keys, "_row.*")
-    state = winners(changes, keys, sequence, columns, ignore_null_updates, delete_when)
-    return current_rows(state, keys)
+    return rows.agg(F.max_by(F.struct(*columns), "_seq").alias("_row")).select(*keys, "_row.*")
 
 
 def change_rows(

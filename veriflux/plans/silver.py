@@ -26,9 +26,12 @@ CUSTOMER_HISTORY = (
 
 
 def transactions_cleaned(changes: DataFrame, sequence: Sequence[str] = ("_kafka_offset",)) -> DataFrame:
-    """Current row per transaction; the sequence column may be any of the dropped ones."""
+    """Current row per transaction.
+
+    The messages of a customer share a topic partition, so an offset occurs once per transaction.
+    """
     dropped = [c for c in (*TRANSPORT_COLUMNS, *sequence) if c in changes.columns]
-    return scd1(changes, ["transaction_id"], sequence, exclude=dropped)
+    return scd1(changes, ["transaction_id"], sequence, exclude=dropped, unique_sequence=True)
 
 
 def merchants_current(changes: DataFrame, sequence: Sequence[str] = ("_ingested_at",)) -> DataFrame:

@@ -32,13 +32,14 @@ class Scd1Stream:
         exclude: Sequence[str] = (),
         ignore_null_updates: bool = True,
         delete_when: Column | None = None,
+        unique_sequence: bool = False,
         fanout: int = 32,
     ):
         columns = [c for c in changes.columns if c not in {*keys, *exclude}]
         self.changes, self.keys, self.path = changes, list(keys), path
 
         def partial(rows: DataFrame) -> DataFrame:
-            return winners(rows, keys, sequence, columns, ignore_null_updates, delete_when)
+            return winners(rows, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence)
 
         spark = changes.sparkSession
         schema = partial(spark.createDataFrame([], changes.schema)).schema

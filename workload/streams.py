@@ -20,13 +20,20 @@ from workload.files import RUN_COLUMNS, streamed
 from workload.present import present
 
 
-def _feed(rows: DataFrame, folder: str, parts: list | None = None, files_per_trigger: int | None = None) -> DataFrame:
-    """Writes `rows`, one filter of `parts` after the other, and opens them as a stream."""
-    for part in parts or [F.lit(True)]:
-        rows.filter(part).write.mode("append").parquet(f"{folder}/in")
+def _feed(rows: DataFrame, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Delivers `rows` to the folder and opens it as a stream."""
+    rows.write.mode("append").parquet(f"{folder}/in")
     return stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, files_per_trigger)
 
 
+def _shuffled_feed(rows: DataFrame, folder: str, number: str) -> DataFrame:
+    """Delivers `rows` in three parts without regard to their order, read two files at a time."""
+    parts = rows.withColumn("part", F.pmod(F.xxhash64(number), F.lit(3)))
+    parts.write.partitionBy("part").parquet(f"{folder}/in")
+    stream = stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, 2)
+    return stream.select(*rows.columns)
+
+
 def _transactions(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     return bronze.transactions_landed(_feed(inputs.landing(spark, sf), folder))
 
@@ -61,10 +68,9 @@ def stream_scd1(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "scd1")
     changes = inputs.transaction_changes(spark, sf)
     # The records of a transaction arrive out of order, spread over several micro-batches.
-    third = F.pmod(F.xxhash64("offset"), F.lit(3))
-    feed = _feed(changes, folder, [third == i for i in (2, 0, 1)], files_per_trigger=1).drop("_source_file")
+    feed = _shuffled_feed(changes, folder, "offset")
     exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
-    upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, fanout=2)
+    upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, unique_sequence=True)
     drain(upsert.start())
     return present(upsert.table().select(*TRANSACTION_TABLE_COLUMNS))
 
@@ -72,8 +78,7 @@ def stream_scd1(spark: SparkSession, sf: str) -> DataFrame:
 def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "scd2")
     changes = inputs.customer_changes(spark, sf)
-    half = F.pmod(F.xxhash64("change_id"), F.lit(2))
-    feed = _feed(changes, folder, [half == 1, half == 0], files_per_trigger=1).drop("_source_file")
+    feed = _shuffled_feed(changes, folder, "change_id")
     upsert = Scd2Stream(feed, folder, ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY)
     drain(upsert.start())
     return present(upsert.history())
@@ -86,8 +91,8 @@ def stream_impossible_travel(spark: SparkSession, sf: str) -> DataFrame:
     # Three deliveries in time order, each read as one micro-batch.
     travel = None
     for period in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        feed = _feed(rows, folder, [period])
-        travel = TravelStream(feed, folder, PARAMS, fanout=2)
+        feed = _feed(rows.filter(period), folder)
+        travel = TravelStream(feed, folder, PARAMS)
         drain(travel.start())
     return present(travel.found())
 
