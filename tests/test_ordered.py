@@ -88,3 +88,50 @@ def test_travel_with_hot_customers(spark):
     sliced = gold.impossible_travel(rows, params, HOT).drop("detected_at")
     assert plain.count() == sliced.count()
     assert plain.exceptAll(sliced).count() == 0
+
+
+def crowded(spark):
+    """One key: a third of its rows share one time, a third lie within a second, the rest within a year."""
+    i = F.col("id")
+    micros = (
+        F.when(i % 3 == 0, F.lit(0))
+        .when(i % 3 == 1, F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(31_536_000_000_000)))
+    )
+    return spark.range(30000).select(
+        F.lit("h").alias("key"), F.timestamp_micros(micros).alias("at"),
+        F.concat(F.lit("TXN_"), i.cast("string")).alias("txn"), i,
+    )
+
+
+def test_crowded_and_tied_rows_are_cut_again(spark):
+    df, policy, order = crowded(spark), SkewPolicy(hot_rows=1000), ["at", "txn"]
+    hot = HotKeys.find(df, ["key"], order, policy)
+    slices = hot.slice(df, ["key"], order).groupBy("_slice").agg(
+        F.count("*").alias("n"), F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"),
+    ).orderBy("_slice").collect()
+    assert sum(s.n for s in slices) == 30000 and max(s.n for s in slices) < 3000
+    assert all(a.hi < b.lo for a, b in zip(slices, slices[1:]))
+    plain = OrderedRows(df, ["key"], order, SkewPolicy(hot_rows=None)).previous(["id"]).result()
+    sliced = OrderedRows(df, ["key"], order, policy, hot=hot, look_for_hot=False).previous(["id"]).result()
+    assert plain.exceptAll(sliced).count() == 0 and sliced.count() == 30000
+
+
+def test_copies_of_a_hot_key_are_merged_on_request(spark):
+    copies = crowded(spark).filter("id < 3").select("key", "at", "txn", "id", F.explode(F.sequence(F.lit(1), F.lit(2000))))
+    df = crowded(spark).filter("id >= 3").unionByName(copies.drop("col"))
+    policy, order = SkewPolicy(hot_rows=1000), ["at", "txn"]
+    merged = OrderedRows(df, ["key"], order, policy, merge_copies=True)
+    assert merged.rows.groupBy("_slice").count().agg(F.max("count")).first()[0] < 3000
+    expected = OrderedRows(df.distinct(), ["key"], order, SkewPolicy(hot_rows=None)).previous(["id"]).result()
+    assert expected.exceptAll(merged.previous(["id"]).result()).count() == 0
+
+
+def test_travel_ignores_copies(spark):
+    rows = inputs.transactions(spark, SF)
+    delivered_twice = rows.unionByName(rows.filter("offset % 4 = 0")).unionByName(rows.filter("offset % 8 = 0"))
+    params = RiskParams(as_of=inputs.AS_OF)
+    once = gold.impossible_travel(rows, params).drop("detected_at")
+    for policy in (SkewPolicy(), HOT):
+        found = gold.impossible_travel(delivered_twice, params, policy).drop("detected_at")
+        assert found.exceptAll(once).count() == 0 and once.exceptAll(found).count() == 0

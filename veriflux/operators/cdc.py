@@ -110,7 +110,8 @@ def versions(
     values of a first row that stands for an older run.
     """
     columns = [c for c in rows.columns if c not in keys]
-    ordered = OrderedRows(rows, keys, order, policy).previous(["_tracked"])
+    # Copies of a record change nothing: the last of a run is the same with and without them.
+    ordered = OrderedRows(rows, keys, order, policy, merge_copies=True).previous(["_tracked"])
     # The first row of a key has no predecessor, so its previous struct is null and differs.
     starts_here = ~F.col("_tracked").eqNullSafe(F.col("prev__tracked"))
     begin = F.struct(*order) if origin is None else origin

@@ -7,13 +7,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most `max_rows` + 1 rows of `df`."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _bytes(df: DataFrame) -> Column:
+    """About how much memory a row takes."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        kind = field.dataType
+        if isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            size = F.octet_length(F.to_json(F.struct(field.name)))
+        elif isinstance(kind, (StringType, BinaryType)):
+            size = F.octet_length(field.name)
+        else:
+            size = F.lit(0)
+        width = width + 16 + F.coalesce(size, F.lit(0))
+    return width.cast("bigint")
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Measures `df`: one pre-aggregated row per task, no rows moved."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_bytes(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
