@@ -5,9 +5,13 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+ARCHIVE = "veriflux-library.zip"
+
 
 def build_session(app: str = "veriflux", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the datasets rely on.
@@ -57,3 +61,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="veriflux-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a session, once.
+
+    The archive is made by the driver and served to executors by Spark itself, so no shared folder is needed.
+    """
+    context = spark.sparkContext
+    if any(name.endswith(f"/{ARCHIVE}") for name in context.listFiles):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="veriflux-")) / ARCHIVE
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
