@@ -7,14 +7,14 @@ often the hash occurs. Both counts follow spark.sql.shuffle.partitions, which ha
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MESSAGE = "bucket int, block int, kind int, a binary, b binary, c binary"
+MESSAGE = "bucket int, block int, kind int, body binary"
 ENTRY, OWN = 0, 1  # kinds: entries to compare; marks that a block sends to itself
 
 
@@ -50,6 +50,22 @@ def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return edges
 
 
+def pack(*parts: np.ndarray) -> bytes:
+    """Arrays of equal length as byte planes: first all lowest bytes of the first array, and so on. Bytes that are the
+    same in all values lie together, so that shuffle compression removes them."""
+    return b"".join(p.view(np.uint8).reshape(-1, p.itemsize).T.tobytes() for p in map(np.ascontiguousarray, parts))
+
+
+def unpack(body: bytes, types: Sequence) -> list[np.ndarray]:
+    sizes = [np.dtype(t).itemsize for t in types]
+    planes = np.frombuffer(body, np.uint8).reshape(sum(sizes), -1)
+    out, at = [], 0
+    for size, kind in zip(sizes, types, strict=True):
+        out.append(np.ascontiguousarray(planes[at : at + size].T).view(kind).reshape(-1))
+        at += size
+    return out
+
+
 class Outbox:
     """Collects messages and gives them out as one Arrow table."""
 
@@ -57,29 +73,32 @@ class Outbox:
         self.rows: list[tuple] = []
 
     def add(self, bucket: int, block: int, kind: int, *parts: np.ndarray) -> None:
-        blobs = [p.tobytes() for p in parts]
-        self.rows.append((int(bucket), int(block), kind, *blobs, *[None] * (3 - len(blobs))))
+        self.rows.append((int(bucket), int(block), kind, pack(*parts)))
 
     def spread(self, buckets: int, block: int, kind: int, hashes: np.ndarray, *parts: np.ndarray) -> None:
-        """Sends sorted hashes and the parts that go with them, each range to its bucket."""
+        """Sends the parts of sorted hashes, each range of hashes to its bucket."""
         edges = bucket_edges(hashes, buckets)
         for k in np.flatnonzero(np.diff(edges)):
-            s = slice(edges[k], edges[k + 1])
-            self.add(k, block, kind, hashes[s], *(p[s] for p in parts))
+            self.add(k, block, kind, *(p[edges[k] : edges[k + 1]] for p in parts))
 
     def table(self) -> pa.Table:
-        names = ("bucket", "block", "kind", "a", "b", "c")
-        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        columns = zip(*self.rows, strict=True) if self.rows else [[]] * 6
+        names = ("bucket", "block", "kind", "body")
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        columns = zip(*self.rows, strict=True) if self.rows else [[]] * 4
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
-def messages(table: pa.Table, kind: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
-    """(bucket, block, a, b, c) of one kind."""
-    cols = [table.column(n).to_pylist() for n in ("kind", "bucket", "block", "a", "b", "c")]
-    for row in zip(*cols, strict=True):
-        if row[0] == kind:
-            yield row[1:]
+def messages(table: pa.Table, kind: int) -> Iterator[tuple[int, bytes]]:
+    """(block, body) of each message of one kind."""
+    cols = [table.column(n).to_pylist() for n in ("kind", "block", "body")]
+    return ((block, body) for k, block, body in zip(*cols, strict=True) if k == kind)
+
+
+def gathered(table: pa.Table, kind: int, types: Sequence) -> list[np.ndarray]:
+    """The parts of all messages of one kind, joined; the first array names the block of each value."""
+    got = [(block, unpack(body, types)) for block, body in messages(table, kind)]
+    out = [np.concatenate([np.full(len(parts[0]), block, np.int32) for block, parts in got] or [np.zeros(0, np.int32)])]
+    return out + [np.concatenate([parts[k] for _, parts in got] or [np.zeros(0, t)]) for k, t in enumerate(types)]
 
 
 def to_blocks(rows: DataFrame) -> DataFrame:

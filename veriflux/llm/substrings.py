@@ -3,7 +3,7 @@
 Positions modulo 13 that lie in {0, 1, 3, 9} form a difference cover: for any two starts of a repeated passage there
 is a shift below 13 after which both lie in the cover. So two equal windows of 20 words share an anchor, eight words
 hashed at a cover position, at the same offset; only 4 of 13 positions are hashed. Where an anchor repeats, the
-windows around it are extended to full length, compared by 128 hash bits and judged by where they start first.
+windows around it are extended to full length, compared by 96 hash bits and judged by where they start first.
 """
 
 from __future__ import annotations
@@ -43,20 +43,13 @@ def _anchors(table: pa.Table, width: int, buckets: int) -> pa.Table:
     h, idx, pos = h[order], idx[order], pos[order]
     first, repeated = _first_of_runs(h)
     out = B.Outbox()
-    out.spread(buckets, block, B.ENTRY, h[first], idx[first], pos[first])
+    # 48 hash bits and the bucket tell anchors apart; full windows are compared later.
+    out.spread(buckets, block, B.ENTRY, h[first], h[first] >> np.uint64(16), idx[first], pos[first])
     if repeated.any():
         out.add(block % buckets, block, B.OWN, idx[repeated], pos[repeated])
     return out.table()
 
 
-def _entries(table: pa.Table, *types: np.dtype) -> list[np.ndarray]:
-    """The entries of a bucket as arrays: the block of each, then the parts (b holds several if types has more)."""
-    got = [(block, *parts) for _, block, *parts in B.messages(table, B.ENTRY)]
-    n = [len(g[1]) // 8 for g in got]
-    arrays = [np.repeat(np.array([g[0] for g in got], np.int32), n)]
-    return arrays + [np.frombuffer(b"".join(g[k + 1] for g in got), t) for k, t in enumerate(types)]
-
-
 def _reply(table: pa.Table, block: np.ndarray, idx: np.ndarray, pos: np.ndarray) -> pa.Table:
     """Marks for the blocks that they belong to, those of OWN messages among them."""
     out = B.Outbox()
@@ -66,14 +59,14 @@ def _reply(table: pa.Table, block: np.ndarray, idx: np.ndarray, pos: np.ndarray)
     for s, e in zip(edge[:-1], edge[1:], strict=True):
         if e > s:
             out.add(0, block[s], B.OWN, idx[s:e], pos[s:e])
-    for _, own, a, b, _ in B.messages(table, B.OWN):
-        out.rows.append((0, own, B.OWN, a, b, None))
+    for own, body in B.messages(table, B.OWN):
+        out.rows.append((0, own, B.OWN, body))
     return out.table()
 
 
 def _repeated_anchors(table: pa.Table) -> pa.Table:
     """Tells blocks which of their anchors another block holds too."""
-    block, h, idx, pos = _entries(table, np.uint64, np.uint32, np.uint32)
+    block, h, idx, pos = B.gathered(table, B.ENTRY, (np.uint64, np.uint32, np.uint32))
     order = np.argsort(h, kind="stable")
     _, repeated = _first_of_runs(h[order])
     hit = order[repeated]
@@ -81,9 +74,8 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
 
 
 def _marks(marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    got = list(B.messages(marks, B.OWN))
-    idx, pos = (np.frombuffer(b"".join(g[k] for g in got), np.uint32).astype(np.int64) for k in (2, 3))
-    return idx, pos
+    _, idx, pos = B.gathered(marks, B.OWN, (np.uint32, np.uint32))
+    return idx.astype(np.int64), pos.astype(np.int64)
 
 
 def _spread_over(c: W.Texts, idx: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -97,8 +89,7 @@ def _spread_over(c: W.Texts, idx: np.ndarray, low: np.ndarray, high: np.ndarray)
     return np.cumsum(step[:-1]) > 0
 
 
-_WINDOW = np.dtype([("h2", "<u8"), ("id", "<i8")])
-_PLACE = np.dtype([("idx", "<u4"), ("pos", "<u4"), ("nul", "u1")])
+_WINDOW = (np.uint64, np.uint32, np.int64, np.uint8, np.uint32, np.uint32)  # two hashes, id, null id, document, position
 
 
 def _windows(table: pa.Table, marks: pa.Table, width: int, buckets: int) -> pa.Table:
@@ -125,10 +116,9 @@ def _windows(table: pa.Table, marks: pa.Table, width: int, buckets: int) -> pa.T
     h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
     first = np.ones(len(h1), bool)
     first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    window, where = np.empty(first.sum(), _WINDOW), np.empty(first.sum(), _PLACE)
-    window["h2"], window["id"] = h2[first], ids[doc[first]]
-    where["idx"], where["pos"], where["nul"] = doc[first], place[first], nul[doc[first]]
-    out.spread(buckets, block, B.ENTRY, h1[first], window, where)
+    which = doc[first]
+    values = (h1[first], h2[first] >> np.uint64(32), ids[which], nul[which], which, place[first])
+    out.spread(buckets, block, B.ENTRY, h1[first], *(v.astype(t) for v, t in zip(values, _WINDOW, strict=True)))
     if not first.all():
         out.add(block % buckets, block, B.OWN, doc[~first].astype(np.uint32), place[~first].astype(np.uint32))
     return out.table()
@@ -136,16 +126,16 @@ def _windows(table: pa.Table, marks: pa.Table, width: int, buckets: int) -> pa.T
 
 def _later_windows(table: pa.Table) -> pa.Table:
     """Tells blocks which of their windows start earlier in another block."""
-    block, h1, window, where = _entries(table, np.uint64, _WINDOW, _PLACE)
-    order = np.argsort(h1, kind="stable")
-    _, repeated = _first_of_runs(h1[order])
+    block, *parts = B.gathered(table, B.ENTRY, _WINDOW)
+    order = np.argsort(parts[0], kind="stable")
+    _, repeated = _first_of_runs(parts[0][order])
     k = order[repeated]
-    block, h1, window, where = block[k], h1[k], window[k], where[k]
-    order = np.lexsort((where["pos"], where["idx"], window["id"], where["nul"], window["h2"], h1))
+    block, (h1, h2, ids, nul, idx, pos) = block[k], (p[k] for p in parts)
+    order = np.lexsort((pos, idx, ids, nul, h2, h1))
     later = np.zeros(len(h1), bool)
-    later[1:] = (h1[order][1:] == h1[order][:-1]) & (window["h2"][order][1:] == window["h2"][order][:-1])
+    later[1:] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
     k = order[later]
-    return _reply(table, block[k], where["idx"][k], where["pos"][k])
+    return _reply(table, block[k], idx[k], pos[k])
 
 
 def _cut(table: pa.Table, marks: pa.Table, width: int) -> pa.Table:
