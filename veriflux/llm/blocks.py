@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MESSAGE = "bucket int, block int, kind int, body binary"
@@ -22,14 +22,15 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def blocked(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
-    """Columns block, nul, id, text. Rows with equal ids share a block; a null id is replaced by a hash of the text
-    and sorts after all others. Shuffles the texts once."""
+def blocked(docs: DataFrame, id_col: str, text_col: str, blocks: int, **more: Column) -> DataFrame:
+    """Columns block, nul, id, text and more. Rows with equal ids share a block; a null id is replaced by a hash of the
+    text and sorts after all others. Shuffles the texts once."""
     text = docs[text_col].cast("string")
     own = docs[id_col].cast("long")
-    rows = docs.select(own.isNull().alias("nul"), F.coalesce(own, F.xxhash64(text)).alias("id"), text.alias("text"))
-    block = F.pmod(F.xxhash64("nul", "id"), F.lit(blocks)).cast("int")
-    return rows.select(block.alias("block"), "nul", "id", "text").repartition(partitions(docs), "block")
+    more = [c.alias(name) for name, c in more.items()]
+    rows = docs.select(own.isNull().alias("nul"), F.coalesce(own, F.xxhash64(text)).alias("id"), text.alias("text"), *more)
+    block = F.pmod(F.xxhash64("nul", "id"), F.lit(blocks)).cast("int").alias("block")
+    return rows.select(block, *rows.columns).repartition(partitions(docs), "block")
 
 
 def in_order(table: pa.Table) -> pa.Table:
@@ -37,6 +38,11 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("nul", "ascending"), ("id", "ascending"), ("text", "ascending")]).combine_chunks()
 
 
+def ids_of(table: pa.Table) -> pa.Array:
+    """The ids as they were given."""
+    return pa.array(table.column("id").to_numpy(), pa.int64(), mask=table.column("nul").to_numpy(zero_copy_only=False))
+
+
 def block_of(*tables: pa.Table) -> int:
     return next(t.column("block")[0].as_py() for t in tables if t.num_rows)
 

@@ -157,10 +157,9 @@ def _cut(table: pa.Table, marks: pa.Table, width: int) -> pa.Table:
             n_removed.append(len(words) - len(left))
             kept.append(b" ".join(left))
             removed.append([{"start": a, "stop": b} for a, b in edges])
-    ids = pa.array(table.column("id").to_numpy(), pa.int64(), mask=table.column("nul").to_numpy(zero_copy_only=False))
     span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
     return pa.table({
-        "doc_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
+        "doc_id": B.ids_of(table), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
         "kept": pa.array(kept, pa.binary()).cast(pa.string()), "removed": pa.array(removed, span),
     })
 
