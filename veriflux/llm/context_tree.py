@@ -270,7 +270,7 @@ def _scores(table: pa.Table, replies: pa.Table, depth: int) -> pa.Table:
     })
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 4) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 6) -> DataFrame:
     """Scores every text by a model of those for which `held_out` is not true.
 
     Columns: doc_id, held_out, n_tokens (words and one end), n_known (tokens that occur in training), train_tokens,

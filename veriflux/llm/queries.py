@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import substrings
+from veriflux.llm import context_tree, substrings
 from veriflux.session import ship_library
 
 
@@ -19,6 +19,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op10_lm_scoring": op10_lm_scoring,
 }
