@@ -61,11 +61,11 @@ def _grams(texts: W.Texts, depth: int) -> tuple[np.ndarray, np.ndarray]:
     coded[stop - 1] = 32
     coded[stop[last] - 1] = END
     fill = np.zeros(stop[-1] + 1, np.int8)
-    np.add.at(fill, stop - size, 1)
-    np.add.at(fill, stop - 1, -1)
+    fill[stop - size] += 1
+    fill[stop - 1] -= 1
     inside = np.zeros(len(texts.data) + 1, np.int8)
-    np.add.at(inside, starts, 1)
-    np.add.at(inside, ends, -1)
+    inside[texts.starts] += 1
+    inside[texts.ends] -= 1
     coded[np.cumsum(fill[:-1]) > 0] = texts.data[np.cumsum(inside[:-1]) > 0]
     real = np.ones(len(coded), bool)
     first = stop[last] - np.add.reduceat(size, last - n_words + 1) - depth
@@ -90,9 +90,9 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 def _distinct(values: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values, and how often each occurs where `counted` holds."""
-    value, n = np.unique(values[counted], return_counts=True)
-    rest = np.unique(values[~counted]) if not counted.all() else values[:0]
-    return np.concatenate((value, rest)), np.concatenate((n, np.zeros(len(rest), np.int64)))
+    learned, rest = np.sort(values[counted]), W.distinct(values[~counted])
+    edge = W.runs(learned)
+    return np.concatenate((learned[edge[:-1]], rest)), np.concatenate((np.diff(edge), np.zeros(len(rest), np.int64)))
 
 
 def _block_keys(table: pa.Table, depth: int) -> Iterator[tuple[W.Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -240,26 +240,35 @@ def _in_bucket_order(replies: pa.Table, kind: int, dtype) -> np.ndarray:
     return np.concatenate(parts or [np.zeros(0, dtype)])
 
 
+def _indexed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and for each value its place among them."""
+    order = np.argsort(values)
+    edge = W.runs(values[order])
+    place = np.empty(len(values), np.int32)
+    place[order] = np.repeat(np.arange(len(edge) - 1, dtype=np.int32), np.diff(edge))
+    return values[order[edge[:-1]]], place
+
+
 def _scores(table: pa.Table, replies: pa.Table, depth: int) -> pa.Table:
     table = B.in_order(table)
-    grams, words = [], []
-    for _, key, _, word, _ in _block_keys(table, depth):
-        grams.append(np.unique(key))
-        words.append(np.unique(word))
-    grams, words = np.unique(np.concatenate(grams)), np.unique(np.concatenate(words))
+    held = []
+    for c, key, key_doc, word, word_doc in _block_keys(table, depth):
+        n = len(c.doc) - 1
+        held.append((n, *_indexed(key), np.bincount(key_doc, minlength=n), *_indexed(word), word_doc, np.diff(c.doc) + 1))
+    grams, words = (W.distinct(np.concatenate([h[k] for h in held])) for k in (1, 4))
     bits = np.empty(len(grams))
     bits[np.argsort(_bucket_hash(grams, depth), kind="stable")] = _in_bucket_order(replies, GRAMS, np.float32)
     counts = _in_bucket_order(replies, WORDS, np.int64)
     (tokens, distinct), = [B.unpack(body, (np.int64, np.int64)) for _, body in B.messages(replies, TOTALS)]
     base = np.log10((counts + 0.5) / (tokens[0] + 0.5 * (distinct[0] + 1)))
     got: dict[str, list[np.ndarray]] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-    for c, key, key_doc, word, word_doc in _block_keys(table, depth):
-        n, at = len(c.doc) - 1, np.searchsorted(words, word)
-        got["n_tokens"].append(np.diff(c.doc) + 1)
-        got["n_known"].append(np.bincount(word_doc, counts[at] > 0, n).astype(np.int64))
-        got["base_score"].append(np.bincount(word_doc, base[at], n))
-        got["score"].append(np.bincount(key_doc, bits[np.searchsorted(grams, key)], n))
-        got["n_bytes"].append(np.bincount(key_doc, minlength=n))
+    for n, gram, key, sizes, distinct_words, word, word_doc, n_tokens in held:
+        at = np.searchsorted(words, distinct_words)
+        got["n_tokens"].append(n_tokens)
+        got["n_known"].append(np.bincount(word_doc, (counts[at] > 0)[word], n).astype(np.int64))
+        got["base_score"].append(np.bincount(word_doc, base[at][word], n))
+        got["score"].append(np.add.reduceat(bits[np.searchsorted(grams, gram)][key], np.cumsum(sizes) - sizes))
+        got["n_bytes"].append(sizes)
     out = {k: np.concatenate(v) for k, v in got.items()}
     rate = -out["score"] / out["n_bytes"]
     return pa.table({
@@ -282,8 +291,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     """
     if not 2 <= depth <= 6:
         raise ValueError("depth must lie between 2 and 6")
-    buckets = 2 * B.partitions(docs)
-    texts = B.blocked(docs, id_col, text_col, buckets, held=F.coalesce(held_out, F.lit(False)))
+    buckets = B.partitions(docs)
+    texts = B.blocked(docs, id_col, text_col, 2 * buckets, held=F.coalesce(held_out, F.lit(False)))
     asked = B.to_buckets(texts.groupBy("block").applyInArrow(lambda t: _requests(t, depth, buckets), B.MESSAGE))
     sums = asked.groupBy("bucket").applyInArrow(lambda t: _sums(t, depth), "node bigint, zeros bigint, ones bigint, log bigint")
     sums = sums.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "log")))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import context_tree, substrings
-from veriflux.session import ship_library
+from veriflux.llm import context_tree, substrings, token_files
+from veriflux.session import shared_dir, ship_library
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,7 +25,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
 
 
+TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50257, 2
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "tokens")
+    token_files.write(_read(spark, sf_dir, "documents"), folder, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.read(spark, folder, VOCABULARY).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_token_files": op5_token_files,
     "op10_lm_scoring": op10_lm_scoring,
 }

@@ -129,3 +129,8 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(1, np.int64)
     return np.concatenate(([0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values, kind="stable")
+    return values[runs(values)[:-1]]
