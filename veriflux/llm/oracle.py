@@ -15,6 +15,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+OP3 = f"""
+WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
+    (CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) + 0.5) / CAST(4503599627370496 AS DOUBLE) AS u FROM documents),
+sized AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+weighted AS (SELECT *, CAST(source_size * 3 AS DOUBLE) AS cap,
+    CAST([5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS DOUBLE) AS weight FROM sized),
+levels AS (SELECT *, row_number() OVER o AS place, (CAST(sum(source_size) OVER () AS DOUBLE)
+      - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighted WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)),
+shared AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap),
+goals AS (SELECT l.source, source_size, least(cap, s.level * weight) AS target FROM levels l, shared s),
+dues AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS due FROM goals),
+parts AS (SELECT *, floor(due) AS copies, due - floor(due) AS share, target - floor(due) * source_size AS rest FROM dues),
+ranked AS (SELECT d.doc_id, size, p.*, u * (1 - share) / (u * (1 - share) + share * (1 - u)) AS r
+    FROM d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY r, CAST(doc_id AS VARCHAR)) AS through FROM ranked),
+gaps AS (SELECT *, rest - coalesce(max(through) FILTER (through <= rest) OVER (PARTITION BY source), 0) AS gap FROM summed),
+fills AS (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), r, CAST(doc_id AS VARCHAR)) AS k
+    FROM gaps WHERE through > rest AND abs(size - gap) < gap)
+SELECT g.doc_id, size, source_size, target,
+    CAST(size * (copies + CASE WHEN (through <= rest AND share > 0) OR k = 1 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM gaps g LEFT JOIN (SELECT * FROM fills WHERE k = 1) f USING (doc_id)
+"""
+
 SQL = {
+    "op3_mixing": OP3,
     "op1_substring_dedup": OP1,
 }

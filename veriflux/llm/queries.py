@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import context_tree, substrings, token_files
+from veriflux.llm import context_tree, mixing, substrings, token_files
 from veriflux.session import shared_dir, ship_library
 
 
@@ -25,6 +25,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50257, 2
 
 
@@ -36,6 +41,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_mixing": op3_mixing,
     "op5_token_files": op5_token_files,
     "op10_lm_scoring": op10_lm_scoring,
 }
