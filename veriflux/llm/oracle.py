@@ -40,7 +40,24 @@ SELECT g.doc_id, size, source_size, target,
 FROM gaps g LEFT JOIN (SELECT * FROM fills WHERE k = 1) f USING (doc_id)
 """
 
+OP4 = """
+SELECT conv_id, turn, role, turn AS place_turn, CAST(NULL AS BIGINT) AS call_turn, CAST(NULL AS VARCHAR) AS problem,
+       CAST(to_json({'content': text, 'role': role}) AS VARCHAR) AS message
+FROM conversations
+"""
+
+OP6 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
 SQL = {
+    "op4_chat_formatting": OP4,
+    "op6_topk_search": OP6,
     "op3_mixing": OP3,
     "op1_substring_dedup": OP1,
 }

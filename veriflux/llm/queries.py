@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import context_tree, mixing, substrings, token_files
+from veriflux.llm import chat, context_tree, metric_tree, mixing, substrings, token_files
 from veriflux.session import shared_dir, ship_library
 
 
@@ -20,6 +20,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    vectors = vectors.filter(F.coalesce(usable, F.lit(False))).select("vec_id", whole.alias("vector"))
+    return metric_tree.top_inner_products(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
@@ -30,6 +38,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formatted = chat.format_turns(_read(spark, sf_dir, "conversations"))
+    return formatted.select("conv_id", "turn", "role", F.col("place.turn").alias("place_turn"), "call_turn", "problem", "message")
+
+
 TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50257, 2
 
 
@@ -42,6 +55,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_mixing": op3_mixing,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_token_files": op5_token_files,
+    "op6_topk_search": op6_topk_search,
     "op10_lm_scoring": op10_lm_scoring,
 }
