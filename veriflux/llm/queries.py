@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import chat, context_tree, metric_tree, mixing, substrings, token_files
+from veriflux.llm import chat, contamination, context_tree, language, metric_tree, mixing, substrings, token_files
 from veriflux.session import shared_dir, ship_library
 
 
@@ -28,6 +28,17 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_tree.top_inner_products(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = language.train(docs.filter(~language.is_held_out(F.col("doc_id"))))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.find_items(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
@@ -58,5 +69,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_files": op5_token_files,
     "op6_topk_search": op6_topk_search,
+    "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
 }

@@ -52,8 +52,8 @@ class Powers:
         return np.multiply.accumulate(row)
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BYTES = Powers(0x2545F4914F6CDD1D)
+BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTES = Powers(0x2545F4914F6CDD1D)
 _WORDS = (Powers(0x9E3779B97F4A7C15), Powers(0xD1342543DE82EF95))
 
 
@@ -66,7 +66,7 @@ def span_sums(values: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarra
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums, down = span_sums(_BYTE_VALUES[data], _BYTES)
+    sums, down = span_sums(BYTE_VALUES[data], BYTES)
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
@@ -110,6 +110,21 @@ class Texts:
         owner = np.repeat(np.arange(len(n)), n)
         return owner, np.arange(len(self.starts)) - self.doc[owner]
 
+    def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All words, each followed by one blank; where each begins; where each document begins, with the end."""
+        size = self.ends - self.starts + 1
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        out = np.full(total, 32, np.uint8)
+        inside = np.zeros(len(self.data) + 1, np.int8)
+        inside[self.starts] += 1
+        inside[self.ends] -= 1
+        filled = np.ones(total, bool)
+        filled[stop - 1] = False
+        out[filled] = self.data[np.cumsum(inside[:-1]) > 0]
+        begins = np.concatenate(([0], stop))
+        return out, begins[:-1], begins[self.doc]
+
     def words_of(self, k: int) -> list[bytes]:
         return self.data[self.offsets[k] : self.offsets[k + 1]].tobytes().split()
 
