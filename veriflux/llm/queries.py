@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import chat, contamination, context_tree, language, metric_tree, mixing, substrings, token_files
+from veriflux.llm import chat, contamination, context_tree, language, metric_tree, mixing, near_copies, substrings, token_files
 from veriflux.session import shared_dir, ship_library
 
 
@@ -44,6 +44,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_read(spark, sf_dir, "documents"), held_out)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.link_near_copies(_read(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -65,6 +69,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_files": op5_token_files,
