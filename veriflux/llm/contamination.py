@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,23 +123,34 @@ def _regions(index: Index, text: np.ndarray, docs: np.ndarray) -> Iterator[tuple
         yield d, i, band * size - len(text), 2 * size
 
 
+def _hits(column, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item, start, stop, edits): the best occurrence of each item in each text."""
+    for c in W.chunks(column, lower=True):
+        text, _, docs = c.joined()
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for d, i, first, width in _regions(index, text, docs):
+            begin, end = int(docs[d]), int(docs[d + 1]) - 1  # without the last blank
+            found = align(index.items[i], text[begin:end], first - begin, width, int(index.edits[i]))
+            if found and found < best.get((d, i), (1 << 30, 0, 0)):
+                best[d, i] = found
+        yield from ((c.first + d, index.ids[i], s, e, k) for (d, i), (k, s, e) in best.items())
+
+
 def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got: list[tuple] = []
         ids = batch.column("doc_id")
-        for c in W.chunks(batch.column("text"), lower=True):
-            text, _, docs = c.joined()
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for d, i, first, width in _regions(index, text, docs):
-                begin, end = int(docs[d]), int(docs[d + 1]) - 1  # without the last blank
-                found = align(index.items[i], text[begin:end], first - begin, width, int(index.edits[i]))
-                if found and found < best.get((d, i), (1 << 30, 0, 0)):
-                    best[d, i] = found
-            got += [(ids[c.first + d].as_py(), index.ids[i], s, e, k) for (d, i), (k, s, e) in best.items()]
+        got = [(ids[row].as_py(), *hit) for row, *hit in _hits(batch.column("text"), index)]
         columns = zip(*got, strict=True) if got else [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in columns], ["doc_id", "item_id", "start", "stop", "edits"])
 
 
+def _clean(batches: Iterator[pa.RecordBatch], index: Index, text_at: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        clean = np.ones(batch.num_rows, bool)
+        clean[[row for row, *_ in _hits(batch.column(text_at), index)]] = False
+        yield batch.filter(pa.array(clean))
+
+
 def normal(text: str | None) -> bytes:
     """Lower-case words joined by one blank."""
     return b" ".join((text or "").encode().translate(W.LOWER.tobytes()).split())
@@ -157,15 +169,33 @@ def find_items(
     Documents are neither shuffled nor joined. The benchmark's size is summed first; it is sent to the executors in
     slices of at most `slice_chars`, one pass over the documents for each.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter(F.length("text") >= min_chars)
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    found, slices = None, max(1, -(-total // slice_chars))
+    found = None
+    for held in _slices(benchmark, rate, min_chars, slice_chars):
+        hits = rows.mapInArrow(lambda batches, held=held: _search(batches, Index(*held.value)), FOUND)
+        found = hits if found is None else found.unionAll(hits)
+    return docs.sparkSession.createDataFrame([], FOUND) if found is None else found
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rate: float = RATE, min_chars: int = 40, slice_chars: int = SLICE_CHARS,
+) -> DataFrame:
+    """The rows of `docs`, all columns as they are, without those that hold an item."""
+    at, schema = docs.columns.index(text_col), docs.schema
+    for held in _slices(benchmark, rate, min_chars, slice_chars):
+        docs = docs.mapInArrow(lambda batches, held=held: _clean(batches, Index(*held.value), at), schema)
+    return docs
+
+
+def _slices(benchmark: DataFrame, rate: float, min_chars: int, slice_chars: int) -> Iterator[Broadcast]:
+    """What an index is built from, for one slice of the benchmark after the other."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.filter(F.length("text") >= min_chars)
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    slices = max(1, -(-total // slice_chars))
     for k in range(slices):
-        part = [(r.item_id, normal(r.text)) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text").collect()]
+        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text")
+        part = [(r.item_id, normal(r.text)) for r in mine.collect()]
         part = [(i, t) for i, t in part if len(t) >= max(min_chars, Q)]
         if part:
-            index = docs.sparkSession.sparkContext.broadcast(([i for i, _ in part], [t for _, t in part], rate))
-            hits = rows.mapInArrow(lambda batches, held=index: _search(batches, Index(*held.value)), FOUND)
-            found = hits if found is None else found.unionAll(hits)
-    return docs.sparkSession.createDataFrame([], FOUND) if found is None else found
+            yield benchmark.sparkSession.sparkContext.broadcast(([i for i, _ in part], [t for _, t in part], rate))

@@ -26,7 +26,6 @@ SEGMENT = 64
 SLOTS = 1 << 17
 ORDERS = (1, 2, 3, 4)  # n-grams in bytes, the blanks around a word included
 EPOCHS, RATE, BATCH, DECAY = 3, 0.3, 512, 1e-6
-RESULT = "doc_id bigint, lang_pred string, score double"
 
 
 @dataclass
@@ -202,17 +201,18 @@ def shares(model: Model, c: W.Texts) -> np.ndarray:
     return out
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows as they came, with a language and a score at the end."""
     names = np.array([*model.languages, "und"], object)
     for batch in batches:
-        got = [shares(model, c) for c in W.chunks(batch.column("text"), lower=True)]
+        got = [shares(model, c) for c in W.chunks(batch.column(text_at), lower=True)]
         p = np.concatenate(got) if got else np.zeros((0, len(model.languages)))
         unknown = np.isnan(p).any(1) if p.shape[1] else np.ones(len(p), bool)
         p = np.where(unknown[:, None], 0.0, p)
         best = np.where(unknown, len(model.languages), p.argmax(1) if p.shape[1] else 0)
         score = np.clip(p.max(1), 0.0, 1.0) if p.shape[1] else np.zeros(len(p))
-        columns = [batch.column("doc_id"), pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+        columns = [*batch.columns, pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, [f"c{k}" for k in range(len(columns))])
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
@@ -234,8 +234,23 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     letter, or nothing was learned. Only the text is read for it; ids may be null or repeat. An empty table gives no
     rows. Ties go to the language that comes first by code point."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda batches: _predict(batches, held.value), RESULT)
+    return _classified(rows, model, 1).select(F.col("c0").alias("doc_id"), F.col("c2").alias("lang_pred"), F.col("c3").alias("score"))
+
+
+def _classified(rows: DataFrame, model: Model, text_at: int) -> DataFrame:
+    """Columns c0, c1, ... of the rows, then language and score."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    types = [f.dataType.simpleString() for f in rows.schema] + ["string", "double"]
+    return rows.mapInArrow(lambda batches: _predict(batches, held.value, text_at), ", ".join(f"c{k} {t}" for k, t in enumerate(types)))
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.4, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, without those that have no language (`und`) or whose words lie so
+    far apart that no language gets a share of `least`."""
+    n = len(docs.columns)
+    found = _classified(docs, model, docs.columns.index(text_col))
+    kept = found.filter((F.col(f"c{n}") != "und") & (F.col(f"c{n + 1}") >= least))
+    return kept.select(*(F.col(f"c{k}").alias(name) for k, name in enumerate(docs.columns)))
 
 
 def is_held_out(id_: Column) -> Column:

@@ -127,3 +127,9 @@ def mix(
     place = F.struct("rank", "key", "content")
     taken = _sampled(place) | F.coalesce(place == F.col("fill"), F.lit(False))
     return ranked.select("row", "size", "source_size", "target", (F.col("copies") + taken.cast("long")).cast("int").alias("copies"))
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The documents of a mix, each as often as the mix takes it, with their own columns."""
+    taken = mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return taken.select("row.*")

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriflux.llm import blocks as B
@@ -331,24 +331,20 @@ def _group(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
 
 
-def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of `docs`.
+def _identity(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, Column]:
+    """Whether the id is null, the id or a hash in its place, and a number for the row from id and text."""
+    text, own = docs[text_col].cast("string"), docs[id_col].cast("long")
+    nul, id_ = own.isNull(), F.coalesce(own, F.xxhash64(text))
+    return nul, id_, F.xxhash64(nul, id_, text)
 
-    A document's set: the distinct shingles of `width` lower-case words; with fewer words, the whole sequence as one.
-    Two documents link when 100 * intersection >= 75 * union; component_id is the least id that links lead to.
-    Null and empty texts have an empty set and link with nothing: their component is their own id. Rows that share an id
-    are documents of their own, full copies of a row one; a null id counts as larger than all others, and a component
-    without any id has none. An empty table gives no rows. Other columns are not read.
 
-    Every link is found; the order of tokens only decides what that costs. The texts are scanned once, shuffled once and
-    read twice after that; sets travel once to their group and once to each group that they have to visit.
-    """
+def _memberships(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """For each row of `docs` nul, id, node, n (size of its set) and c, the least member (nul, id, node) of its component;
+    c is null if the set is empty."""
     spark = docs.sparkSession
     buckets = B.partitions(docs)
-    text, own = docs[text_col].cast("string"), docs[id_col].cast("long")
-    nul, id_ = own.isNull(), F.coalesce(own, F.xxhash64(text))
-    node = F.xxhash64(nul, id_, text)
-    rows = docs.select(nul.alias("nul"), id_.alias("id"), node.alias("node"), text.alias("text"))
+    nul, id_, node = _identity(docs, id_col, text_col)
+    rows = docs.select(nul.alias("nul"), id_.alias("id"), node.alias("node"), docs[text_col].cast("string").alias("text"))
     summary = stored(rows.mapInArrow(lambda b: _summaries(b, width), SUMMARY), "near-copies")
     often = summary.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     often = often.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select("token").collect()
@@ -372,12 +368,43 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = by_set.filter("root is not null").groupBy("root").agg(F.min("rep").alias("least")).withColumnRenamed("root", "its_root")
     by_set = by_set.join(least, F.col("root") == F.col("its_root"), "left")
     by_set = by_set.select("n", "s1", "s2", F.coalesce("least", "rep").alias("c")).hint("shuffle_hash")
-    found = sizes.join(by_set, ["n", "s1", "s2"], "left")
+    return sizes.join(by_set, ["n", "s1", "s2"], "left").select("nul", "id", "node", "n", "c")
+
+
+def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of `docs`.
+
+    A document's set: the distinct shingles of `width` lower-case words; with fewer words, the whole sequence as one.
+    Two documents link when 100 * intersection >= 75 * union; component_id is the least id that links lead to.
+    Null and empty texts have an empty set and link with nothing: their component is their own id. Rows that share an id
+    are documents of their own, full copies of a row one; a null id counts as larger than all others, and a component
+    without any id has none. An empty table gives no rows. Other columns are not read.
+
+    Every link is found; the order of tokens only decides what that costs. The texts are scanned once, shuffled once and
+    read twice after that; sets travel once to their group and once to each group that they have to visit.
+    """
+    found = _memberships(docs, id_col, text_col, width)
     alone = F.when(~F.col("nul"), F.col("id"))
     component = F.when(F.col("c").isNull(), alone).when(~F.col("c.nul"), F.col("c.id"))
     return found.select(alone.alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """The rows of `docs`, all columns as they are: of each component the document with the least id, and every document
+    with an empty set. Of full copies (equal id and text) one row stays."""
+    found = stored(_memberships(docs, id_col, text_col, width), "near-copies")
+    gone = found.filter(F.col("c").isNotNull() & (F.col("c.node") != F.col("node"))).select(F.col("node").alias("gone")).distinct()
+    copies = found.filter("c is not null").groupBy("node").agg(F.count("*").alias("times")).filter("times > 1").select("node")
+    copies = copies.withColumnRenamed("node", "copied")
+    _, _, node = _identity(docs, id_col, text_col)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), node.alias("node"))
+    rows = rows.join(gone, F.col("node") == F.col("gone"), "left_anti")
+    if not copies.isEmpty():
+        single = rows.join(copies, F.col("node") == F.col("copied"), "left_anti")
+        rows = single.unionByName(rows.join(copies, F.col("node") == F.col("copied"), "left_semi").dropDuplicates(["node"]))
+    return rows.select("row.*")
+
+
 def _to_all_parts(shipped: DataFrame) -> DataFrame:
     """Visitors go to every part of a group that was cut."""
     cut = shipped.filter("home").groupBy("g").agg(F.max("part").alias("last")).filter("last > 0").withColumnRenamed("g", "cut")

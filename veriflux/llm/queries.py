@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import chat, contamination, context_tree, language, metric_tree, mixing, near_copies, substrings, token_files
+from veriflux.llm import chat, contamination, context_tree, language, main_text, metric_tree, mixing, near_copies, substrings, token_files
 from veriflux.session import shared_dir, ship_library
 
 
@@ -28,6 +28,12 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_tree.top_inner_products(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    found = main_text.extract_main_text(pages, main_text.train(pages))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     model = language.train(docs.filter(~language.is_held_out(F.col("doc_id"))))
@@ -74,6 +80,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_token_files": op5_token_files,
     "op6_topk_search": op6_topk_search,
+    "op7_main_text": op7_main_text,
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
