@@ -1,8 +1,9 @@
 """Exact Jaccard join of word shingles with a token-group matrix.
 
 Documents with equal sets are one. All tokens have a fixed order, frequent ones last; documents that link share a token
-among the first |x| - ceil(t |x|) + 1 of either. A document's group is named by its first token; similar documents
-mostly agree in it. Tokens tell which documents have to visit which groups, always the group with the smaller name.
+among the first |x| - ceil(t |x|) + 1 of either. A document's group is named by the least hash of its tokens; similar
+documents mostly agree in it. Shared tokens tell which documents have to visit which groups, always the group with the
+smaller name.
 
 Within a group, documents gather around leaders that they link with. The token-group matrix holds the union of tokens
 of each gathering; how many tokens a document shares with the union bounds its overlap with every member, and only
@@ -25,11 +26,12 @@ from veriflux.llm.store import stored
 
 WIDTH = 5
 SHARED, ALL = 75, 100  # two documents link when ALL * intersection >= SHARED * union
-HOT_TOKENS = 1 << 16  # frequent tokens that are moved to the end of the order; any choice gives the same links
-HOT_IN_BATCH = 4
+HOT_TOKENS = 1 << 18  # frequent tokens that are moved to the end of the order; any choice gives the same links
+HOT_IN_BATCH = 3
 PART_ROWS = 8192  # documents of a group that one task holds; larger groups are cut into parts
 SMALL = 32
-SUMMARY = "nul boolean, id bigint, node bigint, n bigint, s1 bigint, s2 bigint, token bigint, times bigint"
+BROADCAST_ROWS = 100_000
+SUMMARY = "nul boolean, id bigint, node bigint, n bigint, s1 bigint, s2 bigint, g bigint, token bigint, times bigint"
 SHIPPED = "g bigint, part int, home boolean, node bigint, body binary"
 NAME_SHIFT = np.uint64(24)
 
@@ -68,8 +70,11 @@ def _summaries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
             n = len(offsets) - 1
             s1, s2 = (_sums(W.mix(hashes ^ np.uint64(k)), offsets).view(np.int64) for k in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
             rows = batch.slice(first, n)
+            size = np.diff(offsets)
+            name = np.zeros(n, np.int64)
+            name[size > 0] = hashes[offsets[:-1][size > 0]] >> NAME_SHIFT
             yield pa.RecordBatch.from_arrays(
-                [rows.column(k) for k in ("nul", "id", "node")] + [pa.array(x, pa.int64()) for x in (np.diff(offsets), s1, s2)] + [pa.nulls(n, pa.int64())] * 2, names,
+                [rows.column(k) for k in ("nul", "id", "node")] + [pa.array(x, pa.int64()) for x in (size, s1, s2, name)] + [pa.nulls(n, pa.int64())] * 2, names,
             )
             for k, key in enumerate(zip(s1.tolist(), s2.tolist(), strict=True)):
                 if key not in seen:
@@ -80,7 +85,7 @@ def _summaries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
         times = np.diff(edge)
         often = times >= HOT_IN_BATCH
         n = int(often.sum())
-        columns = [pa.nulls(n, pa.bool_())] + [pa.nulls(n, pa.int64())] * 5 + [pa.array(all_[edge[:-1][often]].view(np.int64)), pa.array(times[often])]
+        columns = [pa.nulls(n, pa.bool_())] + [pa.nulls(n, pa.int64())] * 6 + [pa.array(all_[edge[:-1][often]].view(np.int64)), pa.array(times[often])]
         yield pa.RecordBatch.from_arrays(columns, names)
 
 
@@ -93,7 +98,10 @@ def _ordered(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 _ENTRY = (np.uint64, np.uint64, np.uint32, np.uint32)  # token, group, document, size
-_VISIT = (np.uint32, np.uint64, np.int32, np.int32)  # document, group, part (-1: visits, -2: at home), first part to visit
+_MEMBER = (np.uint64, np.uint32, np.uint32)  # group, document, size
+MEMBERS = 2  # kind of message
+# document, group, part (-1: visits, -2: at home), first part to visit, shared tokens, least and largest partner
+_VISIT = (np.uint32, np.uint64, np.int32, np.int32, np.uint32, np.uint32, np.uint32)
 
 
 def _kept_rows(table: pa.Table, nodes: pa.Table) -> dict[int, int]:
@@ -113,7 +121,7 @@ def _prefixes(table: pa.Table, nodes: pa.Table, width: int, hot: np.ndarray, buc
     table, block = B.in_order(table), B.block_of(table)
     kept = np.zeros(table.num_rows, bool)
     kept[list(_kept_rows(table, nodes))] = True
-    got = []
+    got, members = [], []
     for first, hashes, offsets in _sets(table.column("text"), width):
         n = np.diff(offsets)
         doc = np.repeat(np.arange(len(n)), n)
@@ -123,8 +131,14 @@ def _prefixes(table: pa.Table, nodes: pa.Table, width: int, hot: np.ndarray, buc
         nth = np.arange(len(doc)) - offsets[doc]
         length = n - -(-SHARED * n // ALL) + 1
         take = np.flatnonzero(kept[doc + first] & (nth < length[doc]))
-        name = place[np.minimum(offsets[:-1], max(0, len(place) - 1))] >> NAME_SHIFT if len(place) else np.zeros(len(n), np.uint64)
+        mine = np.flatnonzero(kept[first : first + len(n)] & (n > 0))
+        name = np.zeros(len(n), np.uint64)
+        name[mine] = hashes[offsets[mine]] >> NAME_SHIFT  # the least hash, frequent or not: copies mostly share it
         got.append((place[take], name[doc[take]], doc[take] + first, n[doc[take]]))
+        members.append((name[mine], mine + first, n[mine]))
+    name, doc, size = (np.concatenate(x) for x in zip(*members, strict=True))
+    order = np.argsort(W.mix(name), kind="stable")
+    out.spread(buckets, block, MEMBERS, W.mix(name[order]), *(p[order].astype(t) for p, t in zip((name, doc, size), _MEMBER, strict=True)))
     place, name, doc, size = (np.concatenate(x) for x in zip(*got, strict=True))
     order = np.argsort(place, kind="stable")
     place = place[order]
@@ -150,13 +164,11 @@ def _visits(table: pa.Table) -> pa.Table:
     block, token, name, idx, size = (x[order] for x in (block, token, name, idx, size))
     edge = W.runs(token)
     length = np.diff(edge)
-    who, where, part, low = [], [], [], []
+    found: list[tuple[np.ndarray, ...]] = []
 
-    def add(rows: np.ndarray, groups: np.ndarray, parts, lows) -> None:
-        who.append(rows)
-        where.append(groups)
-        part.append(np.broadcast_to(parts, rows.shape))
-        low.append(np.broadcast_to(lows, rows.shape))
+    def add(rows: np.ndarray, *values) -> None:
+        """Rows with group, part, first part, least and largest partner."""
+        found.append((rows, *(np.broadcast_to(v, rows.shape) for v in values)))
 
     # Few documents with a token: all pairs of it side by side, by the distance between them.
     start = np.repeat(edge[:-1], length)
@@ -169,9 +181,9 @@ def _visits(table: pa.Table) -> pa.Table:
         if not len(y):
             continue
         home = name[y] == name[q]
-        add(y, name[y], -2, 0)
-        add(q[home], name[q[home]], -2, 0)
-        add(q[~home], name[y[~home]], -1, 0)
+        add(y, name[y], -2, 0, size[q], size[q])
+        add(q[home], name[q[home]], -2, 0, size[y[home]], size[y[home]])
+        add(q[~home], name[y[~home]], -1, 0, size[y[~home]], size[y[~home]])
     # Many: by group and document.
     for s, e in zip(edge[:-1][length > SMALL].tolist(), edge[1:][length > SMALL].tolist(), strict=True):
         names, first = np.unique(name[s:e], return_index=True)
@@ -183,46 +195,70 @@ def _visits(table: pa.Table) -> pa.Table:
             far = (ALL * size[after] < SHARED * least[k]) | (ALL * most[k] < SHARED * size[after])
             after = after[~far]
             if len(after):
-                add(after, np.full(len(after), names[k]), -1, 0)
-            own = names[k] == token[s] >> np.uint64(8)
+                add(after, names[k], -1, 0, least[k], most[k])
             if len(rows) > 1 or len(after):
-                if own:  # here all of the group is seen, in the order of size
-                    parts = np.arange(len(rows)) // PART_ROWS
-                    lows = np.searchsorted(size[rows], -(-SHARED * size[rows] // ALL)) // PART_ROWS
-                    add(rows, name[rows], parts, lows)
-                else:
-                    add(rows, name[rows], -2, 0)
+                add(rows, name[rows], -2, 0, least.min(), most.max())
+    # Groups that one task can't hold are cut by size; parts visit the earlier ones that sizes allow.
+    n_entries = len(token)
+    its_block, its_name, its_idx, its_size = B.gathered(table, MEMBERS, _MEMBER)
+    its_size = its_size.astype(np.int64)
+    order = np.lexsort((its_idx, its_block, its_size, its_name))
+    edge = W.runs(its_name[order])
+    block, idx = np.concatenate((block, its_block)), np.concatenate((idx, its_idx))
+    for s, e in zip(edge[:-1], edge[1:], strict=True):
+        if e - s > PART_ROWS:
+            rows, sizes = order[s:e], its_size[order[s:e]]
+            lows = np.searchsorted(sizes, -(-SHARED * sizes // ALL)) // PART_ROWS
+            add(rows + n_entries, its_name[rows], np.arange(len(rows)) // PART_ROWS, lows, 1, 1 << 31)
     out = B.Outbox()
-    if who:
-        rows, groups, parts, lows = (np.concatenate(x) for x in (who, where, part, low))
-        key = np.lexsort((-parts, groups, idx[rows], block[rows]))  # parts that are known come first
-        rows, groups, parts, lows = rows[key], groups[key], parts[key], lows[key]
+    if found:
+        rows, groups, parts, lows, least, most = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((parts, groups, idx[rows], block[rows]))
+        rows, groups, parts, lows, least, most = (x[order] for x in (rows, groups, parts, lows, least, most))
         new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:] != rows[:-1]) & ((block[rows][1:] != block[rows][:-1]) | (idx[rows][1:] != idx[rows][:-1])) | (groups[1:] != groups[:-1])
-        rows, groups, parts, lows = rows[new], groups[new], parts[new], lows[new]
+        new[1:] = (block[rows][1:] != block[rows][:-1]) | (idx[rows][1:] != idx[rows][:-1]) | (groups[1:] != groups[:-1]) | (parts[1:] != parts[:-1])
+        head = np.flatnonzero(new)
+        shared, least, most = np.diff(np.append(head, len(rows))), np.minimum.reduceat(least, head), np.maximum.reduceat(most, head)
+        rows, groups, parts, lows = rows[head], groups[head], parts[head], lows[head]
         cut = W.runs(block[rows])
-        values = [v.astype(t) for v, t in zip((idx[rows], groups, parts, lows), _VISIT, strict=True)]
+        values = [v.astype(t) for v, t in zip((idx[rows], groups, parts, lows, shared, least, most), _VISIT, strict=True)]
         for s, e in zip(cut[:-1], cut[1:], strict=True):
             out.add(0, block[rows[s]], B.OWN, *(v[s:e] for v in values))
     return out.table()
 
 
+def _least_shared(n: int, least: int, most: int) -> int:
+    """Tokens that a document of n tokens shares with a partner of least to most tokens within the first ones of both, if
+    they link. Beyond the prefix that ends first, they share at most what is left of that document: less than its
+    required overlap. What is missing to the link is least for the smallest or the largest partner."""
+    need = []
+    for s in (least, most):
+        s = min(max(s, SHARED * n // ALL), -(-ALL * n // SHARED))
+        need.append(SHARED * (n + s) / (ALL + SHARED) - SHARED * max(n, s) / ALL)
+    return int(min(need)) - 1
+
+
 def _shipments(table: pa.Table, replies: pa.Table, width: int) -> pa.Table:
     """The sets of documents, for each group that they belong to or visit."""
     rows: list[tuple] = []
     if table.num_rows and replies.num_rows:
         table = B.in_order(table)
         nodes = table.column("node").to_pylist()
-        _, idx, group, part, low = B.gathered(replies, B.OWN, _VISIT)
-        visits: dict[int, dict[int, tuple[int, int]]] = {}
-        for k, g, p, l in zip(idx.tolist(), group.tolist(), part.tolist(), low.tolist(), strict=True):
-            held = visits.setdefault(k, {})
-            held[g] = max(held.get(g, (-9, 0)), (p, l))
-        # -2 says at home without a part; -1 that it visits. A document never visits its own group.
+        visits: dict[int, dict[int, list[int]]] = {}
+        for k, g, p, l, shared, least, most in zip(*(x.tolist() for x in B.gathered(replies, B.OWN, _VISIT)[1:]), strict=True):
+            held = visits.setdefault(k, {}).setdefault(g, [p, l, 0, least, most])
+            if p > held[0]:
+                held[:2] = p, l
+            held[2] += shared
+            held[3], held[4] = min(held[3], least), max(held[4], most)
+        # -2: at home, in the first part unless the part is told; -1: visits. A document never visits its own group.
         for first, hashes, offsets in _sets(table.column("text"), width):
             for k in range(first, first + len(offsets) - 1):
-                for g, (p, l) in visits.get(k, {}).items():
-                    body = B.pack(hashes[offsets[k - first] : offsets[k - first + 1]])
+                mine = hashes[offsets[k - first] : offsets[k - first + 1]]
+                for g, (p, l, shared, least, most) in visits.get(k, {}).items():
+                    if p < 0 and shared < _least_shared(len(mine), least, most):
+                        continue
+                    body = B.pack(mine)
                     if p == -1:
                         rows.append((g, -1, False, nodes[k], body))
                         continue
@@ -347,10 +383,10 @@ def _memberships(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     rows = docs.select(nul.alias("nul"), id_.alias("id"), node.alias("node"), docs[text_col].cast("string").alias("text"))
     summary = stored(rows.mapInArrow(lambda b: _summaries(b, width), SUMMARY), "near-copies")
     often = summary.filter("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
-    often = often.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select("token").collect()
-    hot = spark.sparkContext.broadcast(np.sort(np.array([r.token for r in often], np.int64).view(np.uint64)))
+    often = often.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select("token").toArrow()
+    hot = spark.sparkContext.broadcast(np.sort(often.column("token").to_numpy().view(np.uint64)))
     sizes = summary.filter("token is null").drop("token", "times")
-    stands = sizes.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min(F.struct("nul", "id", "node")).alias("rep"))
+    stands = sizes.filter("n > 0").groupBy("n", "s1", "s2").agg(F.first("g").alias("g"), F.min(F.struct("nul", "id", "node")).alias("rep"))
     stands = stored(stands, "near-copies")
     blocks = 2 * buckets
     texts = B.blocked(docs, id_col, text_col, blocks, node=node)
@@ -361,7 +397,7 @@ def _memberships(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     replies = B.to_buckets(sent).groupBy("bucket").applyInArrow(_visits, B.MESSAGE)
     together = texts.groupBy("block").cogroup(B.to_blocks(replies).groupBy("block"))
     shipped = together.applyInArrow(lambda t, r: _shipments(t, r, width), SHIPPED)
-    shipped = _to_all_parts(stored(shipped, "near-copies"))
+    shipped = _to_all_parts(shipped, stands.groupBy("g").agg(F.count("*").alias("rows")).filter(F.col("rows") > PART_ROWS))
     links = shipped.groupBy("g", "part").applyInArrow(_group, "a bigint, b bigint")
     roots = components(links)
     by_set = stands.select("n", "s1", "s2", "rep").join(roots, F.col("rep.node") == F.col("node"), "left").drop("node")
@@ -405,9 +441,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     return rows.select("row.*")
 
 
-def _to_all_parts(shipped: DataFrame) -> DataFrame:
-    """Visitors go to every part of a group that was cut."""
-    cut = shipped.filter("home").groupBy("g").agg(F.max("part").alias("last")).filter("last > 0").withColumnRenamed("g", "cut")
-    guests = shipped.filter("part < 0").join(cut, F.col("g") == F.col("cut"), "left")
-    guests = guests.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("last", F.lit(0)))))
-    return shipped.filter("part >= 0").unionByName(guests.select(*shipped.columns))
+def _to_all_parts(shipped: DataFrame, large: DataFrame) -> DataFrame:
+    """Visitors go to every part of a group that was cut. large: g, rows of these groups, of which few exist."""
+    last = F.lit(0)
+    if n := large.count():
+        cut = large.select(F.col("g").alias("cut"), ((F.col("rows") - 1) / PART_ROWS).cast("int").alias("last"))
+        shipped = shipped.join(F.broadcast(cut) if n <= BROADCAST_ROWS else cut, F.col("g") == F.col("cut"), "left")
+        last = F.coalesce("last", F.lit(0))
+    parts = F.when(F.col("part") < 0, F.sequence(F.lit(0), last)).otherwise(F.array("part"))
+    return shipped.select("g", F.explode(parts).alias("part"), "home", "node", "body")
