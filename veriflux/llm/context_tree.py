@@ -23,6 +23,7 @@ from veriflux.llm import blocks as B
 from veriflux.llm import words as W
 
 GRAMS, WORDS, TOTALS = 0, 1, 2
+FOLD = 1 << 19
 END = 10
 FIXED = float(1 << 20)  # logarithms are summed as multiples of this fraction, so that the order does not matter
 RESULT = (
@@ -177,11 +178,23 @@ def _tree(grams: np.ndarray, counts: np.ndarray, depth: int) -> dict[int, _Level
     return levels
 
 
+def _totals(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a bucket with their counts over all blocks; messages are folded in as they come."""
+    keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for _, body in B.messages(table, kind):
+        key, n = B.unpack(body, (np.uint64, np.uint32))
+        keys.append(key)
+        counts.append(n.astype(np.int64))
+        held += len(key)
+        if held > max(FOLD, len(keys[0])):
+            key, n = _counted(keys, counts)
+            keys, counts, held = [key], [n], 0
+    return _counted(keys, counts)
+
+
 def _bucket(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams and words of a bucket with their counts over all blocks."""
-    _, key, n = B.gathered(table, GRAMS, (np.uint64, np.uint32))
-    _, word, m = B.gathered(table, WORDS, (np.uint64, np.uint32))
-    return *_counted([key], [n.astype(np.int64)]), *_counted([word], [m.astype(np.int64)])
+    """Distinct grams and words of a bucket with their training counts."""
+    return *_totals(table, GRAMS), *_totals(table, WORDS)
 
 
 def _sums(table: pa.Table, depth: int) -> pa.Table:
