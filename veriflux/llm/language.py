@@ -178,9 +178,11 @@ def _has_letter(text: np.ndarray) -> bool:
 
 def shares(model: Model, c: W.Texts) -> np.ndarray:
     """Per document of a chunk: mean probability of each language over its words with letters; nan without a letter."""
-    types = WordTypes(c)
-    n, k = len(types.n_words), len(model.languages)
+    n, k = len(c.doc) - 1, len(model.languages)
     out = np.full((n, k), np.nan)
+    if not k:
+        return out
+    types = WordTypes(c)
     if len(types.of):
         emissions = types.emissions(model.weights)
         start, length = _segments(types.n_words)
