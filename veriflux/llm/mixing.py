@@ -19,6 +19,7 @@ from veriflux.llm.store import stored
 
 WEIGHTS = (5, 2, 1)
 BINS = 1 << 12
+BROADCAST_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -65,15 +66,16 @@ def _bin() -> Column:
     return F.least(F.floor(F.col("rank") * BINS), F.lit(BINS - 1)).cast("int")
 
 
-def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Joins on a source that may be null."""
+def _same_source(left: DataFrame, right: DataFrame, sources: int, how: str = "inner") -> DataFrame:
+    """Joins with a table of one row for each source, which may be null; it is sent to all tasks if it is small, so that
+    documents stay where they are."""
     right = right.withColumnRenamed("source", "its_source")
-    return left.join(right, F.col("source").eqNullSafe(F.col("its_source")), how).drop("its_source")
+    return left.join(F.broadcast(right) if sources <= BROADCAST_SOURCES else right, F.col("source").eqNullSafe(F.col("its_source")), how).drop("its_source")
 
 
-def plan(rows: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
+def plan(rows: DataFrame, weights: tuple[float, ...], most: float) -> tuple[DataFrame, int]:
     """One row for each source: target, certain copies, where its sample ends (bin, last key) and the document that
-    fills the rest. rows: key, content, source, size, u, odds."""
+    fills the rest; and the number of sources. rows: key, content, source, size, u, odds."""
     rows = stored(rows, "mix-sizes")
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     due = F.when(F.col("source_size") > 0, F.col("target") / F.nullif(F.col("source_size"), F.lit(0))).otherwise(0.0)
@@ -82,25 +84,26 @@ def plan(rows: DataFrame, weights: tuple[float, ...], most: float) -> DataFrame:
         "source", "source_size", "target", whole.alias("copies"), (due - whole).alias("share"),
         (F.col("target") - whole * F.col("source_size")).alias("left"),
     ), "mix-targets")
-    ranked = _same_source(rows, sources).withColumn("rank", _rank()).withColumn("bin", _bin())
+    count = sources.count()
+    ranked = _same_source(rows, sources, count).withColumn("rank", _rank()).withColumn("bin", _bin())
     bins = ranked.groupBy("source", "bin", "left").agg(F.sum("size").alias("words"))
     through = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
     bins = bins.select("source", "bin", "left", "words", through.alias("through")).filter(F.col("through") > F.col("left"))
     ends = bins.groupBy("source").agg(F.min(F.struct("bin", (F.col("through") - F.col("words")).alias("before"))).alias("end"))
-    ends = stored(_same_source(sources, ends.select("source", "end.bin", "end.before").withColumnRenamed("bin", "end_bin"), "left"), "mix-ends")
-    ranked = _same_source(rows, ends).withColumn("rank", _rank()).withColumn("bin", _bin())
+    ends = stored(_same_source(sources, ends.select("source", "end.bin", "end.before").withColumnRenamed("bin", "end_bin"), count, "left"), "mix-ends")
+    ranked = _same_source(rows, ends, count).withColumn("rank", _rank()).withColumn("bin", _bin())
     place = F.struct("rank", "key", "content")
     inside = ranked.filter(F.col("bin") == F.col("end_bin"))
     running = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("rank", "key", "content"))
     inside = inside.select("source", place.alias("place"), running.alias("running"), "left").filter(F.col("running") <= F.col("left"))
     lasts = inside.groupBy("source").agg(F.max(F.struct("place", "running")).alias("last"))
-    lasts = _same_source(ends, lasts.select("source", F.col("last.place").alias("last_place"), F.col("last.running").alias("taken_words")), "left")
+    lasts = _same_source(ends, lasts.select("source", F.col("last.place").alias("last_place"), F.col("last.running").alias("taken_words")), count, "left")
     lasts = stored(lasts.withColumn("gap", F.col("left") - F.coalesce("taken_words", "before")), "mix-lasts")
-    ranked = _same_source(rows, lasts).withColumn("rank", _rank()).withColumn("bin", _bin())
+    ranked = _same_source(rows, lasts, count).withColumn("rank", _rank()).withColumn("bin", _bin())
     off = F.abs(F.col("size") - F.col("gap"))
     rest = ranked.filter(~_sampled(place)).filter(off < F.col("gap"))
     fill = rest.groupBy("source").agg(F.min(F.struct(off.alias("off"), place.alias("place")))["place"].alias("fill"))
-    return _same_source(lasts, fill, "left").drop("before", "taken_words", "gap", "left")
+    return _same_source(lasts, fill, count, "left").drop("before", "taken_words", "gap", "left"), count
 
 
 def _sampled(place: Column) -> Column:
@@ -122,8 +125,8 @@ def mix(
     """
     odds = F.lit(1.0) if odds is None else odds
     rows = _rows(docs, id_col, text_col, source_col, odds, seed)
-    decided = plan(rows.drop("row"), weights, most)
-    ranked = _same_source(rows, decided).withColumn("rank", _rank()).withColumn("bin", _bin())
+    decided, count = plan(rows.drop("row"), weights, most)
+    ranked = _same_source(rows, decided, count).withColumn("rank", _rank()).withColumn("bin", _bin())
     place = F.struct("rank", "key", "content")
     taken = _sampled(place) | F.coalesce(place == F.col("fill"), F.lit(False))
     return ranked.select("row", "size", "source_size", "target", (F.col("copies") + taken.cast("long")).cast("int").alias("copies"))
