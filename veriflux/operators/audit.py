@@ -19,14 +19,21 @@ def stamp_ingestion(df: DataFrame, source_system: str) -> DataFrame:
     })
 
 
+# A time of day with an offset behind it.
+OFFSET = r"\d:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)$"
+
+
 def type_event_time(df: DataFrame, source_zone: str | None = None) -> DataFrame:
     """Adds `event_timestamp` and types `transaction_date`; unreadable values become null.
 
     Times without an offset are read in the session time zone (UTC), or in `source_zone`.
     """
     event_time = parse_timestamp(F.col("timestamp"))
+    if source_zone:
+        local = F.to_utc_timestamp(event_time, source_zone)
+        event_time = F.when(F.col("timestamp").cast("string").rlike(OFFSET), event_time).otherwise(local)
     return df.withColumns({
-        "event_timestamp": F.to_utc_timestamp(event_time, source_zone) if source_zone else event_time,
+        "event_timestamp": event_time,
         "transaction_date": parse_date(F.col("transaction_date").cast("string")),
     })
 

@@ -11,11 +11,16 @@ from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
 
 
+def business(columns: Sequence[str]) -> list[str]:
+    """Columns that describe the record; those that start with an underscore describe the run."""
+    return [c for c in columns if not c.startswith("_")]
+
+
 def _rank(keys: Sequence[str], sequence: Sequence[str], columns: Sequence[str], unique: bool) -> Column:
-    """What orders the records of a key. Unless the sequence is unique per key, a hash of the record
-    decides between equals, so that all columns come from the same one."""
+    """What orders the records of a key. Unless the sequence is unique per key, a hash of the business columns
+    decides between equals, so that all of them come from the same record, whenever it was processed."""
     if not unique:
-        return F.struct(*sequence, null_safe_hash(*keys, *columns).alias("_tie"))
+        return F.struct(*sequence, null_safe_hash(*keys, *business(columns)).alias("_tie"))
     return F.struct(*sequence) if len(sequence) > 1 else F.col(sequence[0])
 
 
@@ -95,7 +100,7 @@ def change_rows(
     """Change records with what `versions` needs: a tie-break, a delete mark and the tracked struct."""
     deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     return changes.withColumns({
-        "_tie": null_safe_hash(*[c for c in changes.columns if c not in keys]),
+        "_tie": null_safe_hash(*business([c for c in changes.columns if c not in keys])),
         "_deleted": deleted,
     }).withColumn("_tracked", F.struct("_deleted", *track))
 

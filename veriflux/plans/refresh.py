@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from veriflux.operators import quality
 from veriflux.operators.cdc import current_versions
@@ -30,23 +31,37 @@ def refresh_silver(
     dimension_sequence: Sequence[str] = ("_ingested_at",),
     policy: SkewPolicy = SkewPolicy(),
 ) -> dict[str, DataFrame]:
-    """Bronze datasets in, stored silver tables out."""
+    """Bronze datasets in, stored silver tables out.
+
+    Transactions without an id (malformed messages among them) have no key: they are stored in `silver.quarantine`
+    before deduplication and change data would merge them into one. The two data sets without a copy of their own can
+    be queried as the views `transactions_enriched` and `transactions_unified`.
+    """
     create_layers(live_changes.sparkSession)
     day = ["transaction_date"]
+    keyed = F.col("transaction_id").isNotNull()
+    quarantine = live_changes.filter(~keyed).unionByName(landed.filter(~keyed), allowMissingColumns=True)
+    quarantine = save_table(quarantine, "silver.quarantine")
+    live_changes, landed = live_changes.filter(keyed), landed.filter(keyed)
     cleaned = save_table(
         silver.transactions_cleaned(live_changes, transaction_sequence), "silver.transactions_cleaned", day)
     landed_cleaned = save_table(
         silver.transactions_landed_cleaned(landed, params.as_of), "silver.transactions_landed_cleaned", day)
     rates = save_table(silver.exchange_rates(fx), "silver.exchange_rates")
+    enriched = silver.transactions_enriched(cleaned, rates)
+    # A union of two stored tables needs no copy of its own; filters reach both scans.
+    unified = silver.transactions_unified(cleaned, landed_cleaned)
+    enriched.createOrReplaceTempView("transactions_enriched")
+    unified.createOrReplaceTempView("transactions_unified")
     return {
+        "quarantine": quarantine,
         # Tracked, not enforced: the live path keeps every transaction.
         "quality": save_table(quality.report(cleaned, quality.silver_rules(params.as_of)), "silver.quality"),
         "transactions_cleaned": cleaned,
         "transactions_landed_cleaned": landed_cleaned,
         "exchange_rates": rates,
-        "transactions_enriched": silver.transactions_enriched(cleaned, rates),
-        # A union of two stored tables needs no copy of its own; filters reach both scans.
-        "transactions_unified": silver.transactions_unified(cleaned, landed_cleaned),
+        "transactions_enriched": enriched,
+        "transactions_unified": unified,
         "merchants": save_table(
             silver.merchants_current(merchant_changes, dimension_sequence), "silver.merchants"),
         "customers": save_table(

@@ -45,10 +45,10 @@ def customers_history(
 
 
 def exchange_rates(fx: DataFrame, ingested: str = "_ingested_at") -> DataFrame:
-    """One rate per currency and date: the one ingested last."""
-    return fx.groupBy("currency_code", "rate_date").agg(
-        F.max_by("usd_multiplier", ingested).alias("usd_multiplier")
-    )
+    """One rate per currency and date: the one ingested last. Null rates say nothing; of rates that were ingested
+    together the largest counts, so that the order of rows doesn't matter."""
+    order = F.when(F.col("usd_multiplier").isNotNull(), F.struct(ingested, "usd_multiplier"))
+    return fx.groupBy("currency_code", "rate_date").agg(F.max_by("usd_multiplier", order).alias("usd_multiplier"))
 
 
 def with_usd_amount(

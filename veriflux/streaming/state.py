@@ -6,7 +6,8 @@ size and never on every compaction. Which segments cover batches 0..n-1 follows
 to base `fanout`): a batch that runs again after a lost driver or executor reads what it read the first
 time and writes the same files again, and nothing has to be listed.
 
-Merged segments are left in place for such reruns; they may be deleted by age.
+Merged segments are left in place for such reruns. Age says nothing about them: the oldest segment is often the live
+one, so only segments that a larger one covers, and that no rerun can need any more, may be deleted.
 """
 
 from __future__ import annotations
