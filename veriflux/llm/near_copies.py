@@ -140,10 +140,11 @@ def _prefixes(table: pa.Table, nodes: pa.Table, width: int, hot: np.ndarray, buc
     order = np.argsort(W.mix(name), kind="stable")
     out.spread(buckets, block, MEMBERS, W.mix(name[order]), *(p[order].astype(t) for p, t in zip((name, doc, size), _MEMBER, strict=True)))
     place, name, doc, size = (np.concatenate(x) for x in zip(*got, strict=True))
-    order = np.argsort(place, kind="stable")
-    place = place[order]
-    parts = (place >> np.uint64(16), name[order], doc[order], size[order])
-    out.spread(buckets, block, B.ENTRY, place, *(p.astype(t) for p, t in zip(parts, _ENTRY, strict=True)))
+    token = W.mix(place)  # first tokens have low places: mixed, they spread over all buckets
+    order = np.argsort(token, kind="stable")
+    token = token[order]
+    parts = (token >> np.uint64(16), name[order], doc[order], size[order])
+    out.spread(buckets, block, B.ENTRY, token, *(p.astype(t) for p, t in zip(parts, _ENTRY, strict=True)))
     return out.table()
 
 
