@@ -16,6 +16,7 @@ nothing half-written, and any file system that Spark can write to will do.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -30,7 +31,7 @@ from tokenizers import Tokenizer
 from veriflux.llm import words as W
 
 LETTER, NUMBER, OTHER, BLANK = 0, 1, 2, 3
-MEMORY = 1 << 21  # distinct pieces that a worker remembers before it starts afresh
+MEMORY = 1 << 19  # distinct pieces that a worker remembers before it starts afresh
 BATCH = 4096
 NO_ID = -(1 << 63)
 DOCUMENT = "path string, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
@@ -95,6 +96,7 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; more threads only cost memory
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = id_type(self.tokenizer.get_vocab_size())
