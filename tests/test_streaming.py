@@ -247,6 +247,49 @@ def test_travel_pairs_across_batches(spark, folder):
     assert found.count() == batch.count() and found.exceptAll(batch).count() == 0
 
 
+def journey(spark, *rows):
+    """Transactions of (id, customer, time, latitude)."""
+    columns = "transaction_id string, customer_id string, t string, latitude double"
+    return spark.createDataFrame(list(rows), columns).select(
+        "customer_id", F.lit(1.0).alias("amount"), F.col("t").cast("timestamp").alias("event_timestamp"), "latitude",
+        F.lit(77.0).alias("longitude"), F.lit("X").alias("location_city"), F.lit("IN").alias("location_country"),
+        "transaction_id")
+
+
+def pairs(found):
+    return sorted((r.txn_id_1, r.txn_id_2) for r in found.collect())
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=2)], ids=["plain", "hot"])
+def test_travel_waits_for_late_transactions(spark, folder, policy):
+    day = "2024-01-01 "
+    deliveries = [
+        [("a1", "A", day + "08:00:00", 10.0), ("a3", "A", day + "08:20:00", 30.0), ("n1", None, day + "08:00:00", 10.0)],
+        # Out of order, but within the lateness; without a customer; without a time; a full copy.
+        [("a2", "A", day + "08:10:00", 20.0), ("n2", None, day + "08:15:00", 20.0), ("x", "A", None, 50.0),
+         ("a3", "A", day + "08:20:00", 30.0)],
+        [("b1", "B", day + "12:00:00", 10.0)],
+        # Behind the watermark of 11:30.
+        [("a0", "A", day + "08:05:00", 70.0), ("a4", "A", day + "11:40:00", 10.0)],
+        [],
+    ]
+    feed = Feed(spark, folder, journey(spark, *deliveries[0]).schema)
+    params = RiskParams(as_of="2024-01-02 00:00:00")
+    expected = [("a1", "a2"), ("a2", "a3"), ("n1", "n2")]
+    for i, rows in enumerate(deliveries):
+        feed.deliver(journey(spark, *rows))
+        travel = TravelStream(feed.stream(), folder, params, policy, fanout=2)
+        drain(travel.start())
+        if i == 1:
+            assert pairs(travel.settled()) == [] and pairs(travel.found()) == expected
+        if i >= 2:
+            assert pairs(travel.settled()) == expected
+    assert pairs(travel.found()) == [*expected[:2], ("a3", "a4"), expected[2]]
+    assert [r.transaction_id for r in travel.late().collect()] == ["a0"]
+    on_time = journey(spark, *(r for rows in deliveries for r in rows if r[0] != "a0"))
+    assert pairs(gold.impossible_travel(on_time, params)) == pairs(travel.found())
+
+
 def test_one_alert_per_transaction(spark, folder):
     deliveries = [
         [dict(transaction_id="A", is_fraud=False), dict(transaction_id="B", is_fraud=True, fraud_score=0.7)],

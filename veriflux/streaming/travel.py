@@ -1,33 +1,39 @@
-"""Impossible travel on a stream: the last transaction of every customer is kept between micro-batches."""
+"""Impossible travel on a stream: what can still change is kept between micro-batches."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from veriflux.operators.ordered import OrderedRows, SkewPolicy
-from veriflux.operators.sizing import fits_broadcast
+from veriflux.operators.ordered import SkewPolicy
+from veriflux.operators.sizing import match
 from veriflux.params import RiskParams
-from veriflux.plans.gold import TRAVEL_STATE, score_travel
+from veriflux.plans.gold import TRAVEL_STATE, score_travel, with_previous
 from veriflux.streaming.run import to_batches
 from veriflux.streaming.state import SegmentState
 
 ORDER = ("event_timestamp", "transaction_id")
+LATENESS_S = 30 * 60
+NEVER = -62_135_596_800_000_000  # microseconds of the year 1
 
 
 def last_per_customer(rows: DataFrame) -> DataFrame:
-    others = [c for c in TRAVEL_STATE if c not in ORDER]
+    others = [c for c in rows.columns if c not in {"customer_id", *ORDER}]
     latest = F.max(F.struct(*ORDER, *others)).alias("_row")
-    return rows.groupBy("customer_id").agg(latest).select("customer_id", "_row.*").select("customer_id", *TRAVEL_STATE)
+    return rows.groupBy("customer_id").agg(latest).select("customer_id", "_row.*").select(*rows.columns)
 
 
 class TravelStream:
-    """Pairs each transaction with its predecessor, in the micro-batch or in the state.
+    """Pairs each transaction with its predecessor, also when transactions arrive out of order.
 
-    Equal to the batch dataset as long as a customer's transactions arrive in order, which a topic keyed
-    by customer guarantees.
+    The watermark is the latest event time of the earlier micro-batches less `lateness_s`. A transaction behind it goes
+    to `late()` and takes part in no pair. A pair is settled, and written once, when the watermark passes its later
+    transaction. `found()` adds the pairs of transactions that the watermark has not reached yet, as they stand: it
+    equals the batch dataset over all rows that are not late. State holds each customer's last settled transaction and
+    all later ones. Transactions without a time make no pair and are not kept; those without a customer count as one
+    customer, as in the batch dataset.
     """
 
     def __init__(
@@ -37,35 +43,75 @@ class TravelStream:
         params: RiskParams = RiskParams(),
         policy: SkewPolicy = SkewPolicy(),
         fanout: int = 32,
+        lateness_s: int = LATENESS_S,
     ):
         self.transactions = transactions.select("customer_id", "amount", *TRAVEL_STATE)
-        self.path, self.params, self.policy = path, params, policy
-        spark = transactions.sparkSession
-        schema = self.transactions.select("customer_id", *TRAVEL_STATE).schema
-        self.state = SegmentState(spark, f"{path}/state", schema, last_per_customer, fanout)
+        self.path, self.params, self.policy, self.lateness_s = path, params, policy, lateness_s
+        self.spark = transactions.sparkSession
+        self.state = SegmentState(self.spark, f"{path}/state", self.transactions.schema, self._reduced, fanout)
+
+    def _time(self, micros: int) -> Column:
+        """A literal of the column's own type, so that comparisons reach the Parquet scan."""
+        return F.timestamp_micros(F.lit(micros)).cast(self.transactions.schema["event_timestamp"].dataType)
+
+    def _watermark(self, rows: DataFrame) -> int:
+        """Microseconds; one row comes to the driver."""
+        latest = rows.agg(F.max(F.unix_micros(F.col("event_timestamp").cast("timestamp")))).first()[0]
+        return NEVER if latest is None else latest - self.lateness_s * 1_000_000
+
+    def _reduced(self, rows: DataFrame) -> DataFrame:
+        """What later micro-batches need of stored rows: their watermark is never below the one of these rows."""
+        return self._context(rows, self._watermark(rows))
+
+    def _context(self, rows: DataFrame, watermark: int) -> DataFrame:
+        """The rows from the watermark on, and the last one before it of each customer."""
+        settled = last_per_customer(rows.filter(F.col("event_timestamp") < self._time(watermark)))
+        return rows.filter(F.col("event_timestamp") >= self._time(watermark)).unionByName(settled)
+
+    def _pairs(self, rows: DataFrame, begin: int) -> DataFrame:
+        """Scored pairs whose later transaction lies at or behind `begin`."""
+        listed = F.col("event_timestamp") >= self._time(begin)
+        customers = rows.filter(listed).select("customer_id").distinct()
+        context = match(self._context(rows, begin), customers, ["customer_id"], "left_semi")
+        return score_travel(with_previous(context, self.policy, merge_copies=True).filter(listed), self.params)
 
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
-        # Read four times below. A lost cached block is read from the source again.
+        # Read several times below. A lost cached block is read from the source again.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._pair(batch, batch_id)
+            self._settle(batch, batch_id)
         finally:
             batch.unpersist()
 
-    def _pair(self, batch: DataFrame, batch_id: int) -> None:
-        customers = batch.select("customer_id").distinct()
-        if fits_broadcast(customers):
-            customers = F.broadcast(customers)
-        known = self.state.entries(before=batch_id).join(customers, "customer_id", "left_semi")
-        carried = last_per_customer(known).withColumns({"amount": F.lit(None).cast("double"), "_new": F.lit(False)})
-        rows = batch.withColumn("_new", F.lit(True)).unionByName(carried)
-        pairs = OrderedRows(rows, ["customer_id"], ORDER, self.policy).previous(TRAVEL_STATE).result()
-        found = score_travel(pairs.filter("_new"), self.params)
+    def _settle(self, batch: DataFrame, batch_id: int) -> None:
+        stored = self.state.entries(before=batch_id)
+        begin = self._watermark(stored)
+        end = max(begin, self._watermark(batch))
+        late = F.col("event_timestamp") < self._time(begin)
+        batch.filter(late).write.mode("overwrite").parquet(f"{self.path}/late/batch_id={batch_id}")
+        fresh = batch.filter(~late)  # without those that have no time
+        rows = stored.unionByName(fresh).filter(F.col("event_timestamp") < self._time(end))
+        found = self._pairs(rows, begin)
         found.write.mode("overwrite").parquet(f"{self.path}/found/batch_id={batch_id}")
-        self.state.write(last_per_customer(batch), batch_id)
+        self.state.write(fresh, batch_id)
 
     def start(self, every: str | None = None) -> StreamingQuery:
         return to_batches(self.transactions, self._handle, f"{self.path}/checkpoint", every)
 
+    def _written(self, name: str, done: int) -> DataFrame:
+        """The files of complete micro-batches; a micro-batch that is under way writes its own anew."""
+        return self.spark.read.parquet(f"{self.path}/{name}").filter(F.col("batch_id") < done).drop("batch_id")
+
+    def settled(self) -> DataFrame:
+        """Pairs that no later arrival changes."""
+        return self._written("found", self.state.batches())
+
+    def late(self) -> DataFrame:
+        """Transactions that came behind the watermark."""
+        return self._written("late", self.state.batches())
+
     def found(self) -> DataFrame:
-        return self.transactions.sparkSession.read.parquet(f"{self.path}/found").drop("batch_id")
+        """Settled pairs, and those of transactions that the watermark has not passed."""
+        done = self.state.batches()
+        stored = self.state.entries(before=done)
+        return self._written("found", done).unionByName(self._pairs(stored, self._watermark(stored)))
