@@ -54,10 +54,14 @@ class TravelStream:
         """A literal of the column's own type, so that comparisons reach the Parquet scan."""
         return F.timestamp_micros(F.lit(micros)).cast(self.transactions.schema["event_timestamp"].dataType)
 
+    def _bounds(self, rows: DataFrame) -> tuple[int, int]:
+        """The earliest time and the watermark, in microseconds; one row comes to the driver."""
+        micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+        earliest, latest = rows.agg(F.min(micros), F.max(micros)).first()
+        return (NEVER, NEVER) if latest is None else (earliest, latest - self.lateness_s * 1_000_000)
+
     def _watermark(self, rows: DataFrame) -> int:
-        """Microseconds; one row comes to the driver."""
-        latest = rows.agg(F.max(F.unix_micros(F.col("event_timestamp").cast("timestamp")))).first()[0]
-        return NEVER if latest is None else latest - self.lateness_s * 1_000_000
+        return self._bounds(rows)[1]
 
     def _reduced(self, rows: DataFrame) -> DataFrame:
         """What later micro-batches need of stored rows: their watermark is never below the one of these rows."""
@@ -86,9 +90,11 @@ class TravelStream:
     def _settle(self, batch: DataFrame, batch_id: int) -> None:
         stored = self.state.entries(before=batch_id)
         begin = self._watermark(stored)
-        end = max(begin, self._watermark(batch))
+        earliest, reached = self._bounds(batch)
+        end = max(begin, reached)
         late = F.col("event_timestamp") < self._time(begin)
-        batch.filter(late).write.mode("overwrite").parquet(f"{self.path}/late/batch_id={batch_id}")
+        if batch_id == 0 or earliest < begin:  # the first one has none, and gives the files their columns
+            batch.filter(late).write.mode("overwrite").parquet(f"{self.path}/late/batch_id={batch_id}")
         fresh = batch.filter(~late)  # without those that have no time
         rows = stored.unionByName(fresh).filter(F.col("event_timestamp") < self._time(end))
         found = self._pairs(rows, begin)
