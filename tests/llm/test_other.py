@@ -46,6 +46,37 @@ def test_chat_links_calls(spark):
     assert chat.format_turns(turns.limit(0), tools).count() == 0
 
 
+def test_chat_query_checks_every_conversation(spark, folder):
+    """The given turns with a call, its result and the tool in every conversation, against plain Python."""
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").filter("conv_id is not null and turn is not null")
+    convs = sorted(r.conv_id for r in turns.select("conv_id").distinct().collect())
+    given = [tuple(r) for r in turns.select("conv_id", "turn", "role", "text").collect()]
+    kinds = [({"x": 1}, None), ({"x": "s"}, "wrong type: x"), ({}, "missing: x"), ({"x": 1, "q": 0}, "unknown: q"), ([1], "arguments are no object")]
+    extra, want = [], {}
+    for n, conv in enumerate(convs):
+        arguments, why = kinds[n % 5]
+        name = f"tool{n % 7}"
+        schema = {"name": name, "parameters": {"properties": {"x": {"type": "integer"}, "y": {}}, "required": ["x"]}}
+        made = "other" if n % 11 == 3 else name
+        back = 995 if n % 3 == 0 else 1005  # some results come before their call
+        extra += [
+            (conv, 990, "system", json.dumps({"tools": [{"function": schema} if n % 2 else schema]})),
+            (conv, 1000, "assistant", call(("c", made, arguments))), (conv, back, "tool", json.dumps({"tool_call_id": "c", "content": "r"})),
+        ]
+        want[conv] = {(990, "system", 990, None, None), (1000, "assistant", 1000, None, "unknown tool" if made == "other" else why),
+                      (back, "tool", max(back, 1000), 1000, None)}
+    rows = spark.createDataFrame([*given, *extra], "conv_id long, turn long, role string, text string")
+    rows.write.parquet(f"{folder}/conversations.parquet")
+    got = queries.op4_chat_formatting(spark, folder).collect()
+    assert len(got) == len(given) + len(extra)
+    for conv in convs:
+        mine = [r for r in got if r.conv_id == conv]
+        assert {(r.turn, r.role, r.place_turn, r.call_turn, r.problem) for r in mine if r.turn >= 990} == want[conv], conv
+        order = [r.role for r in sorted(mine, key=lambda r: (r.place_turn, r.call_turn is not None and r.call_turn >= r.turn))]
+        assert order[-3:] == ["system", "assistant", "tool"]
+        assert all(r.place_turn == r.turn and r.problem is None for r in mine if r.turn < 990)
+
+
 def test_chat_uses_no_python(spark):
     plan = chat.format_turns(spark.read.parquet(f"{SF}/conversations.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

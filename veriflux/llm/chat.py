@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 CALLS = "content string, tool_calls array<struct<id:string,name:string,arguments:string>>"
 RESULT = "content string, tool_call_id string"
+_PARAMETERS = "parameters:struct<required:array<string>,properties:map<string,struct<type:string>>>"
+TOOLS = f"tools array<struct<name:string,{_PARAMETERS},function:struct<name:string,{_PARAMETERS}>>>"
 
 
 def _object(text: Column, schema: str) -> Column:
@@ -51,14 +53,30 @@ def _problem(types: Column, required: Column, properties: Column) -> Column:
     )
 
 
+def declared_tools(turns: DataFrame) -> DataFrame:
+    """conv_id, name, required, properties: the tools that the conversations themselves declare.
+
+    A system turn whose text is a JSON object with `tools` declares them: a list of name and parameters (a JSON schema
+    with required and properties), bare or as `function`. Tools without parameters take no arguments; properties without
+    a type, or with a list of types, take any value. Tools without a name are left out.
+    """
+    rows = turns.filter(F.col("role") == "system").select("conv_id", F.explode(_object(F.col("text").cast("string"), TOOLS)["tools"]).alias("t"))
+    parameters = F.coalesce("t.parameters", "t.function.parameters")
+    properties = F.coalesce(parameters["properties"], F.from_json(F.lit("{}"), "map<string,struct<type:string>>"))
+    return rows.select(
+        "conv_id", F.coalesce("t.name", "t.function.name").alias("name"), F.coalesce(parameters["required"], F.array().cast("array<string>")).alias("required"),
+        F.transform_values(properties, lambda _, p: F.coalesce(p["type"], F.lit("any"))).alias("properties"),
+    ).filter("name is not null")
+
+
 def format_turns(turns: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, turn, place, role, call_turn, problem, message for each row of `turns` (conv_id, turn, role, text).
 
     message: canonical JSON (keys in order, no white space). place (turn, later, row) sorts a conversation so that a
     result comes after its call: a result that stands before it moves right behind the turn of the call. call_turn: the
     turn that a result answers, the first with that identifier. problem: of a result, that no call has its identifier;
-    of calls, why their arguments don't match `tools` (name, required array<string>, properties map<string,string>;
-    not checked when `tools` is None).
+    of calls, why their arguments don't match `tools` (name, required array<string>, properties map<string,string>, and
+    conv_id if a tool is known in its own conversation only; not checked when `tools` is None).
 
     Null texts give null content; malformed JSON is ordinary text; calls and results without an identifier are linked
     with nothing. Repeated results link to the same call, repeated identifiers to the first. Null roles, turns and
@@ -82,15 +100,21 @@ def format_turns(turns: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     none = F.lit(None)
     checked = F.lit(None).cast("string")
     if tools is not None:
-        schemas = tools.groupBy("name").agg(F.min(F.struct(F.to_json(F.struct("required", "properties")).alias("json"), "required")).alias("s"))
-        schemas = schemas.select(F.col("name").alias("tool"), F.from_json("s.json", "required array<string>, properties map<string,string>").alias("schema"))
-        # A call names its turn by a hash of the row, so that only the problems travel back.
+        own = ["conv_id"] if "conv_id" in tools.columns else []
+        schemas = tools.groupBy(*own, "name").agg(F.min(F.struct(F.to_json(F.struct("required", "properties")).alias("json"), "required")).alias("s"))
+        schemas = schemas.select(
+            *(F.col(c).alias("tool_conv") for c in own), F.col("name").alias("tool"),
+            F.from_json("s.json", "required array<string>, properties map<string,string>").alias("schema"),
+        )
+        # A call names its turn by a hash of the row, so that only the problems travel back; other turns stay where they are.
         key = F.xxhash64("conv_id", "turn", "text")
-        each = plain.filter(is_call).select(key.alias("k"), F.posexplode("call.tool_calls").alias("at", "c"))
-        each = each.join(schemas, F.col("c.name") == F.col("tool"), "left")
+        each = plain.filter(is_call).select("conv_id", key.alias("k"), F.posexplode("call.tool_calls").alias("at", "c"))
+        known = F.col("c.name") == F.col("tool")
+        each = each.join(schemas, known & (F.col("conv_id") == F.col("tool_conv")) if own else known, "left")
         problem = _problem(_types(F.col("c.arguments")), F.col("schema.required"), F.col("schema.properties"))
         problems = each.select("k", F.struct("at", problem.alias("why")).alias("p")).filter("p.why is not null").groupBy("k").agg(F.min("p.why").alias("why"))
-        plain = plain.withColumn("key", F.when(is_call, key)).join(problems, F.col("key") == F.col("k"), "left").drop("key", "k")
+        callers = plain.filter(is_call).withColumn("key", key).join(problems, F.col("key") == F.col("k"), "left").drop("key", "k")
+        plain = plain.filter(~is_call).withColumn("why", checked).unionByName(callers)
         checked = F.col("why")
     plain = plain.select("conv_id", "turn", "role", "text", "call", "result", none.cast(turns.schema["turn"].dataType).alias("call_turn"), checked.alias("problem"))
     together = plain.unionByName(linked.select(*plain.columns))

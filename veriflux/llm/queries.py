@@ -60,7 +60,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    formatted = chat.format_turns(_read(spark, sf_dir, "conversations"))
+    """Calls are checked against the tools of their conversation. place_turn, then whether call_turn >= turn (a result that
+    moved behind its call), sort a conversation."""
+    turns = _read(spark, sf_dir, "conversations")
+    formatted = chat.format_turns(turns, chat.declared_tools(turns))
     return formatted.select("conv_id", "turn", "role", F.col("place.turn").alias("place_turn"), "call_turn", "problem", "message")
 
 
