@@ -261,6 +261,33 @@ def test_contamination_matches_edit_distance(spark):
     assert contamination.find_items(docs, benchmark.limit(0)).count() == 0
 
 
+def test_contamination_finds_short_items(spark):
+    items = [(0, "x"), (1, "ab cd"), (2, "Forty two"), (3, "élan"), (4, "日本語"), (5, "seventeen  letters"), (6, "日本語" * 6), (7, ""), (8, None), (9, " "), (5, "seventeen letters")]
+    items += [(10, "one item of thirty-three bytes ok"), (11, "ab cd")]
+    texts = [
+        (0, "ab cde xab cd"), (1, "cab AB  CD."), (2, "(forty two), Forty two"), (3, "élans Élan élan"), (4, "これは日本語です"), (5, "now seventeen\nletters"), (6, "の" + "日本語" * 6 + "を"),
+        (7, "has x"), (8, None), (9, ""), (10, "with one item of thirty-thre bytes ok here"), (11, "seventeenletters"), (12, "ab"), (13, "cd"), (14, "forty two"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    norm = lambda t: " ".join(words(t, lower=True))
+
+    def place(item, text):
+        """In bytes, by trying all places."""
+        letter = lambda c: re.match(r"\w", c) and not re.match("[\u3040-\u30ff\u4e00-\u9fff]", c)
+        joint = lambda k: 0 < k < len(text) and letter(text[k - 1]) and letter(text[k])
+        k = next((k for k in range(len(text)) if text.startswith(item, k) and not joint(k) and not joint(k + len(item))), None)
+        return None if k is None else len(text[:k].encode())
+
+    want = [(d, i, s, s + len(m.encode()), 0) for d, t in texts for i, x in items if 0 < len((m := norm(x)).encode()) < 20 and (s := place(m, norm(t))) is not None]
+    want += [(6, 6, 3, 57, 0), (10, 10, 5, 37, 1)]
+    assert {(1, 1), (1, 11), (2, 2), (3, 3), (4, 4), (5, 5), (7, 0), (14, 2)} <= {w[:2] for w in want} and not any(w[0] in (0, 11, 12, 13) for w in want)
+    for slice_chars in (1 << 20, 8):
+        got = contamination.find_items(docs, benchmark, slice_chars=slice_chars).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert {r.doc_id for r in contamination.drop_contaminated(docs, benchmark).collect()} == {d for d, _ in texts} - {w[0] for w in want}
+
+
 def test_scores_of_words_and_bytes(odd, docs):
     for df in (docs, odd):
         held = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
