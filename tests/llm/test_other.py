@@ -126,6 +126,22 @@ def test_main_text_without_article(model):
     assert got[1:3] == ["", ""] and "abc def" in got[3]
 
 
+def test_main_text_learns_from_rare_labels(spark):
+    """One page in a hundred holds an article; others name one in a comment or have one for comments."""
+    given = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(20).collect()]
+    empty = [f"<html><body><!-- <article> --><article class='comments'>{k}</article><div class='content'><p>{k}</p></div></body></html>" for k in range(1980)]
+    rows = spark.createDataFrame([(h,) for h in [*given, *empty, None]], "html string").repartition(8)
+    got = main_text.train(rows, sample=20)
+    assert len(got.trees) == main_text.ROUNDS
+    cut = main_text.extract(given, got)
+    assert sum(g == article(h) for g, h in zip(cut, given, strict=True)) >= 0.9 * len(given)
+    few = main_text.train(rows, sample=4)  # the four with the least hashes, though few of the pages drawn first have labels
+    least = spark.createDataFrame([(h,) for h in given], "h string").orderBy(F.xxhash64("h"), "h").limit(4).collect()
+    assert few.start == main_text.fit([r.h for r in least]).start
+    none = main_text.train(spark.createDataFrame([(h,) for h in empty[:50]], "html string"))
+    assert none.trees == [] and none.start == 0
+
+
 def test_main_text_rows(spark, model):
     df = spark.createDataFrame([(1, "u", None), (None, None, ""), (1, "u", None)], "page_id long, url string, html string")
     assert [r.text for r in main_text.extract_main_text(df, model).collect()] == ["", "", ""]

@@ -216,11 +216,27 @@ def fit(pages: list[str], seed: int = 7) -> Model:
     return boost(np.concatenate(xs), np.concatenate(ys))
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([_labels(dom.parse(h.as_py())) is not None for h in batch.column("h")], pa.bool_()))
+
+
 def train(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Model:
-    """Fits on at most `sample` pages, drawn by a hash of their content."""
+    """Fits on at most `sample` pages with labels, drawn by a hash of their content from all such pages.
+
+    Pages whose text names an article or main element are counted; whether it is one that labels the page, and not part
+    of a comment or a list of comments, is found by reading pages in the order of their hashes, in shares that grow until
+    there are enough of them. Without any, the model has no tree and gives all nodes even odds.
+    """
     html = pages[html_col].cast("string")
-    drawn = pages.select(html.alias("h"), F.xxhash64(html).alias("k")).filter("h is not null").orderBy("k", "h").limit(sample)
-    return fit([r.h for r in drawn.select("h").collect()])
+    named = pages.select(html.alias("h"), F.xxhash64(html).alias("k")).filter(F.col("h").rlike("(?i)<(article|main)"))
+    share, drawn = min(1.0, 4 * sample / max(named.count(), 1)), []
+    while True:
+        some = named.filter(F.col("k") <= int(share * (1 << 64)) - (1 << 63)) if share < 1 else named
+        drawn = some.mapInArrow(_labelled, "h string, k bigint").orderBy("k", "h").limit(sample).collect()
+        if len(drawn) >= sample or share >= 1:
+            return fit([r.h for r in drawn])
+        share = min(1.0, 16 * share)
 
 
 def _extract(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
