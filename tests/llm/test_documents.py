@@ -154,6 +154,21 @@ def test_mixing(odd, docs):
             assert abs(sum(r.size * r.copies for r in mine) - target) <= 2 * max(r.size for r in mine)  # copies share their fate
 
 
+def test_whole_copies_have_no_sample(spark):
+    rows = [(k, "" if k < 3 else "a few words", "a") for k in range(9)] + [(k, "many words " * 20, "b") for k in range(10, 90)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("row.doc_id", "copies").collect()
+    assert {r.copies for r in got if r.doc_id < 9} == {3}  # stopped at three times the size; empty documents too
+
+
+@pytest.mark.parametrize("share", [1 - 2**-53, 0.999999, 0.5, 1e-6])
+def test_bins_spread_and_keep_the_order(spark, share):
+    rows = spark.range(20_000).select(((F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)).alias("u"), F.lit(share).alias("share"), F.lit(1.0).alias("odds"))
+    got = sorted((r.rank, r.bin) for r in rows.withColumn("rank", mixing._rank()).withColumn("bin", mixing._bin()).collect())
+    bins = [b for _, b in got]
+    assert bins == sorted(bins) and 0 <= bins[0] and bins[-1] < mixing.BINS
+    assert max(Counter(bins).values()) < 30
+
+
 def test_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 890), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}

@@ -7,7 +7,7 @@ document that comes nearest to the rest, if any comes nearer than none. Random n
 reruns agree.
 
 No source is sorted in one task: a histogram of ranks finds the bin where a source's sample ends, and only that bin is
-ordered. What comes out of it, one row for each source, decides on every document by itself.
+ordered. Sources that are due a whole number of copies have no sample. What comes out of it, one row for each source, decides on every document by itself.
 """
 
 from __future__ import annotations
@@ -63,7 +63,11 @@ def _rank() -> Column:
 
 
 def _bin() -> Column:
-    return F.least(F.floor(F.col("rank") * BINS), F.lit(BINS - 1)).cast("int")
+    """Ranks turned back into u, where all odds are 1, so that a source spreads over its bins whatever its share is. Each step
+    keeps the order of ranks also when rounded, and equal ranks share a bin."""
+    within, above = F.col("rank") * F.col("share"), (1 - F.col("rank")) * (1 - F.col("share"))
+    spread = F.when(within > 0, F.lit(float(BINS)) / (1 + above / F.nullif(within, F.lit(0.0)))).otherwise(0.0)
+    return F.least(F.floor(spread), F.lit(BINS - 1)).cast("int")
 
 
 def _same_source(left: DataFrame, right: DataFrame, sources: int, how: str = "inner") -> DataFrame:
@@ -86,7 +90,7 @@ def plan(rows: DataFrame, weights: tuple[float, ...], most: float) -> tuple[Data
     ), "mix-targets")
     count = sources.count()
     ranked = _same_source(rows, sources, count).withColumn("rank", _rank()).withColumn("bin", _bin())
-    bins = ranked.groupBy("source", "bin", "left").agg(F.sum("size").alias("words"))
+    bins = ranked.filter("share > 0").groupBy("source", "bin", "left").agg(F.sum("size").alias("words"))
     through = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
     bins = bins.select("source", "bin", "left", "words", through.alias("through")).filter(F.col("through") > F.col("left"))
     ends = bins.groupBy("source").agg(F.min(F.struct("bin", (F.col("through") - F.col("words")).alias("before"))).alias("end"))
