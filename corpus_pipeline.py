@@ -50,7 +50,9 @@ STAGES = [
     ("mixing", mix_sources), ("token_files", write_tokens),
 ]
 
-ORACLE_SQL = None  # a learned model decides in the first stage; tests compare run() with a plain version
+# A learned model decides in the first stage. Tests compare run() with the stages one by one, near_copies with its
+# operator and the ids of token_files with its input; plain versions check the operators, not the pipeline.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
