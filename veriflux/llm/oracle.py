@@ -55,7 +55,57 @@ ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER
 SELECT * FROM ranked WHERE rank <= 5
 """
 
+OP11 = f"""
+WITH keyed AS (SELECT doc_id, {WORDS} AS w, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))) AS crc FROM documents),
+hashed AS (SELECT doc_id, w, len(w) AS n, xor(crc, 4294967295) AS h, xor(crc, 4294967295) // 10 AS g FROM keyed),
+placed AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM hashed),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+docs AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: CASE WHEN i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END) ELSE w END AS w FROM periods),
+places AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM docs),
+equal AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM places x JOIN places y
+    ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+best AS (SELECT r.* FROM runs r WHERE NOT EXISTS (SELECT 1 FROM runs s WHERE s.doc_id = r.doc_id AND (s.length * r.period > r.length * s.period
+    OR (s.length * r.period = r.length * s.period AND (s.start, s.period) < (r.start, r.period))))),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _clusters(k: int, rounds: int) -> str:
+    steps = [f"""v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+k0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, e FROM v QUALIFY c < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (SELECT rid, v.vec_id, v.e, k.c, CAST(list_inner_product(v.e, v.e) + list_inner_product(k.e, k.e)
+    - 2 * list_inner_product(v.e, k.e) AS BIGINT) AS d FROM v, k{r} k),
+a{r} AS MATERIALIZED (SELECT * FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT c, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT c, unnest(e) AS x, unnest(range(64)) AS j FROM a{r}) GROUP BY c, j),
+n{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY j) AS e FROM m{r} GROUP BY c),
+k{r + 1} AS MATERIALIZED (SELECT c, coalesce(n{r}.e, k{r}.e) AS e FROM k{r} LEFT JOIN n{r} USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(k.e, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN k{rounds} k ON a.c = k.c
+"""
+
+
 SQL = {
+    "op11_periodic_runs": OP11,
+    "op12_centroid_clustering": _clusters(40, 5),
     "op4_chat_formatting": OP4,
     "op6_topk_search": OP6,
     "op3_mixing": OP3,

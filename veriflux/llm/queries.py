@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriflux.llm import chat, contamination, context_tree, language, main_text, metric_tree, mixing, near_copies, substrings, token_files
+from veriflux.llm import (
+    centroids, chat, contamination, context_tree, language, main_text, metric_tree, mixing, near_copies, periods, substrings, token_files, word_pieces,
+)
 from veriflux.session import shared_dir, ship_library
 
 
@@ -76,6 +78,50 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, VOCABULARY).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text of all documents; where crc32(doc_id) ends in 0, the words from some place on repeat a few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words").cast("long")
+    cut = cut.select("*", F.when(n > 0, F.pmod("g", n)).alias("a"))
+    cut = cut.select("*", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    looped = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w))
+    return cut.select("doc_id", F.when(n > 0, F.array_join(looped, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapse_runs(with_planted_runs(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+    found = found.withColumn("best", periods.strongest(F.col("runs")))
+    best = [F.col("best")[name].alias(name) for name in ("start", "length", "period")]
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *best, F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.whole_vectors(_read(spark, sf_dir, "embeddings"), 64)
+    order = F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256)
+    found = centroids.cluster(vectors, 40, 5, 64, order)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest)
+
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+def op13_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    coded = word_pieces.decode(word_pieces.encode(_read(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -87,4 +133,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_word_pieces": op13_word_pieces,
 }
