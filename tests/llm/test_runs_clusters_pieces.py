@@ -187,6 +187,7 @@ def test_pieces_equal_the_library(spark, odd, size):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df in (odd, docs):
         rows = df.repartition(3, "doc_id").cache()
+        check_pieces(rows, word_pieces.encode(rows, PATH, decoded=True, chunk_bytes=size))
         check_pieces(rows, word_pieces.decode(word_pieces.encode(rows, PATH, chunk_bytes=size), PATH))
         rows.unpersist()
 

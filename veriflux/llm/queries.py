@@ -114,8 +114,7 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op13_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(WORD_TOKENIZER)
-    coded = word_pieces.decode(word_pieces.encode(_read(spark, sf_dir, "documents"), path), path)
+    coded = word_pieces.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), decoded=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,14 +28,15 @@ from pyspark.sql import functions as F
 from veriflux.llm import blocks as B
 from veriflux.llm import words as W
 
-CHUNK_BYTES = 32 << 20  # texts whose words share one list; a longer text is a chunk of its own
+CHUNK_BYTES = 10 << 20  # texts whose words share one list; a longer text is a chunk of its own
 MOST_BUCKETS = 1 << 14  # keeps messages long when the input is large: a chunk sends a message to each bucket
 ENCODED_AT_ONCE = 1 << 13
-TOKENS_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 18
+ROWS_AT_ONCE = 256
 NO_BUCKET = -1
 MESSAGE = "chunk binary, bucket int, body binary"
 CODEC = "zstd"
-RESULT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+RESULT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
 
 def _squeeze(*parts: np.ndarray | bytes) -> bytes:
@@ -63,13 +65,13 @@ class Chunk:
         self.ids = ids
         table: dict[bytes, int] = {}
         number = table.setdefault
-        numbers: list[int] = []
+        numbers = array("I")
         counts = []
         for text in texts:
             words = text.split() if text else ()
-            numbers += [number(w, len(table)) for w in words]
+            numbers.extend([number(w, len(table)) for w in words])
             counts.append(len(words))
-        self.numbers, self.counts = np.array(numbers, np.uint32), np.array(counts, np.uint32)
+        self.numbers, self.counts = np.frombuffer(numbers, np.uint32), np.array(counts, np.uint32)
         self.words = list(table)
         self.sizes = np.fromiter(map(len, self.words), np.uint32, len(self.words))
         flat = b"".join(self.words)
@@ -96,8 +98,8 @@ class Chunk:
 
 def _chunks(batches: Iterator[pa.RecordBatch], buckets: int, most: int) -> Iterator[Chunk]:
     task, ids, texts, size, made = TaskContext.get().partitionId(), [], [], 0, 0
-    for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
+    for part in (batch.slice(k, ROWS_AT_ONCE) for batch in batches for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
+        for i, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
             if texts and size + len(text or b"") > most:
                 yield Chunk((task, made), ids, texts, buckets)
                 ids, texts, size, made = [], [], 0, made + 1
@@ -184,8 +186,8 @@ def _narrowest(tokenizer) -> type:
     return np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
 
 
-def _joined(key: bytes, rows: pa.Table, replies: pa.Table, narrow: type) -> Iterator[pa.RecordBatch]:
-    """Rows of a chunk with their ids, joined to their words by position."""
+def _joined(key: bytes, rows: pa.Table, replies: pa.Table, narrow: type, table: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk with their ids, joined to their words by position, and with their text if there is a table of pieces."""
     for body in rows.column("body").to_pylist():
         given, doc_ids, counts, numbers, bucket = _unsqueeze(body, np.uint8, np.int64, np.uint32, np.uint32, np.uint16)
         order = np.argsort(bucket, kind="stable")
@@ -203,22 +205,22 @@ def _joined(key: bytes, rows: pa.Table, replies: pa.Table, narrow: type) -> Iter
         a = 0
         while a < len(counts):  # slices of whole rows
             start = int(word_ends[a] - counts[a])
-            b = max(a + 1, int(np.searchsorted(word_ends, start + TOKENS_AT_ONCE // 4, "right")))
+            b = max(a + 1, int(np.searchsorted(word_ends, start + TOKENS_AT_ONCE, "right")))
             which = numbers[start : int(word_ends[b - 1])]
             n = sizes[which].astype(np.int64)
             ends = np.concatenate(([0], np.cumsum(n)))
             at = np.repeat(first[which] - ends[:-1], n) + np.arange(int(ends[-1]))
             flat = pa.array(ids[at].astype(np.int32) if len(at) else np.zeros(0, np.int32), pa.int32())
             offsets = ends[np.concatenate(([0], np.cumsum(counts[a:b], dtype=np.int64)))]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(doc_ids[a:b], pa.int64(), mask=given[a:b] == 0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
-            ], ["doc_id", "ids"])
+            columns = [pa.array(doc_ids[a:b], pa.int64(), mask=given[a:b] == 0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
+            columns += [] if table is None else [_texts(columns[1], table)]
+            yield pa.RecordBatch.from_arrays(columns, RESULT.names[: len(columns)])
             a = b
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id and ids of each text, as the tokenizers library encodes it with the file `tokenizer`, without special tokens
-    added, truncation or padding.
+    added, truncation or padding; with `decoded`, also the text that `decode` gives for the ids, formed where they are joined.
 
     A null or empty text has no ids. Every row gives one row: repeated rows and ids give repeated results, a null id stays null,
     other columns are left out whatever their names, an empty table gives no rows. Special tokens written in a
@@ -229,23 +231,29 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     is repeated, as they do from files; otherwise the job stops with an error, and the frame has to be stored first."""
     buckets = min(B.partitions(docs), MOST_BUCKETS)
     narrow = _narrowest(load(tokenizer))
+    held = _held_pieces(docs, tokenizer) if decoded else None
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     words = rows.mapInArrow(lambda batches: _send_words(batches, buckets, chunk_bytes), MESSAGE)
     replies = B.to_buckets(words).groupBy("bucket").applyInArrow(lambda t: _reply(t, load(tokenizer)), MESSAGE)
     places = rows.mapInArrow(lambda batches: _send_rows(batches, buckets, chunk_bytes), MESSAGE)
+    schema = pa.schema(list(RESULT)[: 3 if decoded else 2])
 
     def join(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             raise RuntimeError(f"chunk {key[0].as_py().hex()} is gone: its rows came in another order; store them first")
-        return pa.Table.from_batches(_joined(key[0].as_py(), left, right, narrow), RESULT)
+        table = pa.array(held.value, pa.string()) if held else None
+        return pa.Table.from_batches(_joined(key[0].as_py(), left, right, narrow, table), schema)
 
-    return places.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(join, "doc_id bigint, ids array<int>")
+    joined = places.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+    return joined.applyInArrow(join, "doc_id bigint, ids array<int>" + ", decoded string" * decoded)
 
 
-def pieces(tokenizer: str) -> list[str]:
-    """The piece of each id."""
+def _held_pieces(df: DataFrame, tokenizer: str):
+    """The piece of each id, broadcast: the table's size is the vocabulary's."""
     found = load(tokenizer)
-    return [found.id_to_token(k) or "" for k in range(found.get_vocab_size())]
+    if found.decoder is not None:
+        raise ValueError("only vocabularies without a decoder")
+    return df.sparkSession.sparkContext.broadcast([found.id_to_token(k) or "" for k in range(found.get_vocab_size())])
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -254,9 +262,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: s
 
     The join of ids with pieces is a join against the broadcast vocabulary, whose size is the file's: an id is the
     place of its piece. Null or empty ids give an empty text; an id that the vocabulary lacks is left out, as the library does it."""
-    held = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer))
-    if load(tokenizer).decoder is not None:
-        raise ValueError("only vocabularies without a decoder")
+    held = _held_pieces(encoded, tokenizer)
     at = encoded.columns.index(ids_col)
     names = [f"c{k}" for k in range(len(encoded.columns) + 1)]
     types = [f.dataType.simpleString() for f in encoded.schema] + ["string"]
