@@ -12,7 +12,6 @@ from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
 from veriflux.streaming.alerts import alerts_once
 from veriflux.streaming.run import drain, to_batches, to_files
-from veriflux.streaming.state import SegmentState
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
@@ -121,71 +120,46 @@ def test_union_of_two_streams(spark, folder):
 # ---- keyed state --------------------------------------------------------------------------------
 
 
-def largest(rows):
-    return rows.groupBy("k").agg(F.max("v").alias("v"))
-
-
-def state(spark, folder, fanout=3):
-    return SegmentState(spark, folder, spark.createDataFrame([], "k string, v long").schema, largest, fanout)
-
-
-def test_state_merges_compacts_and_reopens(spark, folder):
-    kept = state(spark, folder)
-    for i in range(8):
-        kept.write(spark.createDataFrame([("a", i), (f"b{i}", i)], "k string, v long"), i)
-    for reopened in (kept, state(spark, folder)):
-        assert reopened.batches() == 8
-        assert {r.k: r.v for r in reopened.read().collect()} == {"a": 7, **{f"b{i}": i for i in range(8)}}
-    # Two merged segments and two single ones; "a" occurs once in each.
-    assert kept.entries().filter("k = 'a'").count() == 4
-
-
-def test_segments_cover_every_batch_once(spark, folder):
-    kept = state(spark, folder)
-    for batches in range(100):
-        covered = []
-        for path in kept._cover(batches):
-            size, start = map(int, path.rsplit("-", 2)[1:])
-            covered += range(start, start + size)
-        assert covered == list(range(batches))
-        assert len(kept._cover(batches)) <= 2 * 5
-
-
-def test_a_repeated_batch_sees_what_it_saw_before(spark, folder):
-    kept = state(spark, folder, fanout=2)
-    rows = {i: spark.createDataFrame([("a", 10 * i)], "k string, v long") for i in range(3)}
-    for i in (0, 1):
-        kept.write(rows[i], i)
-    # Batch 1 was compacted, but its commit was lost: it runs again.
-    assert [r.v for r in kept.read(before=1).collect()] == [0]
-    kept.write(rows[1], 1)
-    kept.write(rows[2], 2)
-    assert [r.v for r in kept.read().collect()] == [20]
-    assert [r.v for r in kept.read(before=2).collect()] == [10]
-
-
 def test_failed_batch_is_replayed_without_double_effect(spark, folder):
     schema = "id string, seq int, a string"
     feed = Feed(spark, folder, spark.createDataFrame([], schema).schema)
     feed.deliver(spark.createDataFrame([("k", 1, "a1")], schema))
     feed.deliver(spark.createDataFrame([("k", 2, None), ("m", 1, "b1")], schema))
-    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], exclude=["seq"], fanout=2)
-    real, calls = upsert.state.write, []
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], exclude=["seq"])
+    seen = []
 
-    def lose_the_commit(delta, batch_id):
-        real(delta, batch_id)
-        calls.append(batch_id)
-        if len(calls) == 2:
+    def lose_the_driver(rows, batch_id):
+        seen.append((batch_id, sorted(map(tuple, rows.collect()))))
+        if len(seen) == 2:
             raise RuntimeError("driver lost")
 
-    upsert.state.write = lose_the_commit
     with pytest.raises(Exception, match="driver lost"):
-        drain(upsert.start())
-    upsert.state.write = real
-    drain(upsert.start())
+        drain(upsert.start(publish=lose_the_driver))
+    drain(upsert.start(publish=lose_the_driver))
+    assert seen == [(0, [("k", "a1")]), (1, [("k", "a1"), ("m", "b1")]), (1, [("k", "a1"), ("m", "b1")])]
     assert sorted(map(tuple, upsert.table().collect())) == [("k", "a1"), ("m", "b1")]
 
 
+def state_reads(query):
+    """Rows that the state operators of each micro-batch wrote, and how many they hold."""
+    return [(p.numInputRows, s.numRowsUpdated, s.numRowsTotal) for p in query.recentProgress for s in p.stateOperators]
+
+
+def test_a_batch_touches_only_the_state_of_its_keys(spark, folder):
+    schema = "id string, seq int, a string"
+    feed = Feed(spark, folder, spark.createDataFrame([], schema).schema)
+    many = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(1).alias("seq"), F.lit("a").alias("a"))
+    feed.deliver(many)
+    Scd1Stream(feed.stream(), f"{folder}/1", ["id"], ["seq"]).run()
+    Scd2Stream(feed.stream(), f"{folder}/2", ["id"], ["seq"], ["a"]).run()
+    feed.deliver(spark.createDataFrame([("k7", 2, "b"), ("new", 1, "c")], schema))
+    for upsert in (Scd1Stream(feed.stream(), f"{folder}/1", ["id"], ["seq"]), Scd2Stream(feed.stream(), f"{folder}/2", ["id"], ["seq"], ["a"])):
+        query = upsert.start()
+        drain(query)
+        touched = [(updated, total) for rows, updated, total in state_reads(query) if rows == 2]
+        assert touched and all(updated <= 4 and total >= 5001 for updated, total in touched)
+
+
 def test_scd1_stream_with_deletes_equals_batch(spark, folder):
     rows = spark.range(300).select(
         F.concat(F.lit("k"), (F.col("id") % 7).cast("string")).alias("id"), F.col("id").alias("seq"),
@@ -194,7 +168,7 @@ def test_scd1_stream_with_deletes_equals_batch(spark, folder):
     for i in (2, 0, 3, 1):
         feed.deliver(rows.filter(F.pmod(F.xxhash64("seq"), F.lit(4)) == i))
     options = dict(exclude=["seq", "gone"], delete_when=F.col("gone"))
-    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], fanout=2, **options)
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"], **options)
     drain(upsert.start())
     batch = scd1(rows, ["id"], ["seq"], **options)
     assert sorted(map(tuple, upsert.table().collect())) == sorted(map(tuple, batch.collect()))
@@ -227,20 +201,20 @@ def test_scd2_stream_equals_batch_in_any_order(spark, folder, policy):
         late = (F.col("key") == "k0") & F.col("seq").between(40, 60)
         period = F.col("seq").between(low, low + 39)
         feed.deliver(rows.filter(F.when(F.coalesce(late, F.lit(False)), F.lit(low == 120)).otherwise(period)))
-    upsert = Scd2Stream(feed.stream(), folder, ["key"], ["seq"], ["a"], policy, F.col("gone"), fanout=2)
+    upsert = Scd2Stream(feed.stream(), folder, ["key"], ["seq"], ["a"], policy, F.col("gone"))
     drain(upsert.start())
     batch = scd2(rows, ["key"], ["seq"], ["a"], delete_when=F.col("gone"))
     assert sorted(map(str, upsert.history().collect())) == sorted(map(str, batch.collect()))
-    assert {r.key for r in upsert.resets.read(before=4).collect()} == {"k0"}
 
 
-def test_travel_pairs_across_batches(spark, folder):
+@pytest.mark.parametrize("groups", [None, 7])
+def test_travel_pairs_across_batches(spark, folder, groups):
     rows = inputs.transactions(spark, SF).select("customer_id", "amount", *gold.TRAVEL_STATE)
     params = RiskParams(as_of=inputs.AS_OF)
     feed = Feed(spark, folder, rows.schema)
     for low in range(1, 31, 6):
         feed.deliver(rows.filter(F.dayofmonth("event_timestamp").between(low, low + 5)))
-    travel = TravelStream(feed.stream(), folder, params, fanout=2)
+    travel = TravelStream(feed.stream(), folder, params, groups=groups)
     drain(travel.start())
     batch = gold.impossible_travel(rows, params).drop("detected_at")
     found = travel.found().drop("detected_at")
@@ -278,7 +252,7 @@ def test_travel_waits_for_late_transactions(spark, folder, policy):
     expected = [("a1", "a2"), ("a2", "a3"), ("n1", "n2")]
     for i, rows in enumerate(deliveries):
         feed.deliver(journey(spark, *rows))
-        travel = TravelStream(feed.stream(), folder, params, policy, fanout=2)
+        travel = TravelStream(feed.stream(), folder, params, policy)
         drain(travel.start())
         if i == 1:
             assert pairs(travel.settled()) == [] and pairs(travel.found()) == expected
@@ -290,6 +264,46 @@ def test_travel_waits_for_late_transactions(spark, folder, policy):
     assert pairs(gold.impossible_travel(on_time, params)) == pairs(travel.found())
 
 
+def test_strangers_can_be_left_out(spark, folder):
+    rows = journey(spark, ("n1", None, "2024-01-01 08:00:00", 10.0), ("n2", None, "2024-01-01 08:15:00", 20.0),
+                   ("a1", "A", "2024-01-01 08:00:00", 10.0), ("a2", "A", "2024-01-01 08:15:00", 20.0))
+    params = RiskParams(as_of="2024-01-02 00:00:00", travel_unknown_customers=False)
+    feed = Feed(spark, folder, rows.schema)
+    feed.deliver(rows)
+    travel = TravelStream(feed.stream(), folder, params)
+    travel.run()
+    assert pairs(travel.found()) == pairs(gold.impossible_travel(rows, params)) == [("a1", "a2")]
+
+
+def test_scd2_stream_settles_versions_behind_the_watermark(spark, folder):
+    schema = "id string, at timestamp, a string"
+
+    def records(*rows):
+        return spark.createDataFrame(list(rows), "id string, at string, a string").withColumn("at", F.col("at").cast("timestamp"))
+
+    day = "2024-01-0"
+    deliveries = [
+        [("k", day + "1", "A"), ("k", day + "3", "B"), ("m", day + "1", "A")],
+        [("k", day + "2", "B"), ("m", day + "4", "A"), ("k", None, "Z")],  # out of order, within the lateness
+        [("z", day + "9", "A")],
+        [("k", day + "5", "C"), ("m", day + "9", "C"), ("m", day + "8", "B")],  # the first lies behind the watermark
+        [("k", day + "9", "B")],
+    ]
+    feed = Feed(spark, folder, spark.createDataFrame([], schema).schema)
+    for rows in deliveries:
+        feed.deliver(records(*rows))
+        upsert = Scd2Stream(feed.stream(), folder, ["id"], ["at"], ["a"], lateness="2 days")
+        upsert.run()
+    late = {("k", "C"), ("k", "Z")}
+    assert {(r.id, r.a) for r in upsert.late().collect()} == late
+    on_time = records(*(r for rows in deliveries for r in rows if (r[0], r[2]) not in late))
+    batch = scd2(on_time, ["id"], ["at"], ["a"])
+    assert sorted(map(str, upsert.history().collect())) == sorted(map(str, batch.collect()))
+    ended = upsert._written("version").collect()
+    assert {(r.id, r.a) for r in ended} == {("k", "A")}  # timers ended it, though nothing new came for the key
+    assert upsert.kept_rows().filter("id = 'k'").count() <= 2
+
+
 def test_one_alert_per_transaction(spark, folder):
     deliveries = [
         [dict(transaction_id="A", is_fraud=False), dict(transaction_id="B", is_fraud=True, fraud_score=0.7)],

@@ -26,6 +26,8 @@ class RiskParams:
 
     travel_min_speed_kmh: float = 0.1
     travel_min_distance_km: float = 0.1
+    # False leaves transactions without a customer out instead of pairing them as if they were one.
+    travel_unknown_customers: bool = True
 
     structuring_low: float = 9000
     structuring_high: float = 9999

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veriflux.functions import bands
 from veriflux.functions.geo import haversine_km
+from veriflux.functions.hashing import null_safe_hash
 from veriflux.functions.times import hours_between, minutes_between
 from veriflux.operators import quality
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
@@ -129,52 +130,68 @@ def velocity_windows(transactions: DataFrame, params: RiskParams = RiskParams())
 TRAVEL_STATE = (
     "event_timestamp", "latitude", "longitude", "location_city", "location_country", "transaction_id",
 )
+TRAVEL_ORDER = ("event_timestamp", "transaction_id", "_tie")
+
+
+def pairable(transactions: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
+    """What a pair shows of a transaction, with a hash of it that decides between equal times and ids."""
+    rows = transactions.select("customer_id", "amount", *TRAVEL_STATE)
+    if not params.travel_unknown_customers:
+        rows = rows.filter(F.col("customer_id").isNotNull())
+    return rows.withColumn("_tie", null_safe_hash("amount", *TRAVEL_STATE))
 
 
 def with_previous(
     transactions: DataFrame, policy: SkewPolicy = SkewPolicy(), merge_copies: bool = False
 ) -> DataFrame:
-    """Each transaction beside the one before it of the same customer; ties go by transaction id."""
-    order = ["event_timestamp", "transaction_id"]
+    """Each transaction beside the one before it of the same customer. Ties go by transaction id, then by the
+    hash `_tie` where there is one."""
+    order = [c for c in TRAVEL_ORDER if c in transactions.columns]
     rows = OrderedRows(transactions, ["customer_id"], order, policy, merge_copies=merge_copies)
     return rows.previous(TRAVEL_STATE).result()
 
 
-def score_travel(pairs: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
+def measured(pairs: DataFrame) -> DataFrame:
+    """Distance and time between consecutive transactions (columns as made by `with_previous`)."""
+    distance = haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude"))
+    return pairs.withColumns({
+        "_km": distance, "_hours": hours_between(F.col("prev_event_timestamp"), F.col("event_timestamp")),
+    })
+
+
+def is_travel(params: RiskParams) -> Column:
+    known = F.col("prev_event_timestamp").isNotNull() & F.col("prev_latitude").isNotNull()
+    speed = F.col("_km") / F.nullif(F.col("_hours"), F.lit(0))
+    return known & (F.col("_km") > params.travel_min_distance_km) & (speed > params.travel_min_speed_kmh)
+
+
+def score_travel(pairs: DataFrame, params: RiskParams = RiskParams(), detected_at: Column | None = None) -> DataFrame:
     """Speed implied by consecutive transactions (columns as made by `with_previous`)."""
     distance, gap = F.col("_km"), F.col("_hours")
     speed = distance / F.nullif(gap, F.lit(0))
-    return (
-        pairs.filter(F.col("prev_event_timestamp").isNotNull() & F.col("prev_latitude").isNotNull())
-        .withColumns({
-            "_km": haversine_km(F.col("prev_latitude"), F.col("prev_longitude"),
-                                F.col("latitude"), F.col("longitude")),
-            "_hours": hours_between(F.col("prev_event_timestamp"), F.col("event_timestamp")),
-        })
-        .filter((distance > params.travel_min_distance_km) & (speed > params.travel_min_speed_kmh))
-        .select(
-            "customer_id",
-            F.col("transaction_id").alias("txn_id_2"),
-            F.col("prev_transaction_id").alias("txn_id_1"),
-            F.col("prev_location_city").alias("from_city"),
-            F.col("location_city").alias("to_city"),
-            F.col("prev_location_country").alias("from_country"),
-            F.col("location_country").alias("to_country"),
-            F.round(distance, 2).alias("distance_km"),
-            F.round(gap, 4).alias("time_gap_hours"),
-            F.round(speed, 0).alias("implied_speed_kmh"),
-            "amount", "event_timestamp",
-            F.current_timestamp().alias("detected_at"),
-            F.lit("IMPOSSIBLE_TRAVEL").alias("fraud_pattern"),
-            bands.travel_score(speed).alias("impossible_travel_score"),
-        )
+    known = pairs.filter(F.col("prev_event_timestamp").isNotNull() & F.col("prev_latitude").isNotNull())
+    return measured(known).filter(is_travel(params)).select(
+        "customer_id",
+        F.col("transaction_id").alias("txn_id_2"),
+        F.col("prev_transaction_id").alias("txn_id_1"),
+        F.col("prev_location_city").alias("from_city"),
+        F.col("location_city").alias("to_city"),
+        F.col("prev_location_country").alias("from_country"),
+        F.col("location_country").alias("to_country"),
+        F.round(distance, 2).alias("distance_km"),
+        F.round(gap, 4).alias("time_gap_hours"),
+        F.round(speed, 0).alias("implied_speed_kmh"),
+        "amount", "event_timestamp",
+        (F.current_timestamp() if detected_at is None else detected_at).alias("detected_at"),
+        F.lit("IMPOSSIBLE_TRAVEL").alias("fraud_pattern"),
+        bands.travel_score(speed).alias("impossible_travel_score"),
     )
 
 
 def impossible_travel(
     transactions: DataFrame, params: RiskParams = RiskParams(), policy: SkewPolicy = SkewPolicy()
 ) -> DataFrame:
-    needed = recent(transactions, params).select("customer_id", "amount", *TRAVEL_STATE)
+    needed = pairable(recent(transactions, params), params)
     # A copy follows its original in no time, which gives no speed: it is never listed itself.
     return score_travel(with_previous(needed, policy, merge_copies=True), params)
 

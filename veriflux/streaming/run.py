@@ -1,12 +1,32 @@
-"""Starting streaming queries."""
+"""Starting streaming queries, and reading the state that they keep."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+# State lives in RocksDB on the executors; a checkpoint gets what a micro-batch changed.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in RocksDB; a query keeps the settings that it was started with."""
+    before = {key: spark.conf.get(key, None) for key in KEYED_STATE}
+    try:
+        for key, value in KEYED_STATE.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def _triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -20,10 +40,20 @@ def to_files(df: DataFrame, path: str, checkpoint: str, every: str | None = None
 
 
 def to_batches(
-    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
-    return _triggered(df.writeStream.foreachBatch(handle), checkpoint, every).start()
+    return _triggered(df.writeStream.outputMode(mode).foreachBatch(handle), checkpoint, every).start()
 
 
 def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
+
+
+def state_rows(spark: SparkSession, checkpoint: str, variable: str | None = None) -> DataFrame:
+    """What a query's keyed state holds after its last complete micro-batch: `key` and `value`, or one row for each
+    element of a list (`list_element`). Read partition by partition from the checkpoint."""
+    with keyed_state(spark):
+        reader = spark.read.format("statestore")
+        if variable:
+            reader = reader.option("stateVarName", variable)
+        return reader.load(checkpoint)

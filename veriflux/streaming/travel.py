@@ -1,39 +1,33 @@
-"""Impossible travel on a stream: what can still change is kept between micro-batches."""
+"""Impossible travel on a stream: a transaction waits for the watermark, then it is paired with the one before it."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from veriflux.operators.ordered import SkewPolicy
-from veriflux.operators.sizing import match
 from veriflux.params import RiskParams
-from veriflux.plans.gold import TRAVEL_STATE, score_travel, with_previous
-from veriflux.streaming.run import to_batches
-from veriflux.streaming.state import SegmentState
+from veriflux.plans.gold import TRAVEL_ORDER, TRAVEL_STATE, is_travel, measured, pairable, score_travel, with_previous
+from veriflux.streaming.keyed import Neighbours, as_micros, as_times
+from veriflux.streaming.run import drain, keyed_state, state_rows
 
-ORDER = ("event_timestamp", "transaction_id")
-LATENESS_S = 30 * 60
-NEVER = -62_135_596_800_000_000  # microseconds of the year 1
-
-
-def last_per_customer(rows: DataFrame) -> DataFrame:
-    others = [c for c in rows.columns if c not in {"customer_id", *ORDER}]
-    latest = F.max(F.struct(*ORDER, *others)).alias("_row")
-    return rows.groupBy("customer_id").agg(latest).select("customer_id", "_row.*").select(*rows.columns)
+LATENESS = "30 minutes"
 
 
 class TravelStream:
     """Pairs each transaction with its predecessor, also when transactions arrive out of order.
 
-    The watermark is the latest event time of the earlier micro-batches less `lateness_s`. A transaction behind it goes
+    The watermark is the latest event time of the earlier micro-batches less `lateness`. A transaction behind it goes
     to `late()` and takes part in no pair. A pair is settled, and written once, when the watermark passes its later
-    transaction. `found()` adds the pairs of transactions that the watermark has not reached yet, as they stand: it
-    equals the batch dataset over all rows that are not late. State holds each customer's last settled transaction and
-    all later ones. Transactions without a time make no pair and are not kept; those without a customer count as one
-    customer, as in the batch dataset.
+    transaction; timers see to it for customers of whom nothing more comes. `found()` adds the pairs of transactions that the
+    watermark has not reached yet, as they stand: it equals the batch dataset over all rows that are not late. Transactions
+    without a time go to `late()` once there is a watermark, and make no pair before. Those without a customer
+    count as one customer, as in the batch dataset, unless the parameters leave them out.
+
+    State is Spark's own, keyed by customer: the last settled transaction and all later ones. A micro-batch reads and
+    writes the state of the customers it holds and of those whose timers fire, however many others there are. With
+    `groups`, customers share that many keys by hash: fewer calls, but each reads the state of its whole group.
     """
 
     def __init__(
@@ -42,82 +36,56 @@ class TravelStream:
         path: str,
         params: RiskParams = RiskParams(),
         policy: SkewPolicy = SkewPolicy(),
-        fanout: int = 32,
-        lateness_s: int = LATENESS_S,
+        lateness: str = LATENESS,
+        groups: int | None = None,
     ):
-        self.transactions = transactions.select("customer_id", "amount", *TRAVEL_STATE)
-        self.path, self.params, self.policy, self.lateness_s = path, params, policy, lateness_s
+        self.path, self.params, self.policy, self.lateness, self.groups = path, params, policy, lateness, groups
         self.spark = transactions.sparkSession
-        self.state = SegmentState(self.spark, f"{path}/state", self.transactions.schema, self._reduced, fanout)
-
-    def _time(self, micros: int) -> Column:
-        """A literal of the column's own type, so that comparisons reach the Parquet scan."""
-        return F.timestamp_micros(F.lit(micros)).cast(self.transactions.schema["event_timestamp"].dataType)
-
-    def _bounds(self, rows: DataFrame) -> tuple[int, int]:
-        """The earliest time and the watermark, in microseconds; one row comes to the driver."""
-        micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
-        earliest, latest = rows.agg(F.min(micros), F.max(micros)).first()
-        return (NEVER, NEVER) if latest is None else (earliest, latest - self.lateness_s * 1_000_000)
-
-    def _watermark(self, rows: DataFrame) -> int:
-        return self._bounds(rows)[1]
-
-    def _reduced(self, rows: DataFrame) -> DataFrame:
-        """What later micro-batches need of stored rows: their watermark is never below the one of these rows."""
-        return self._context(rows, self._watermark(rows))
-
-    def _context(self, rows: DataFrame, watermark: int) -> DataFrame:
-        """The rows from the watermark on, and the last one before it of each customer."""
-        settled = last_per_customer(rows.filter(F.col("event_timestamp") < self._time(watermark)))
-        return rows.filter(F.col("event_timestamp") >= self._time(watermark)).unionByName(settled)
-
-    def _pairs(self, rows: DataFrame, begin: int) -> DataFrame:
-        """Scored pairs whose later transaction lies at or behind `begin`."""
-        listed = F.col("event_timestamp") >= self._time(begin)
-        customers = rows.filter(listed).select("customer_id").distinct()
-        context = match(self._context(rows, begin), customers, ["customer_id"], "left_semi")
-        return score_travel(with_previous(context, self.policy, merge_copies=True).filter(listed), self.params)
-
-    def _handle(self, batch: DataFrame, batch_id: int) -> None:
-        # Read several times below. A lost cached block is read from the source again.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._settle(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _settle(self, batch: DataFrame, batch_id: int) -> None:
-        stored = self.state.entries(before=batch_id)
-        begin = self._watermark(stored)
-        earliest, reached = self._bounds(batch)
-        end = max(begin, reached)
-        late = F.col("event_timestamp") < self._time(begin)
-        if batch_id == 0 or earliest < begin:  # the first one has none, and gives the files their columns
-            batch.filter(late).write.mode("overwrite").parquet(f"{self.path}/late/batch_id={batch_id}")
-        fresh = batch.filter(~late)  # without those that have no time
-        rows = stored.unionByName(fresh).filter(F.col("event_timestamp") < self._time(end))
-        found = self._pairs(rows, begin)
-        found.write.mode("overwrite").parquet(f"{self.path}/found/batch_id={batch_id}")
-        self.state.write(fresh, batch_id)
+        self.given = pairable(transactions, params)
+        rows = as_micros(self.given).withColumn("_settled", F.lit(False))
+        self.kept = rows.schema
+        self.processor = Neighbours(rows.schema, "customer_id", TRAVEL_ORDER, TRAVEL_STATE)
+        # Rows behind the watermark have to reach the processor: it sees no column that carries the watermark.
+        marked = self.given.withColumn("_at", F.col("event_timestamp").cast("timestamp")).withWatermark("_at", lateness)
+        self.rows = as_micros(marked).withColumn("_settled", F.lit(False)).drop("_at")
 
     def start(self, every: str | None = None) -> StreamingQuery:
-        return to_batches(self.transactions, self._handle, f"{self.path}/checkpoint", every)
-
-    def _written(self, name: str, done: int) -> DataFrame:
-        """The files of complete micro-batches; a micro-batch that is under way writes its own anew."""
-        return self.spark.read.parquet(f"{self.path}/{name}").filter(F.col("batch_id") < done).drop("batch_id")
+        rows = self.rows.filter(F.col("event_timestamp").isNotNull())
+        owner = F.pmod(F.xxhash64("customer_id"), F.lit(self.groups)) if self.groups else F.col("customer_id")
+        found = rows.withColumn("_owner", owner).groupBy("_owner").transformWithState(
+            self.processor, self.processor.output(), "append", "eventTime")
+        found = self._timed(found).withColumn("_found_at", F.current_timestamp())
+        found = measured(found).filter((F.col("kind") == "late") | is_travel(self.params)).drop("_km", "_hours")
+        writer = found.writeStream.format("parquet").outputMode("append").partitionBy("kind")
+        writer = writer.option("checkpointLocation", f"{self.path}/checkpoint").option("path", f"{self.path}/found")
+        with keyed_state(self.spark):
+            return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+    def run(self) -> None:
+        """Processes what is there."""
+        drain(self.start())
+
+    def _timed(self, rows: DataFrame) -> DataFrame:
+        return as_times(rows, self.given.schema, ("", "prev_"))
+
+    def _written(self, kind: str) -> DataFrame:
+        columns = self._timed(self.spark.createDataFrame([], self.processor.output())).schema.add("_found_at", "timestamp")
+        return self.spark.read.schema(columns).parquet(f"{self.path}/found").filter(F.col("kind") == kind)
 
     def settled(self) -> DataFrame:
         """Pairs that no later arrival changes."""
-        return self._written("found", self.state.batches())
+        return score_travel(self._written("pair"), self.params, F.col("_found_at"))
 
     def late(self) -> DataFrame:
         """Transactions that came behind the watermark."""
-        return self._written("late", self.state.batches())
+        return self._written("late").select(*[c for c in self.given.columns if not c.startswith("_")])
+
+    def kept_rows(self) -> DataFrame:
+        """The transactions in the state; `_settled` marks the last one behind the watermark of each customer."""
+        rows = state_rows(self.spark, f"{self.path}/checkpoint", "rows").select("list_element.*")
+        return as_times(rows.select(*self.kept.names), self.given.schema)
 
     def found(self) -> DataFrame:
         """Settled pairs, and those of transactions that the watermark has not passed."""
-        done = self.state.batches()
-        stored = self.state.entries(before=done)
-        return self._written("found", done).unionByName(self._pairs(stored, self._watermark(stored)))
+        waiting = with_previous(self.kept_rows(), self.policy, merge_copies=True).filter(~F.col("_settled"))
+        return self.settled().unionByName(score_travel(waiting, self.params))

@@ -1,27 +1,24 @@
-"""Change streams applied to type 1 and type 2 tables, without a table format that can merge."""
+"""Change streams applied to type 1 and type 2 tables. The tables are Spark's own keyed state: RocksDB on the executors,
+and below the checkpoint what each micro-batch changed. A micro-batch reads and writes the state of the keys it holds."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
-from veriflux.operators.cdc import change_rows, current_rows, history_rows, merge_winners, versions, winners
+from veriflux.operators.cdc import change_rows, current_rows, history_rows, versions, winners
 from veriflux.operators.ordered import SkewPolicy
-from veriflux.operators.sizing import match
-from veriflux.streaming.run import to_batches
-from veriflux.streaming.state import SegmentState
-
-
-def _unmerged(rows: DataFrame) -> DataFrame:
-    return rows
+from veriflux.streaming.keyed import Versions, as_micros, as_times
+from veriflux.streaming.run import drain, keyed_state, state_rows, to_batches
 
 
 class Scd1Stream:
-    """Current rows per key. A micro-batch costs its own size: only its winners are written."""
+    """Current rows per key, in any order of arrival: a running aggregate that keeps, per column, the value with the highest
+    sequence. Changes of a key are merged before they are shuffled, so a hot key costs a row per task."""
 
     def __init__(
         self,
@@ -33,37 +30,44 @@ class Scd1Stream:
         ignore_null_updates: bool = True,
         delete_when: Column | None = None,
         unique_sequence: bool = False,
-        fanout: int = 32,
     ):
         columns = [c for c in changes.columns if c not in {*keys, *exclude}]
-        self.changes, self.keys, self.path = changes, list(keys), path
+        self.spark, self.keys, self.path = changes.sparkSession, list(keys), path
+        self.merged = winners(changes, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence)
 
-        def partial(rows: DataFrame) -> DataFrame:
-            return winners(rows, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence)
+    def start(self, every: str | None = None, publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+        """`publish` gets the current rows of the keys that a micro-batch changed, deleted ones left out; after a lost
+        driver the last micro-batch may come again under its number."""
 
-        spark = changes.sparkSession
-        schema = partial(spark.createDataFrame([], changes.schema)).schema
-        self.state = SegmentState(
-            spark, f"{path}/state", schema, lambda rows: merge_winners(rows, keys), fanout
-        )
-        self._partial = partial
+        def changed(batch: DataFrame, batch_id: int) -> None:
+            rows = current_rows(batch, self.keys)
+            publish(rows, batch_id) if publish else rows.write.format("noop").mode("overwrite").save()
 
-    def start(self, every: str | None = None) -> StreamingQuery:
-        def apply(batch: DataFrame, batch_id: int) -> None:
-            self.state.write(self._partial(batch), batch_id)
+        with keyed_state(self.spark):
+            return to_batches(self.merged, changed, f"{self.path}/checkpoint", every, "update")
 
-        return to_batches(self.changes, apply, f"{self.path}/checkpoint", every)
+    def run(self) -> None:
+        """Processes what is there."""
+        drain(self.start())
 
     def table(self) -> DataFrame:
-        return current_rows(self.state.read(), self.keys)
+        """The current rows after the last complete micro-batch."""
+        state = state_rows(self.spark, f"{self.path}/checkpoint")
+        # Buffers are named after their aggregates, in the order of the columns.
+        names = self.merged.schema
+        buffers = "struct<" + ",".join(f"`{c}`:{names[c].dataType.simpleString()}" for c in names.names[len(self.keys) :]) + ">"
+        keys = [F.col("key")[k].alias(k) for k in self.keys]
+        merged = state.select(*keys, F.col("value").cast(buffers).alias("value")).select(*self.keys, "value.*")
+        return current_rows(merged, self.keys)
 
 
 class Scd2Stream:
-    """History rows, kept up to date by work in proportion to the micro-batch.
+    """History rows of keys whose records come in any order.
 
-    Closed versions are appended, and the open version of each key is state. Records that follow the open
-    version extend or close it. For a key with a late record, which may split any version, the history is
-    derived again from the log; its earlier closed versions are cancelled by a reset mark.
+    With `lateness` (the first sequence column is a time then), records behind the watermark go to `late()`, and a version that
+    the watermark shows to be complete is written once and leaves the state: what stays is the last record before the watermark
+    and all later ones. Timers see to it for keys of which nothing more comes. Without `lateness` no record is late, and all
+    records of a key stay in its state, from which each touched key's versions follow.
     """
 
     def __init__(
@@ -75,69 +79,55 @@ class Scd2Stream:
         track: Sequence[str],
         policy: SkewPolicy = SkewPolicy(),
         delete_when: Column | None = None,
-        fanout: int = 32,
+        lateness: str | None = None,
     ):
-        self.changes, self.path, self.policy = changes, path, policy
+        self.spark, self.path, self.policy, self.lateness = changes.sparkSession, path, policy, lateness
         self.keys, self.sequence, self.order = list(keys), list(sequence), [*sequence, "_tie"]
-        self.columns = changes.columns
-        self._prepare = lambda rows: change_rows(rows, keys, track, delete_when)
-        spark = changes.sparkSession
-        rows = self._prepare(spark.createDataFrame([], changes.schema))
-        # Planned on no rows, for the schema.
-        runs = versions(rows, self.keys, self.order, SkewPolicy(hot_rows=None)).withColumn("_batch", F.lit(0))
-        reset = runs.select(*keys, "_batch").schema
-        # `open` is written last in a batch and says how many batches are complete.
-        self.open = SegmentState(spark, f"{path}/open", runs.schema, self._latest, fanout)
-        self.log = SegmentState(spark, f"{path}/log", rows.schema, _unmerged, fanout, False)
-        self.closed = SegmentState(spark, f"{path}/closed", runs.schema, _unmerged, fanout, False)
-        self.resets = SegmentState(spark, f"{path}/resets", reset, self._latest, fanout, False)
-
-    def _latest(self, rows: DataFrame) -> DataFrame:
-        """The entry of the last micro-batch per key."""
-        others = [c for c in rows.columns if c not in {*self.keys, "_batch"}]
-        last = rows.groupBy(*self.keys).agg(F.max_by(F.struct("_batch", *others), "_batch").alias("_entry"))
-        return last.select(*self.keys, "_entry.*").select(*rows.columns)
-
-    def _apply(self, batch: DataFrame, batch_id: int) -> None:
-        self.log.write(self._prepare(batch), batch_id)
-        rows = self.log.written(batch_id)
-        first = rows.groupBy(*self.keys).agg(F.min(F.struct(*self.order)).alias("_first"))
-        touched = match(self.open.entries(before=batch_id), first.select(*self.keys), self.keys, "left_semi")
-        # Both are read several times below; lost cached blocks are computed again.
-        known = match(self._latest(touched), first, self.keys, "inner").persist(StorageLevel.MEMORY_AND_DISK)
-        runs = self._runs(rows, known, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            late = known.filter(self._is_late()).select(*self.keys, F.lit(batch_id).alias("_batch"))
-            self.resets.write(late, batch_id)
-            self.closed.write(runs.filter(F.col("_next").isNotNull()), batch_id)
-            self.open.write(runs.filter(F.col("_next").isNull()), batch_id)
-        finally:
-            runs.unpersist()
-            known.unpersist()
-
-    def _is_late(self) -> Column:
-        return F.struct(*self.order) >= F.col("_first")
-
-    def _runs(self, rows: DataFrame, known: DataFrame, batch_id: int) -> DataFrame:
-        """Versions of the touched keys, from the open version on, or all of them for late keys."""
-        own = F.struct(*self.order).alias("_origin")
-        origin = F.struct(*[F.col(f"_from_{c}").alias(c) for c in self.order]).alias("_origin")
-        # An open version that is only extended stands in the run as its own last record.
-        seeds = known.filter(~self._is_late()).select(*rows.columns, origin)
-        late = known.filter(self._is_late()).select(*self.keys)
-        replayed = match(self.log.entries(before=batch_id), late, self.keys, "left_semi").select("*", own)
-        run = rows.select("*", own).unionByName(seeds).unionByName(replayed)
-        runs = versions(run, self.keys, self.order, self.policy, origin=F.col("_origin"))
-        return runs.drop("_origin").withColumn("_batch", F.lit(batch_id))
+        self.columns, self.track = changes.columns, list(track)
+
+        def prepared(rows: DataFrame) -> DataFrame:
+            rows = change_rows(rows, keys, track, delete_when)
+            return rows.withColumns({f"_from_{c}": F.col(c) for c in self.order}).drop("_tracked")
+
+        self.given = prepared(changes).schema
+        self.processor = Versions(as_micros(prepared(changes)).schema, self.order, track, lateness is not None)
+        if lateness:
+            changes = changes.withColumn("_at", F.col(sequence[0]).cast("timestamp")).withWatermark("_at", lateness)
+        self.rows = as_micros(prepared(changes).select(*self.given.names))
 
     def start(self, every: str | None = None) -> StreamingQuery:
-        return to_batches(self.changes, self._apply, f"{self.path}/checkpoint", every)
+        found = self.rows.groupBy(*self.keys).transformWithState(
+            self.processor, self.processor.output(), "append", "eventTime" if self.lateness else "none")
+        writer = self._timed(found).writeStream.format("parquet").outputMode("append").partitionBy("kind")
+        writer = writer.option("checkpointLocation", f"{self.path}/checkpoint").option("path", f"{self.path}/ended")
+        with keyed_state(self.spark):
+            return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+    def run(self) -> None:
+        """Processes what is there."""
+        drain(self.start())
+
+    def _timed(self, rows: DataFrame) -> DataFrame:
+        ends = StructField("_next", self.given[self.sequence[0]].dataType)
+        return as_times(rows, StructType([*self.given.fields, ends]))
+
+    def _written(self, kind: str) -> DataFrame:
+        empty = self._timed(self.spark.createDataFrame([], self.processor.output()))
+        return self.spark.read.schema(empty.schema).parquet(f"{self.path}/ended").filter(F.col("kind") == kind)
+
+    def late(self) -> DataFrame:
+        """Records that came behind the watermark."""
+        return self._written("late").select(*self.columns)
+
+    def kept_rows(self) -> DataFrame:
+        """The records in the state."""
+        rows = state_rows(self.spark, f"{self.path}/checkpoint", "rows").select("list_element.*")
+        return as_times(rows.select(*self.processor.kept.names), self.given)
 
     def history(self) -> DataFrame:
-        done = self.open.batches()
-        resets = self.resets.read(before=done).withColumnRenamed("_batch", "_reset")
-        closed = self.closed.entries(before=done)
-        cancelled = F.coalesce(F.col("_batch") < F.col("_reset"), F.lit(False))
-        valid = match(closed, resets, self.keys, "left").filter(~cancelled).select(*closed.columns)
-        runs = valid.unionByName(self.open.read(before=done))
-        return history_rows(runs, self.columns, self.sequence)
+        origin = F.struct(*[F.col(f"_from_{c}").alias(c) for c in self.order])
+        kept = self.kept_rows().withColumns({"_origin": origin, "_tracked": F.struct("_deleted", *self.track)})
+        kept = kept.drop(*[f"_from_{c}" for c in self.order])
+        runs = versions(kept, self.keys, self.order, self.policy, origin=F.col("_origin"))
+        ended = history_rows(self._written("version"), self.columns, self.sequence)
+        return ended.unionByName(history_rows(runs, self.columns, self.sequence))

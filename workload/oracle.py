@@ -649,6 +649,11 @@ FILES = {
       "timestamp", is_fraud FROM txn"""),
 }
 
+_HELD_BACK = """CAST(substr(customer_id, 6) AS BIGINT) % 10 = 7 AND "offset" % 3 = 0"""
+# The watermark lies a day behind the latest transaction that was not held back.
+_LATE = f"""(({_HELD_BACK}) AND event_timestamp <
+    (SELECT max(event_timestamp) - INTERVAL 1 DAY FROM txn WHERE NOT ({_HELD_BACK})))"""
+
 STREAMS = {
     "stream_alerts": BATCH["fraud_alerts"],
     "stream_fx_join": BATCH["fx_join"],
@@ -662,6 +667,9 @@ STREAMS = {
     "stream_scd1": BATCH["scd1_transactions"],
     "stream_scd2": BATCH["scd2_customers"],
     "stream_impossible_travel": BATCH["impossible_travel"],
+    "stream_late_travel": _with(TXN, PAIRS.format(where=f"{recent()} AND NOT {_LATE}"), TRAVEL, select=f"""
+      SELECT customer_id, txn_id_1, txn_id_2, FALSE AS late FROM travel
+      UNION ALL SELECT customer_id, NULL, transaction_id, TRUE FROM txn WHERE {recent()} AND {_LATE}"""),
 }
 
 SQL = {**BATCH, **FILES, **STREAMS}

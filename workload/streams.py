@@ -3,14 +3,13 @@ the result as a batch frame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriflux.operators.cdc import drop_duplicates
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
-from veriflux.streaming.run import drain
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
@@ -71,7 +70,7 @@ def stream_scd1(spark: SparkSession, sf: str) -> DataFrame:
     feed = _shuffled_feed(changes, folder, "offset")
     exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
     upsert = Scd1Stream(feed, folder, ["transaction_id"], ["offset"], exclude, unique_sequence=True)
-    drain(upsert.start())
+    upsert.run()
     return present(upsert.table().select(*TRANSACTION_TABLE_COLUMNS))
 
 
@@ -80,27 +79,52 @@ def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
     changes = inputs.customer_changes(spark, sf)
     feed = _shuffled_feed(changes, folder, "change_id")
     upsert = Scd2Stream(feed, folder, ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY)
-    drain(upsert.start())
+    upsert.run()
     return present(upsert.history())
 
 
+TRAVEL_LATENESS = "1 day"
+
+
+def _travel_feed(rows: DataFrame, folder: str, delivery: Column) -> DataFrame:
+    """One file and micro-batch per delivery. A delivery takes ten days; a transaction is up to twenty hours late."""
+    deliveries = rows.withColumn("delivery", delivery.cast("int")).persist()
+    for number in sorted(r.delivery for r in deliveries.select("delivery").distinct().collect()):
+        part = deliveries.filter(F.col("delivery") == number).drop("delivery")
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    deliveries.unpersist()
+    return stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, 1)
+
+
+def _delivery() -> Column:
+    hours = F.unix_micros(F.col("event_timestamp").cast("timestamp")) / 3_600_000_000
+    return F.floor((hours + F.col("offset") % 5 * 5) / 240)
+
+
 def stream_impossible_travel(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "travel")
-    rows = gold.recent(inputs.transactions(spark, sf), PARAMS)
-    day = F.dayofmonth("transaction_date")
-    # Three deliveries in time order, each read as one micro-batch.
-    travel = None
-    for period in (day <= 10, (day > 10) & (day <= 20), day > 20):
-        feed = _feed(rows.filter(period), folder)
-        travel = TravelStream(feed, folder, PARAMS)
-        drain(travel.start())
+    feed = _travel_feed(gold.recent(inputs.transactions(spark, sf), PARAMS), folder, _delivery())
+    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS)
+    travel.run()
     return present(travel.found())
 
 
+def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
+    """Some customers' transactions come at the very end: those behind the watermark are listed as late, with no pair."""
+    folder = shared_dir(spark, "late-travel")
+    rows = gold.recent(inputs.transactions(spark, sf), PARAMS)
+    held_back = (F.substring("customer_id", 6, 20).cast("bigint") % 10 == 7) & (F.col("offset") % 3 == 0)
+    feed = _travel_feed(rows, folder, F.when(held_back, F.lit(1_000_000)).otherwise(_delivery()))
+    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS)
+    travel.run()
+    late = travel.late().select("customer_id", F.lit(None).cast("string").alias("txn_id_1"), F.col("transaction_id").alias("txn_id_2"), F.lit(True).alias("late"))
+    return travel.found().select("customer_id", "txn_id_1", "txn_id_2", F.lit(False).alias("late")).unionByName(late)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stream_alerts, stream_fx_join, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
-        stream_impossible_travel,
+        stream_impossible_travel, stream_late_travel,
     )
 }
