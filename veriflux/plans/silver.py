@@ -52,15 +52,17 @@ def exchange_rates(fx: DataFrame, ingested: str = "_ingested_at") -> DataFrame:
 
 
 def with_usd_amount(
-    transactions: DataFrame, rates: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    transactions: DataFrame, rates: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS, rows_per_task: int = 2_000_000
 ) -> DataFrame:
-    """Adds `amount_usd`; without a rate the amount stays as it is. `transactions` may be a stream."""
+    """Adds `amount_usd`; without a rate the amount stays as it is. `transactions` may be a stream: its rates are those
+    known at the start, see `streaming.rates` for rates that arrive meanwhile."""
     priced = lookup_left(
         transactions,
         rates.select("currency_code", "rate_date", "usd_multiplier"),
         on=[("currency", "currency_code"), ("transaction_date", "rate_date")],
         spread_by="transaction_id",
         max_rows=max_broadcast_rows,
+        rows_per_task=rows_per_task,
     )
     converted = F.coalesce(F.col("amount") * F.col("usd_multiplier"), F.col("amount"))
     return priced.withColumn("amount_usd", converted).drop("usd_multiplier")

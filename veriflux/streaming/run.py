@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # State lives in RocksDB on the executors; a checkpoint gets what a micro-batch changed.
@@ -28,6 +29,14 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def watermarked(df: DataFrame, column: str, lateness: str, name: str) -> DataFrame:
+    """Adds the time `name` with a watermark: the one that the stream already has on `column`, or one that lies `lateness`
+    behind. A stream cannot have two of them."""
+    if "spark.watermarkDelayMs" in (df.schema[column].metadata or {}):
+        return df.withColumn(name, F.col(column))
+    return df.withColumn(name, F.col(column).cast("timestamp")).withWatermark(name, lateness)
+
+
 def _triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -10,7 +10,7 @@ from veriflux.operators.ordered import SkewPolicy
 from veriflux.params import RiskParams
 from veriflux.plans.gold import TRAVEL_ORDER, TRAVEL_STATE, is_travel, measured, pairable, score_travel, with_previous
 from veriflux.streaming.keyed import Neighbours, as_micros, as_times
-from veriflux.streaming.run import drain, keyed_state, state_rows
+from veriflux.streaming.run import drain, keyed_state, state_rows, watermarked
 
 LATENESS = "30 minutes"
 
@@ -18,7 +18,7 @@ LATENESS = "30 minutes"
 class TravelStream:
     """Pairs each transaction with its predecessor, also when transactions arrive out of order.
 
-    The watermark is the latest event time of the earlier micro-batches less `lateness`. A transaction behind it goes
+    The watermark is the latest event time of the earlier micro-batches less `lateness`, unless the stream has one already. A transaction behind it goes
     to `late()` and takes part in no pair. A pair is settled, and written once, when the watermark passes its later
     transaction; timers see to it for customers of whom nothing more comes. `found()` adds the pairs of transactions that the
     watermark has not reached yet, as they stand: it equals the batch dataset over all rows that are not late. Transactions
@@ -46,7 +46,7 @@ class TravelStream:
         self.kept = rows.schema
         self.processor = Neighbours(rows.schema, "customer_id", TRAVEL_ORDER, TRAVEL_STATE)
         # Rows behind the watermark have to reach the processor: it sees no column that carries the watermark.
-        marked = self.given.withColumn("_at", F.col("event_timestamp").cast("timestamp")).withWatermark("_at", lateness)
+        marked = watermarked(self.given, "event_timestamp", lateness, "_at")
         self.rows = as_micros(marked).withColumn("_settled", F.lit(False)).drop("_at")
 
     def start(self, every: str | None = None) -> StreamingQuery:

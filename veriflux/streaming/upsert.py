@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType
 from veriflux.operators.cdc import change_rows, current_rows, history_rows, versions, winners
 from veriflux.operators.ordered import SkewPolicy
 from veriflux.streaming.keyed import Versions, as_micros, as_times
-from veriflux.streaming.run import drain, keyed_state, state_rows, to_batches
+from veriflux.streaming.run import drain, keyed_state, state_rows, to_batches, watermarked
 
 
 class Scd1Stream:
@@ -92,7 +92,7 @@ class Scd2Stream:
         self.given = prepared(changes).schema
         self.processor = Versions(as_micros(prepared(changes)).schema, self.order, track, lateness is not None)
         if lateness:
-            changes = changes.withColumn("_at", F.col(sequence[0]).cast("timestamp")).withWatermark("_at", lateness)
+            changes = watermarked(changes, sequence[0], lateness, "_at")
         self.rows = as_micros(prepared(changes).select(*self.given.names))
 
     def start(self, every: str | None = None) -> StreamingQuery:

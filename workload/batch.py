@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from veriflux.functions import bands, geo, times
 from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators import audit, cdc, quality
+from veriflux.operators.merge import Scd1Table, Scd2Table
 from veriflux.operators.ordered import OrderedRows
 from veriflux.params import RiskParams
 from veriflux.plans import bronze, gold, monitoring, silver
+from veriflux.session import shared_dir
 from workload import inputs
 from workload.inputs import AS_OF, LATER
 from workload.present import present
@@ -252,6 +254,13 @@ def fx_join(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("transaction_id", "currency", "amount", "amount_usd")
 
 
+def fx_join_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a rate table that is too large to broadcast: currencies with most rows are spread over several tasks."""
+    rates = silver.exchange_rates(inputs.fx_records(spark, sf))
+    rows = silver.with_usd_amount(inputs.transactions(spark, sf), rates, max_broadcast_rows=0, rows_per_task=100)
+    return rows.select("transaction_id", "currency", "amount", "amount_usd")
+
+
 def silver_enriched(spark: SparkSession, sf: str) -> DataFrame:
     rates = silver.exchange_rates(inputs.fx_records(spark, sf))
     rows = silver.transactions_enriched(inputs.transactions(spark, sf), rates)
@@ -386,16 +395,47 @@ def pipeline_health(spark: SparkSession, sf: str) -> DataFrame:
     return present(health)
 
 
+# ---- tables that take deliveries ----------------------------------------------------------------
+
+
+def _delivered(table: Scd1Table | Scd2Table, changes: DataFrame, number: str, deliveries: int = 4) -> None:
+    """Applies the change records in parts that know no order; the first one creates the table."""
+    rows = changes.withColumn("_part_no", F.pmod(F.xxhash64(number), F.lit(deliveries))).persist()
+    for k in range(deliveries):
+        table.apply(rows.filter(F.col("_part_no") == k).drop("_part_no"))
+    rows.unpersist()
+
+
+def _table_name(folder: str) -> str:
+    return folder.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def scd2_merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_dir(spark, "history")
+    table = Scd2Table(
+        spark, _table_name(folder), ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY, parts=4, path=folder)
+    _delivered(table, inputs.customer_changes(spark, sf), "change_id")
+    return present(table.history())
+
+
+def scd1_merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_dir(spark, "current")
+    exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
+    table = Scd1Table(spark, _table_name(folder), ["transaction_id"], ["offset"], exclude, unique_sequence=True, parts=4, path=folder)
+    _delivered(table, inputs.transaction_changes(spark, sf), "offset")
+    return present(table.table().select(*TRANSACTION_TABLE_COLUMNS))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         impossible_travel, velocity_hourly, velocity_daily, velocity_tumbling, lag_previous_txn, fraud_alerts,
         merchant_scores, top_merchants, customer_stats_30d, customer_profiles, aml_structuring, fraud_clusters,
         ops_kpis, fraud_hotspots, fraud_type_mix, daily_totals, rolling_7d, daily_anomaly, pipeline_health,
-        risk_band, amount_band, high_risk_merchant, lookback_filter, fx_join, silver_enriched,
+        risk_band, amount_band, high_risk_merchant, lookback_filter, fx_join, fx_join_salted, silver_enriched,
         silver_s3_cleaned, unified, bronze_enrich, dead_letter, expect_track, expect_drop, expect_fail,
         silver_rules, gold_rules, dq_report, null_rate_gate, scd1_transactions, scd1_merchants,
-        scd2_customers, scd2_current, dedup_exact, audit_columns, change_hash, scalar_json, scalar_string,
+        scd2_customers, scd2_current, scd1_merge_incremental, scd2_merge_incremental, dedup_exact, audit_columns, change_hash, scalar_json, scalar_string,
         scalar_cast, scalar_date, scalar_math, scalar_conditional, scalar_array,
     )
 }

@@ -649,6 +649,12 @@ FILES = {
       "timestamp", is_fraud FROM txn"""),
 }
 
+BATCH |= {
+    "scd1_merge_incremental": BATCH["scd1_transactions"],
+    "scd2_merge_incremental": BATCH["scd2_customers"],
+    "fx_join_salted": BATCH["fx_join"],
+}
+
 _HELD_BACK = """CAST(substr(customer_id, 6) AS BIGINT) % 10 = 7 AND "offset" % 3 = 0"""
 # The watermark lies a day behind the latest transaction that was not held back.
 _LATE = f"""(({_HELD_BACK}) AND event_timestamp <
@@ -658,6 +664,13 @@ STREAMS = {
     "stream_alerts": BATCH["fraud_alerts"],
     "stream_fx_join": BATCH["fx_join"],
     # Windows that end after the final watermark have not come out yet.
+    # A day comes out once both streams have passed it: transactions by 30 minutes, rates by four days.
+    "stream_fx_join_growing": _with(TXN, FX, select="""SELECT transaction_id, currency, amount,
+        amount * usd_multiplier AS amount_usd, usd_multiplier IS NULL AS rate_missing
+      FROM txn LEFT JOIN (SELECT currency_code, rate_date, max_by(usd_multiplier, ingest_no) AS usd_multiplier FROM fx GROUP BY ALL) r
+        ON currency = currency_code AND transaction_date = rate_date
+      WHERE transaction_date + INTERVAL 1 DAY <= (SELECT least(max(event_timestamp) - INTERVAL 30 MINUTES,
+        CAST(max(transaction_date) AS TIMESTAMP) - INTERVAL 4 DAYS) FROM txn)"""),
     "stream_tumbling": _with(TXN, select="""SELECT * FROM (
       SELECT customer_id, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start,
         CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,

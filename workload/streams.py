@@ -10,6 +10,7 @@ from veriflux.operators.cdc import drop_duplicates
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
+from veriflux.streaming.rates import with_usd_amount as with_moving_rates
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
@@ -49,6 +50,25 @@ def stream_fx_join(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("transaction_id", "currency", "amount", "amount_usd")
 
 
+def stream_fx_join_growing(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates come in the course of the stream, later than the transactions that need them, and are corrected once."""
+    folder = shared_dir(spark, "fx-growing")
+    rows, rates = inputs.landing(spark, sf), inputs.fx_records(spark, sf)
+    for low in (1, 11, 21):
+        part = F.dayofmonth("transaction_date").between(low, low + 9 if low < 21 else 31)
+        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    # A correction comes one delivery after the first rate, all rates one delivery after their transactions.
+    day = F.dayofmonth("rate_date")
+    for low in (-9, 1, 11, 21):
+        first = (F.col("_ingested_at") == 1) & day.between(low, low + 9 if low < 21 else 31)
+        second = (F.col("_ingested_at") == 2) & day.between(low - 2, low + 7 if low < 21 else 31)
+        rates.filter(first | second).coalesce(1).write.mode("append").parquet(f"{folder}/rates")
+    feed = bronze.transactions_landed(stream_files(spark, f"{folder}/in", "parquet", rows.schema, 1))
+    moving = stream_files(spark, f"{folder}/rates", "parquet", rates.schema, 1)
+    found = streamed(with_moving_rates(feed, moving, patience="4 days"), folder)
+    return found.select("transaction_id", "currency", "amount", "amount_usd", "rate_missing")
+
+
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "tumbling")
     rows = streamed(windowed_activity(_transactions(spark, sf, folder)), folder)
@@ -124,7 +144,7 @@ def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_alerts, stream_fx_join, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
+        stream_alerts, stream_fx_join, stream_fx_join_growing, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
         stream_impossible_travel, stream_late_travel,
     )
 }
