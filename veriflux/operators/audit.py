@@ -19,14 +19,14 @@ def stamp_ingestion(df: DataFrame, source_system: str) -> DataFrame:
     })
 
 
-# A time of day with an offset behind it.
-OFFSET = r"\d:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)$"
+# A time of day with an offset or a zone behind it.
+OFFSET = r"\d:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|[+-]\d{1,2}(:?\d{2})?|[A-Z]{2,5}([+-]\d{1,2}(:?\d{2})?)?|[A-Za-z_]+(/[A-Za-z0-9_+-]+)+)$"
 
 
 def type_event_time(df: DataFrame, source_zone: str | None = None) -> DataFrame:
     """Adds `event_timestamp` and types `transaction_date`; unreadable values become null.
 
-    Times without an offset are read in the session time zone (UTC), or in `source_zone`.
+    Times without an offset or zone are read in the session time zone (UTC), or in `source_zone`.
     """
     event_time = parse_timestamp(F.col("timestamp"))
     if source_zone:

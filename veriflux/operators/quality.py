@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, str]
+ROWS = "_rows"
 
 # Rule names, domains and limits.
 BRONZE_RULES: Rules = {
@@ -79,8 +80,9 @@ def track(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[Data
 
 
 def track_stream(df: DataFrame, rules: Rules, name: str = "expectations") -> DataFrame:
-    """Keeps every row; counts show up per micro-batch under `observedMetrics` of the query progress."""
-    return df.observe(name, *violation_counts(rules))
+    """Keeps every row; counts show up per micro-batch under `observedMetrics` of the query progress, the number of rows
+    as `_rows`. `streaming.rule_counts` stores them."""
+    return df.observe(name, *violation_counts(rules), F.count(F.lit(1)).alias(ROWS))
 
 
 def annotate(df: DataFrame, rules: Rules, column: str = "_violations") -> DataFrame:

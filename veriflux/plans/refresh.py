@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veriflux.operators import quality
 from veriflux.operators.cdc import current_versions
@@ -20,6 +19,13 @@ from veriflux.plans import gold, monitoring, silver
 from veriflux.sinks.files import create_layers, save_table
 
 
+def name_views(datasets: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Makes datasets known to SQL in this session; the names of the views."""
+    for name, rows in datasets.items():
+        rows.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in datasets]
+
+
 def refresh_silver(
     live_changes: DataFrame,
     landed: DataFrame,
@@ -30,29 +36,28 @@ def refresh_silver(
     transaction_sequence: Sequence[str] = ("_kafka_offset",),
     dimension_sequence: Sequence[str] = ("_ingested_at",),
     policy: SkewPolicy = SkewPolicy(),
+    view_prefix: str = "",
 ) -> dict[str, DataFrame]:
     """Bronze datasets in, stored silver tables out.
 
     Transactions without an id (malformed messages among them) have no key: they are stored in `silver.quarantine`
     before deduplication and change data would merge them into one. The two data sets without a copy of their own can
-    be queried as the views `transactions_enriched` and `transactions_unified`.
+    be queried as the views `transactions_enriched` and `transactions_unified`. Views belong to the session: refreshes that share one
+    tell theirs apart by `view_prefix`.
     """
     create_layers(live_changes.sparkSession)
     day = ["transaction_date"]
-    keyed = F.col("transaction_id").isNotNull()
-    quarantine = live_changes.filter(~keyed).unionByName(landed.filter(~keyed), allowMissingColumns=True)
+    quarantine = silver.unkeyed(live_changes).unionByName(silver.unkeyed(landed), allowMissingColumns=True)
     quarantine = save_table(quarantine, "silver.quarantine")
-    live_changes, landed = live_changes.filter(keyed), landed.filter(keyed)
     cleaned = save_table(
-        silver.transactions_cleaned(live_changes, transaction_sequence), "silver.transactions_cleaned", day)
+        silver.transactions_cleaned(live_changes, transaction_sequence, quarantine=True), "silver.transactions_cleaned", day)
     landed_cleaned = save_table(
-        silver.transactions_landed_cleaned(landed, params.as_of), "silver.transactions_landed_cleaned", day)
+        silver.transactions_landed_cleaned(landed, params.as_of, quarantine=True), "silver.transactions_landed_cleaned", day)
     rates = save_table(silver.exchange_rates(fx), "silver.exchange_rates")
     enriched = silver.transactions_enriched(cleaned, rates)
     # A union of two stored tables needs no copy of its own; filters reach both scans.
     unified = silver.transactions_unified(cleaned, landed_cleaned)
-    enriched.createOrReplaceTempView("transactions_enriched")
-    unified.createOrReplaceTempView("transactions_unified")
+    name_views({"transactions_enriched": enriched, "transactions_unified": unified}, view_prefix)
     return {
         "quarantine": quarantine,
         # Tracked, not enforced: the live path keeps every transaction.

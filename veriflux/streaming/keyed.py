@@ -125,6 +125,27 @@ class _Settling(StatefulProcessor):
         raise NotImplementedError
 
 
+class Lateness(StatefulProcessor):
+    """Each row with whether its time lies behind the watermark. Keeps nothing."""
+
+    def __init__(self, columns: StructType, time_column: str) -> None:
+        self.names, self.time = columns.names, columns.names.index(time_column)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = Row(*self.names, "_late")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        take = None
+        for given in rows:
+            take = take or itemgetter(*map(given.__fields__.index, self.names))
+            row = take(given)
+            yield self.row(*row, row[self.time] is not None and row[self.time] < mark)
+
+
 class Neighbours(_Settling):
     """Each row beside the one before it of the same `owner`, once the watermark has passed it. Rows carry `_settled`, false.
 

@@ -45,13 +45,15 @@ def _triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) ->
 def to_files(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Appends to Parquet; without `every` it processes what is there and stops."""
     writer = df.writeStream.format("parquet").outputMode("append")
-    return _triggered(writer, checkpoint, every).start(path)
+    with keyed_state(df.sparkSession):
+        return _triggered(writer, checkpoint, every).start(path)
 
 
 def to_batches(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
-    return _triggered(df.writeStream.outputMode(mode).foreachBatch(handle), checkpoint, every).start()
+    with keyed_state(df.sparkSession):
+        return _triggered(df.writeStream.outputMode(mode).foreachBatch(handle), checkpoint, every).start()
 
 
 def drain(query: StreamingQuery) -> None:

@@ -12,7 +12,8 @@ def windowed_activity(transactions: DataFrame, params: RiskParams = RiskParams()
     """Count, value and approximate distinct merchants per customer and tumbling window.
 
     `transactions` carries the watermark of the bronze layer. Streams cannot count distinct values
-    exactly; a sketch keeps the state of a window small. In append mode a window comes out once the
+    exactly; a sketch of 4,096 registers keeps the state of a window small (relative standard error 1.6 %, small counts
+    are exact). In append mode a window comes out once the
     watermark has passed its end.
     """
     return (
@@ -20,7 +21,7 @@ def windowed_activity(transactions: DataFrame, params: RiskParams = RiskParams()
         .agg(
             F.count(F.lit(1)).alias("txn_count"),
             F.sum("amount").alias("total_amount"),
-            F.approx_count_distinct("merchant_id").alias("approx_merchants"),
+            F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg("merchant_id")), F.lit(0)).alias("approx_merchants"),
         )
         .select("customer_id", F.col("window.start").alias("window_start"),
                 F.col("window.end").alias("window_end"), "txn_count", "total_amount", "approx_merchants")

@@ -9,9 +9,10 @@ from veriflux.functions import bands, geo, times
 from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators import audit, cdc, quality
 from veriflux.operators.merge import Scd1Table, Scd2Table
-from veriflux.operators.ordered import OrderedRows
+from veriflux.operators.ordered import OrderedRows, SkewPolicy
 from veriflux.params import RiskParams
-from veriflux.plans import bronze, gold, monitoring, silver
+from veriflux.plans import bronze, gold, monitoring, partials, silver
+from veriflux.plans.refresh import name_views
 from veriflux.session import shared_dir
 from workload import inputs
 from workload.inputs import AS_OF, LATER
@@ -207,7 +208,7 @@ def null_rate_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd1_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    table = silver.transactions_cleaned(inputs.transaction_changes(spark, sf), ["offset"])
+    table = silver.transactions_cleaned(inputs.transaction_changes(spark, sf), ["offset"], unique_sequence=True)
     return present(table.select(*TRANSACTION_TABLE_COLUMNS))
 
 
@@ -237,7 +238,7 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unified(spark: SparkSession, sf: str) -> DataFrame:
-    live = silver.transactions_cleaned(inputs.transaction_changes(spark, sf), ["offset"])
+    live = silver.transactions_cleaned(inputs.transaction_changes(spark, sf), ["offset"], unique_sequence=True)
     both = silver.transactions_unified(live, _landed_cleaned(spark, sf))
     return present(both.select(
         "transaction_id", "amount", "amount_usd", "transaction_status", "event_timestamp", "risk_band",
@@ -337,6 +338,21 @@ def customer_stats_30d(spark: SparkSession, sf: str) -> DataFrame:
     return present(gold.customer_stats(inputs.transactions(spark, sf), PARAMS), {"txn_amount_stddev": 6})
 
 
+def customer_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """From day partials: stored for all days, then, as if late rows had come, again for some. Distinct counts are estimates;
+    listed is whether each lies within five percent of the exact count."""
+    folder = shared_dir(spark, "partials")
+    rows = inputs.transactions(spark, sf)
+    late = (F.col("offset") % 9 == 4) & (F.dayofmonth("transaction_date") < 4)
+    partials.refresh_days(rows.filter(~late), folder, PARAMS)
+    partials.refresh_days(rows, folder, PARAMS, ["2024-01-01", "2024-01-02", "2024-01-03"])
+    stats = partials.customer_stats(spark.read.parquet(folder), rows, PARAMS)
+    exact = gold.customer_stats(rows, PARAMS).select(F.col("customer_id").alias("_customer"), *[F.col(c).alias(f"_{c}") for c in partials.DISTINCT])
+    found = stats.join(exact, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
+    close = {c: F.abs(F.col(c) - F.col(f"_{c}")) <= F.col(f"_{c}") * 0.05 for c in partials.DISTINCT}
+    return present(found.withColumns(close).drop(*[f"_{c}" for c in close]), {"txn_amount_stddev": 6})
+
+
 def customer_profiles(spark: SparkSession, sf: str) -> DataFrame:
     current = cdc.current_versions(_customer_history(spark, sf))
     profiles = gold.customer_profiles(inputs.transactions(spark, sf), current, PARAMS)
@@ -395,6 +411,96 @@ def pipeline_health(spark: SparkSession, sf: str) -> DataFrame:
     return present(health)
 
 
+# ---- edge cases of cleaning and merging ---------------------------------------------------------
+
+
+def silver_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed rows once: the cleaned ones, and those without an id, which cleaning sets aside."""
+    rows = inputs.messy(spark, sf)
+    kept = silver.transactions_landed_cleaned(rows.unionByName(rows), AS_OF, first_by=["offset"], quarantine=True)
+    aside = silver.unkeyed(rows)
+    return kept.select("offset", F.lit(False).alias("quarantined")).unionByName(aside.select("offset", F.lit(True).alias("quarantined")))
+
+
+def scd1_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Two different records of a transaction share their sequence: all columns come from the same one."""
+    rows = inputs.transactions(spark, sf)
+    other = rows.withColumns({"amount": F.col("amount") + 1, "device_type": F.lit("POS")})
+    both = rows.unionByName(other).withColumn("device_id", F.concat_ws(":", F.col("amount").cast("string"), "device_type"))
+    table = silver.transactions_cleaned(both, ["offset"])
+    whole = F.col("device_id") == F.concat_ws(":", F.col("amount").cast("string"), "device_type")
+    return table.select("transaction_id", whole.alias("one_record"))
+
+
+def scd1_two_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The topic is partitioned anew before the last records come: their offsets are lower than those before."""
+    o, step = F.floor(F.col("offset") / 3), F.col("offset") % 3
+    rows = inputs.transaction_changes(spark, sf).withColumns({
+        "_kafka_partition": (o % 3 + F.when(step == 2, 10).otherwise(0)).cast("int"),
+        "_kafka_offset": F.when(step == 2, o).otherwise(100_000_000 + o * 2 + step),
+    })
+    before = rows.filter(step < 2)
+    marks = silver.next_epoch(silver.first_epoch(before), before, fresh=[10, 11, 12])
+    ordered = silver.topic_epochs(rows, marks).drop("offset")
+    table = silver.transactions_cleaned(ordered, ["_epoch", "_kafka_offset"])
+    return present(table.select(*TRANSACTION_TABLE_COLUMNS))
+
+
+def scd1_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """Some records delete their transaction; a later one brings it back with what is known since."""
+    rows = inputs.transaction_changes(spark, sf).select("transaction_id", "amount", "device_id", "offset")
+    return cdc.scd1(rows, ["transaction_id"], ["offset"], exclude=["offset"], delete_when=F.col("offset") % 11 == 5, unique_sequence=True)
+
+
+def scd2_customers_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Histories with most customers treated as hot keys, whose records are cut into slices."""
+    rows = inputs.customer_changes(spark, sf)
+    return present(silver.customers_history(rows, ["changed_at", "change_id"], SkewPolicy(hot_rows=8)))
+
+
+def fx_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """All rates of a currency and day were ingested together."""
+    rates = silver.exchange_rates(inputs.fx_records(spark, sf).withColumn("_ingested_at", F.lit(1)))
+    return present(rates)
+
+
+def bronze_zone(spark: SparkSession, sf: str) -> DataFrame:
+    """Times with no offset, with Z, with an offset and with a named zone; the first are local times of the source."""
+    behind = F.get(F.array(F.lit(""), F.lit("Z"), F.lit("+05:30"), F.lit(" Europe/Paris")), (F.col("offset") % 4).cast("int"))
+    rows = inputs.transactions(spark, sf).withColumn("timestamp", F.concat("timestamp", behind)).drop("event_timestamp")
+    return present(audit.type_event_time(rows, "Asia/Kolkata").select("transaction_id", "event_timestamp"))
+
+
+def unified_travel(spark: SparkSession, sf: str) -> DataFrame:
+    """Live and landed copies of each transaction differ in their amounts; their pairs are those of one copy."""
+    rows = inputs.transactions(spark, sf)
+    both = silver.transactions_unified(rows.withColumn("amount", F.col("amount") + 1), rows.drop("offset"))
+    return present(gold.impossible_travel(both, PARAMS).drop("amount"))
+
+
+def sql_over_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL through the names of layers."""
+    rates = silver.exchange_rates(inputs.fx_records(spark, sf))
+    enriched = silver.transactions_enriched(inputs.transactions(spark, sf), rates)
+    name_views({"transactions_enriched": enriched}, "layers_")
+    return spark.sql("""SELECT currency, risk_band, count(*) AS txn_count, count_if(is_high_risk_merchant) AS high_risk
+        FROM layers_transactions_enriched GROUP BY currency, risk_band""")
+
+
+def refresh_health(spark: SparkSession, sf: str) -> DataFrame:
+    """Health of stored layers, from the footers of their files."""
+    folder = shared_dir(spark, "health")
+    rows = inputs.messy(spark, sf)
+    layers = {
+        "bronze_transactions": rows,
+        "silver_transactions": silver.transactions_landed_cleaned(rows, AS_OF, first_by=["offset"], quarantine=True),
+        "gold_fraud_alerts": gold.fraud_alerts(inputs.transactions(spark, sf), PARAMS),
+    }
+    for name, layer in layers.items():
+        monitoring.with_micros(layer, "event_timestamp").write.parquet(f"{folder}/{name}")
+    return present(monitoring.stored_health(spark, {name: f"{folder}/{name}" for name in layers}, PARAMS))
+
+
 # ---- tables that take deliveries ----------------------------------------------------------------
 
 
@@ -430,12 +536,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         impossible_travel, velocity_hourly, velocity_daily, velocity_tumbling, lag_previous_txn, fraud_alerts,
-        merchant_scores, top_merchants, customer_stats_30d, customer_profiles, aml_structuring, fraud_clusters,
+        merchant_scores, top_merchants, customer_stats_30d, customer_stats_incremental, customer_profiles, aml_structuring, fraud_clusters,
         ops_kpis, fraud_hotspots, fraud_type_mix, daily_totals, rolling_7d, daily_anomaly, pipeline_health,
         risk_band, amount_band, high_risk_merchant, lookback_filter, fx_join, fx_join_salted, silver_enriched,
         silver_s3_cleaned, unified, bronze_enrich, dead_letter, expect_track, expect_drop, expect_fail,
         silver_rules, gold_rules, dq_report, null_rate_gate, scd1_transactions, scd1_merchants,
-        scd2_customers, scd2_current, scd1_merge_incremental, scd2_merge_incremental, dedup_exact, audit_columns, change_hash, scalar_json, scalar_string,
+        scd2_customers, scd2_current, scd1_merge_incremental, scd2_merge_incremental, dedup_exact,
+        silver_quarantine, scd1_ties, scd1_two_partitions, scd1_deletes, scd2_customers_hot, fx_ties, bronze_zone, unified_travel,
+        sql_over_layers, refresh_health, audit_columns, change_hash, scalar_json, scalar_string,
         scalar_cast, scalar_date, scalar_math, scalar_conditional, scalar_array,
     )
 }

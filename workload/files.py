@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriflux import schemas
+from veriflux.operators import quality
 from veriflux.plans import bronze
 from veriflux.session import shared_dir
 from veriflux.sinks.files import write_csv, write_partitioned
-from veriflux.sources import bus
+from veriflux.sinks.publish import GatedTable
+from veriflux.sources import bus, drift
 from veriflux.sources.files import read_files, stream_files
 from veriflux.streaming.run import drain, to_files
 from workload import inputs
@@ -74,6 +76,39 @@ def src_json_schema(spark: SparkSession, sf: str) -> DataFrame:
     return present(rows.select("transaction_id", "merchant_id", "amount", "timestamp", "_quarantine_reason"))
 
 
+def src_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The second file brings two fields that the schema does not name, and some cut-off lines."""
+    folder = shared_dir(spark, "drift")
+    rows = inputs.transactions(spark, sf)
+    first = F.col("offset") % 2 == 0
+    rows.filter(first).select(*inputs.TXN_COLUMNS).coalesce(1).write.mode("append").json(f"{folder}/in")
+    more = F.struct((F.col("offset") % 7).alias("points"), F.concat(F.lit("T"), (F.col("offset") % 3).cast("string")).alias("tier"))
+    wider = rows.filter(~first).select(F.col("offset"), F.to_json(F.struct(
+        *inputs.TXN_COLUMNS, (F.col("offset") / F.lit(4.0)).alias("fee"), F.when(F.col("offset") % 5 == 0, more).alias("loyalty"))).alias("value"))
+    cut = F.when(F.col("offset") % 50 == 1, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    wider.select(cut.alias("value")).coalesce(1).write.mode("append").text(f"{folder}/in")
+    found = streamed(drift.stream_json(spark, f"{folder}/in", schemas.TRANSACTION, 1), folder)
+    return found.select(
+        "transaction_id", "amount", drift.unknown("fee", "double").alias("fee"), drift.unknown("loyalty.points", "bigint").alias("points"),
+        drift.unknown("loyalty.tier", "string").alias("tier"), F.col("_corrupt_record"),
+    )
+
+
+def gate_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of the days hold too many bad amounts; a second delivery mends one of them."""
+    folder = shared_dir(spark, "gate")
+    rows = inputs.transactions(spark, sf).select(*inputs.TXN_COLUMNS, "offset")
+    day = F.dayofmonth("transaction_date")
+    damaged = rows.withColumn("amount", F.when(day.isin(5, 12) & (F.col("offset") % 3 == 0), F.lit(-1.0)).otherwise(F.col("amount") + 1))
+    table = GatedTable(spark, folder.rsplit("/", 1)[-1].replace("-", "_"), folder)
+    rules = {"amount_positive": quality.BRONZE_RULES["amount_positive"]}
+    table.publish(damaged.drop("offset"), "first", rules, 5.0)
+    table.publish(rows.filter(day == 12).drop("offset"), "second", rules, 5.0)
+    kept = table.staged("first").filter(day == 5)
+    columns = ["transaction_id", "transaction_date", "amount"]
+    return present(table.table().select(*columns, F.lit(True).alias("published")).unionByName(kept.select(*columns, F.lit(False).alias("published"))))
+
+
 def src_file_lineage(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "lineage")
     write_partitioned(inputs.landing(spark, sf), f"{folder}/in", ["currency"])
@@ -118,7 +153,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         src_envelope_parse, src_parquet_incremental, src_csv_customers, src_csv_merchants, src_csv_fx,
-        src_json_schema, src_file_lineage, src_partition_pruned, sink_csv_roundtrip, sink_parquet_partitioned,
+        src_json_schema, src_schema_drift, gate_publish, src_file_lineage, src_partition_pruned, sink_csv_roundtrip, sink_parquet_partitioned,
         sink_envelope_encode,
     )
 }

@@ -653,6 +653,54 @@ BATCH |= {
     "scd1_merge_incremental": BATCH["scd1_transactions"],
     "scd2_merge_incremental": BATCH["scd2_customers"],
     "fx_join_salted": BATCH["fx_join"],
+    "customer_stats_incremental": _with(TXN, CUSTOMER_STATS, select="""SELECT * REPLACE (TRUE AS unique_devices_30d, TRUE AS unique_cities_30d,
+      TRUE AS unique_merchant_cats, TRUE AS unique_ips_30d) FROM stats"""),
+}
+
+def _layer_row(layer: str, rows: str) -> str:
+    return f"""SELECT '{layer}' AS layer_table, count(*) AS row_count, min(event_timestamp) AS oldest_record,
+      max(event_timestamp) AS newest_record FROM {rows} HAVING count(*) > 0"""
+
+
+BATCH |= {
+    "silver_quarantine": _with(MESSY, LANDED_CLEANED, select="""SELECT "offset", FALSE AS quarantined FROM landed_cleaned
+      WHERE transaction_id IS NOT NULL UNION ALL SELECT "offset", TRUE FROM messy WHERE transaction_id IS NULL"""),
+    "scd1_ties": _with(TXN, select="SELECT transaction_id, TRUE AS one_record FROM txn"),
+    "scd1_two_partitions": BATCH["scd1_transactions"],
+    "scd1_deletes": _with(TXN_CHANGES, """marked AS (SELECT *, "offset" % 11 = 5 AS gone,
+        coalesce(max("offset") FILTER (WHERE "offset" % 11 = 5) OVER (PARTITION BY transaction_id), -1) AS since FROM changes)""",
+      select="""SELECT transaction_id, arg_max(amount, "offset") FILTER (WHERE amount IS NOT NULL) AS amount,
+        arg_max(device_id, "offset") FILTER (WHERE device_id IS NOT NULL) AS device_id
+      FROM marked WHERE NOT gone AND "offset" > since GROUP BY transaction_id"""),
+    "scd2_customers_hot": BATCH["scd2_customers"],
+    "fx_ties": _with(TXN, FX, select="""SELECT currency_code, CAST(rate_date AS VARCHAR) AS rate_date,
+      max(usd_multiplier) AS usd_multiplier FROM fx GROUP BY currency_code, rate_date"""),
+    "bronze_zone": _with(TXN, select="""SELECT transaction_id, event_timestamp - CASE "offset" % 4 WHEN 1 THEN INTERVAL 0 MINUTES
+      WHEN 3 THEN INTERVAL 60 MINUTES ELSE INTERVAL 330 MINUTES END AS event_timestamp FROM txn"""),
+    "unified_travel": _with(TXN, PAIRS.format(where=recent()), TRAVEL, select="SELECT * EXCLUDE (amount) FROM travel"),
+    "sql_over_layers": _with(TXN, select=f"""SELECT currency, {RISK_BAND} AS risk_band, count(*) AS txn_count,
+      CAST(count_if({HIGH_RISK}) AS BIGINT) AS high_risk FROM txn GROUP BY ALL"""),
+    "refresh_health": _with(MESSY, LANDED_CLEANED, ALERTS, "keyed AS (SELECT * FROM landed_cleaned WHERE transaction_id IS NOT NULL)",
+      "h AS (" + " UNION ALL ".join(_layer_row(*r) for r in (
+        ("bronze_transactions", "messy"), ("silver_transactions", "keyed"), ("gold_fraud_alerts", "alerts"))) + ")",
+      f"""m AS (SELECT *, date_sub('minute', newest_record, TIMESTAMP '{AS_OF}') AS lag_minutes FROM h)""",
+      select="""SELECT *, CASE WHEN lag_minutes > 60 THEN 'CRITICAL' WHEN lag_minutes > 30 THEN 'WARNING' ELSE 'HEALTHY' END
+        AS health_status FROM m"""),
+}
+
+_EVEN, _CUT_OFF = '"offset" % 2 = 0', '"offset" % 50 = 1'
+_BAD = """day(transaction_date) IN (5, 12) AND "offset" % 3 = 0"""
+
+FILES |= {
+    "src_schema_drift": _with(TXN, select=f"""SELECT CASE WHEN NOT ({_CUT_OFF}) THEN transaction_id END AS transaction_id,
+        CASE WHEN NOT ({_CUT_OFF}) THEN amount END AS amount,
+        CASE WHEN NOT ({_EVEN} OR {_CUT_OFF}) THEN "offset" / CAST(4 AS DOUBLE) END AS fee,
+        CASE WHEN NOT ({_EVEN} OR {_CUT_OFF}) AND "offset" % 5 = 0 THEN CAST("offset" % 7 AS BIGINT) END AS points,
+        CASE WHEN NOT ({_EVEN} OR {_CUT_OFF}) AND "offset" % 5 = 0 THEN 'T' || CAST("offset" % 3 AS VARCHAR) END AS tier,
+        CASE WHEN {_CUT_OFF} THEN '{{"transaction_id":"T' END AS _corrupt_record FROM txn"""),
+    "gate_publish": _with(TXN, select=f"""SELECT transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date,
+        CASE WHEN day(transaction_date) = 12 THEN amount WHEN {_BAD} THEN -1.0 ELSE amount + 1 END AS amount,
+        day(transaction_date) <> 5 AS published FROM txn"""),
 }
 
 _HELD_BACK = """CAST(substr(customer_id, 6) AS BIGINT) % 10 = 7 AND "offset" % 3 = 0"""
@@ -664,6 +712,8 @@ STREAMS = {
     "stream_alerts": BATCH["fraud_alerts"],
     "stream_fx_join": BATCH["fx_join"],
     # Windows that end after the final watermark have not come out yet.
+    "stream_rule_counts": BATCH["dq_report"],
+    "stream_late_rows": _with(TXN, select=f"SELECT transaction_id, customer_id, amount, {_LATE} AS late FROM txn"),
     # A day comes out once both streams have passed it: transactions by 30 minutes, rates by four days.
     "stream_fx_join_growing": _with(TXN, FX, select="""SELECT transaction_id, currency, amount,
         amount * usd_multiplier AS amount_usd, usd_multiplier IS NULL AS rate_missing
@@ -674,7 +724,8 @@ STREAMS = {
     "stream_tumbling": _with(TXN, select="""SELECT * FROM (
       SELECT customer_id, CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) AS window_start,
         CAST(date_trunc('hour', event_timestamp) AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,
-        count(*) AS txn_count, sum(amount) AS total_amount FROM txn GROUP BY ALL)
+        count(*) AS txn_count, sum(amount) AS total_amount, count(DISTINCT merchant_id) AS approx_merchants
+      FROM txn GROUP BY ALL)
       WHERE window_end <= (SELECT max(event_timestamp) FROM txn) - INTERVAL 30 MINUTES"""),
     "dedup_watermark": FILES["sink_parquet_partitioned"],
     "stream_scd1": BATCH["scd1_transactions"],

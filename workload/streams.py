@@ -6,11 +6,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriflux.operators import quality
 from veriflux.operators.cdc import drop_duplicates
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
 from veriflux.sources.files import stream_files
+from veriflux.streaming.late import mark_late
 from veriflux.streaming.rates import with_usd_amount as with_moving_rates
+from veriflux.streaming.rule_counts import RuleCounts
+from veriflux.streaming.run import to_files
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
@@ -69,10 +73,31 @@ def stream_fx_join_growing(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("transaction_id", "currency", "amount", "amount_usd", "rate_missing")
 
 
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of a feed, with whether it came behind the watermark: what windows and deduplication drop."""
+    folder = shared_dir(spark, "late-rows")
+    rows = inputs.transactions(spark, sf)
+    feed = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
+    found = streamed(mark_late(feed, "event_timestamp", "customer_id", TRAVEL_LATENESS), folder)
+    return found.select("transaction_id", "customer_id", "amount", F.col("_late").alias("late"))
+
+
+def stream_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The violations of all micro-batches, stored while the stream runs."""
+    folder = shared_dir(spark, "rule-counts")
+    rows = inputs.messy(spark, sf).withColumn("part", F.col("offset") % 3)
+    rows.write.partitionBy("part").parquet(f"{folder}/in")
+    feed = stream_files(spark, f"{folder}/in", "parquet", rows.schema, 1)
+    checked = quality.track_stream(feed, {**quality.BRONZE_RULES, **quality.silver_rules(PARAMS.as_of)}, "silver")
+    with RuleCounts(spark, f"{folder}/counts") as counts:
+        counts.wait(to_files(checked.select("transaction_id"), f"{folder}/out", f"{folder}/checkpoint"))
+    return counts.report().drop("name")
+
+
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "tumbling")
     rows = streamed(windowed_activity(_transactions(spark, sf, folder)), folder)
-    return present(rows, drop=("approx_merchants",))
+    return present(rows)
 
 
 def dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,6 +146,10 @@ def _delivery() -> Column:
     return F.floor((hours + F.col("offset") % 5 * 5) / 240)
 
 
+def _held_back() -> Column:
+    return (F.substring("customer_id", 6, 20).cast("bigint") % 10 == 7) & (F.col("offset") % 3 == 0)
+
+
 def stream_impossible_travel(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "travel")
     feed = _travel_feed(gold.recent(inputs.transactions(spark, sf), PARAMS), folder, _delivery())
@@ -133,8 +162,7 @@ def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
     """Some customers' transactions come at the very end: those behind the watermark are listed as late, with no pair."""
     folder = shared_dir(spark, "late-travel")
     rows = gold.recent(inputs.transactions(spark, sf), PARAMS)
-    held_back = (F.substring("customer_id", 6, 20).cast("bigint") % 10 == 7) & (F.col("offset") % 3 == 0)
-    feed = _travel_feed(rows, folder, F.when(held_back, F.lit(1_000_000)).otherwise(_delivery()))
+    feed = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
     travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS)
     travel.run()
     late = travel.late().select("customer_id", F.lit(None).cast("string").alias("txn_id_1"), F.col("transaction_id").alias("txn_id_2"), F.lit(True).alias("late"))
@@ -144,7 +172,7 @@ def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_alerts, stream_fx_join, stream_fx_join_growing, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
+        stream_alerts, stream_fx_join, stream_fx_join_growing, stream_rule_counts, stream_late_rows, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
         stream_impossible_travel, stream_late_travel,
     )
 }
