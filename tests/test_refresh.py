@@ -25,7 +25,10 @@ def test_from_messages_to_gold(spark):
         inputs.customer_changes(spark, SF).withColumn("_ingested_at", F.col("change_id")),
         inputs.fx_records(spark, SF), PARAMS)
     assert silver["transactions_cleaned"].count() == live.count()
-    tables = refresh_gold(silver, PARAMS)
+    tables = refresh_gold(silver, PARAMS, bronze=live)
+    health = {r.layer_table: r.row_count for r in tables["pipeline_health"].collect()}
+    assert health == {"bronze_transactions": live.count(), "silver_transactions": live.count(), "gold_fraud_alerts": tables["fraud_alerts"].count()}
+    assert spark.sql("SELECT count(*) FROM transactions_unified").first()[0] == silver["transactions_unified"].count()
     assert all(t.limit(1).count() for t in tables.values())
 
     unified = silver["transactions_unified"]

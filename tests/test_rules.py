@@ -1,5 +1,6 @@
 """Risk rules on small inputs with known answers."""
 
+import math
 from decimal import Decimal
 
 import pytest
@@ -14,7 +15,7 @@ from veriflux.plans import bronze, gold, monitoring, silver
 from workload import inputs
 
 AS_OF = RiskParams(as_of="2024-01-31 00:00:00")
-MUMBAI, LONDON = (19.076, 72.878), (51.507, -0.128)
+KM_PER_DEGREE = 6371 * math.pi / 180  # along a meridian
 
 TXN = """transaction_id string, customer_id string, merchant_id string, amount double, currency string,
     transaction_status string, location_city string, location_country string, latitude double, longitude double,
@@ -147,22 +148,29 @@ def test_clusters_with_and_without_the_velocity_label(spark):
 # ---- velocity and structuring -------------------------------------------------------------------
 
 
-def burst(spark, n=25):
+def per_hour(spark, **counts):
+    """So many transactions of each customer within one hour."""
     return txns(spark, *[
-        dict(transaction_id=f"T{i}", customer_id="CUST_VELOCITY", event_ts=f"2024-01-15 10:{i:02d}:00",
-             device_id=f"D{i % 3}", location_city="Pune") for i in range(n)])
+        dict(transaction_id=f"{c}-{i}", customer_id=c, event_ts=f"2024-01-09 07:{59 * i // n:02d}:30", device_id=f"d{i % 2}", ip_address=f"10.1.0.{i}")
+        for c, n in counts.items() for i in range(n)])
 
 
-def test_velocity_window(spark):
-    assert values(gold.velocity_windows(burst(spark)), "customer_id", "txn_count") == [("CUST_VELOCITY", 25)]
-    assert gold.velocity_windows(burst(spark, 15)).count() == 0
+def test_a_window_is_listed_above_its_limit(spark):
+    assert values(gold.velocity_windows(per_hour(spark, at=15, above=16)), "customer_id", "txn_count") == [("above", 16)]
 
 
-def test_velocity_group(spark):
-    row = gold.velocity(burst(spark), AS_OF).first()
-    assert (row.txn_count, row.unique_devices, row.velocity_score) == (25, 3, 0.9)
-    assert row.window_duration_minutes == 24
-    assert row.risk_factors == ["HIGH_VELOCITY:25_txns", "MULTI_DEVICE:3", None]
+def test_a_window_ends_with_its_hour(spark):
+    rows = per_hour(spark, c=16)
+    half = F.when(F.col("transaction_id") == "c-15", F.expr("interval 5 minutes")).otherwise(F.expr("interval 0 minutes"))
+    assert gold.velocity_windows(rows.withColumn("event_timestamp", F.col("event_timestamp") + half)).count() == 0
+
+
+def test_velocity_steps(spark):
+    counts = dict(a=10, b=11, c=15, d=16, e=20, f=21, g=30, h=31)
+    rows = {r.customer_id: r for r in gold.velocity(per_hour(spark, **counts), AS_OF).collect()}
+    assert {c: r.velocity_score for c, r in rows.items()} == dict(a=0.2, b=0.5, c=0.5, d=0.7, e=0.7, f=0.9, g=0.9, h=1.0)
+    assert {c: r.txn_count for c, r in rows.items()} == counts
+    assert rows["h"].unique_devices == 2 and rows["h"].window_duration_minutes == 57
 
 
 def test_velocity_skips_failed_and_unknown_status(spark):
@@ -170,43 +178,42 @@ def test_velocity_skips_failed_and_unknown_status(spark):
     assert gold.velocity(rows, AS_OF).first().txn_count == 1
 
 
-def test_structuring(spark):
-    amounts = [("CUST_AML", a) for a in (9100.0, 9500.0, 9800.0, 9200.0)] + [("CUST_GOOD", 500.0)]
-    rows = txns(spark, *[dict(customer_id=c, amount=a) for c, a in amounts])
-    assert values(gold.aml_structuring(rows), "customer_id", "structuring_count") == [("CUST_AML", 4)]
+def test_structuring_limits(spark):
+    amounts = dict(three=(9000.0, 9999.0, 9000.0), two=(9000.0, 9999.0, 9999.01, 8999.99), none=(9999.01,) * 5)
+    rows = txns(spark, *[dict(transaction_id=f"{c}{i}", customer_id=c, amount=a) for c, each in amounts.items() for i, a in enumerate(each)])
+    assert values(gold.aml_structuring(rows), "customer_id", "structuring_count") == [("three", 3)]
 
 
 # ---- travel -------------------------------------------------------------------------------------
 
 
-def trip(spark, minutes=20):
-    return txns(
-        spark,
-        dict(transaction_id="A", event_ts="2024-01-15 22:00:00", latitude=MUMBAI[0], longitude=MUMBAI[1]),
-        dict(transaction_id="B", event_ts=f"2024-01-15 22:{minutes:02d}:00", latitude=LONDON[0], longitude=LONDON[1]),
-    )
+def drives(spark, hours, **speeds):
+    """One drive of each customer along a meridian, at so many kilometres an hour."""
+    end = f"2024-01-{9 + hours // 24:02d} {hours % 24:02d}:00:00"
+    return txns(spark, *[
+        row for c, speed in speeds.items() for row in (
+            dict(transaction_id=f"{c}-from", customer_id=c, event_ts="2024-01-09 00:00:00", latitude=10.0),
+            dict(transaction_id=f"{c}-to", customer_id=c, event_ts=end, latitude=10.0 + speed * hours / KM_PER_DEGREE))])
 
 
-def test_mumbai_to_london(spark):
-    row = gold.impossible_travel(trip(spark), AS_OF).first()
-    assert row.distance_km > 5000 and row.implied_speed_kmh > 15000 and row.impossible_travel_score == 0.99
-    assert (row.txn_id_1, row.txn_id_2) == ("A", "B")
+def test_travel_steps(spark):
+    slow = gold.impossible_travel(drives(spark, 10, still=0.0, below=0.099, a=0.101, b=0.99, c=1.01), AS_OF)
+    assert values(slow, "customer_id", "impossible_travel_score") == [("a", 0.5), ("b", 0.5), ("c", 0.85)]
+    fast = gold.impossible_travel(drives(spark, 2, a=49.9, b=50.1, c=99.9, d=100.1), AS_OF)
+    assert values(fast, "customer_id", "impossible_travel_score") == [("a", 0.85), ("b", 0.95), ("c", 0.95), ("d", 0.99)]
+    row = fast.filter("customer_id = 'd'").first()
+    assert (row.txn_id_1, row.txn_id_2, row.distance_km, row.implied_speed_kmh) == ("d-from", "d-to", 200.2, 100.0)
 
 
 def test_same_second_pairs_vanish(spark):
-    assert gold.impossible_travel(trip(spark, minutes=0), AS_OF).count() == 0
+    rows = drives(spark, 2, a=5000.0).withColumn("event_timestamp", F.lit("2024-01-09 00:00:00").cast("timestamp"))
+    assert gold.impossible_travel(rows, AS_OF).count() == 0
 
 
 def test_speed_limit_is_a_parameter(spark):
-    slow = txns(
-        spark,
-        dict(transaction_id="A", event_ts="2024-01-14 00:00:00", latitude=18.52, longitude=73.86),
-        dict(transaction_id="B", event_ts="2024-01-15 00:00:00", latitude=19.07, longitude=72.87),
-    )
-    assert gold.impossible_travel(slow, AS_OF).count() == 1
     strict = RiskParams(as_of=AS_OF.as_of, travel_min_speed_kmh=900)
-    assert gold.impossible_travel(slow, strict).count() == 0
-    assert gold.impossible_travel(trip(spark), strict).count() == 1
+    rows = drives(spark, 5, below=899.0, above=901.0)
+    assert values(gold.impossible_travel(rows, strict), "customer_id") == [("above",)]
 
 
 def test_tied_times_are_ordered_by_id(spark):

@@ -79,8 +79,10 @@ def refresh_gold(
     params: RiskParams = RiskParams(),
     policy: SkewPolicy = SkewPolicy(),
     enforce_rules: bool = True,
+    bronze: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Silver tables in, stored gold tables out. With `enforce_rules` a bad profile stops the refresh."""
+    """Silver tables in, stored gold tables out. With `enforce_rules` a bad profile stops the refresh. With the live `bronze`
+    transactions, the health of the three layers is stored too."""
     pruned = replace(params, partition_column="transaction_date")
     unified = tables["transactions_unified"]
     alerts = save_table(gold.fraud_alerts(tables["transactions_cleaned"], params), "gold.fraud_alerts")
@@ -99,4 +101,6 @@ def refresh_gold(
         "fraud_hotspots": gold.fraud_hotspots(alerts),
         "fraud_type_mix": gold.fraud_type_mix(alerts),
     }
+    if bronze is not None:
+        views["pipeline_health"] = monitoring.pipeline_health(bronze, tables["transactions_cleaned"], alerts, params)
     return {"fraud_alerts": alerts, **{name: save_table(view, f"gold.{name}") for name, view in views.items()}}

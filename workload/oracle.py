@@ -713,6 +713,11 @@ STREAMS = {
     "stream_fx_join": BATCH["fx_join"],
     # Windows that end after the final watermark have not come out yet.
     "stream_rule_counts": BATCH["dq_report"],
+    "live_path": _with(TXN, ALERTS, select=f"""SELECT transaction_id, 'alert' AS output, alert_severity AS detail
+        FROM alerts JOIN (SELECT transaction_id, "offset" FROM txn) USING (transaction_id) WHERE NOT ({_CUT})
+      UNION ALL SELECT transaction_id, 'current', transaction_status FROM txn WHERE NOT ({_CUT}) AND amount > 0
+      UNION ALL SELECT CASE WHEN NOT ({_CUT}) THEN transaction_id END, 'dead', CASE WHEN {_CUT} THEN 'MALFORMED_JSON' ELSE 'INVALID_AMOUNT' END
+        FROM txn WHERE {_CUT} OR amount <= 0"""),
     "stream_late_rows": _with(TXN, select=f"SELECT transaction_id, customer_id, amount, {_LATE} AS late FROM txn"),
     # A day comes out once both streams have passed it: transactions by 30 minutes, rates by four days.
     "stream_fx_join_growing": _with(TXN, FX, select="""SELECT transaction_id, currency, amount,

@@ -10,8 +10,10 @@ from veriflux.operators import quality
 from veriflux.operators.cdc import drop_duplicates
 from veriflux.plans import bronze, gold, silver
 from veriflux.session import shared_dir
+from veriflux.sources import bus
 from veriflux.sources.files import stream_files
 from veriflux.streaming.late import mark_late
+from veriflux.streaming.live import LivePath
 from veriflux.streaming.rates import with_usd_amount as with_moving_rates
 from veriflux.streaming.rule_counts import RuleCounts
 from veriflux.streaming.run import to_files
@@ -47,6 +49,18 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return present(streamed(gold.fraud_alerts(_transactions(spark, sf, folder), PARAMS), folder))
 
 
+def live_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages to alerts, with what became of the other messages: current transactions and dead letters."""
+    folder = shared_dir(spark, "live")
+    inputs.envelopes(spark, sf).write.parquet(f"{folder}/in")
+    live = LivePath(bus.replay(spark, f"{folder}/in"), folder, PARAMS)
+    live.run()
+    alert = live.alerts().select("transaction_id", F.lit("alert").alias("output"), F.col("alert_severity").alias("detail"))
+    current = live.cleaned().select("transaction_id", F.lit("current").alias("output"), F.col("transaction_status").alias("detail"))
+    dead = live.dead_letters().select("transaction_id", F.lit("dead").alias("output"), F.col("_quarantine_reason").alias("detail"))
+    return alert.unionByName(current).unionByName(dead)
+
+
 def stream_fx_join(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "fx-join")
     rates = silver.exchange_rates(inputs.fx_records(spark, sf))
@@ -172,7 +186,7 @@ def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_alerts, stream_fx_join, stream_fx_join_growing, stream_rule_counts, stream_late_rows, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
+        stream_alerts, live_path, stream_fx_join, stream_fx_join_growing, stream_rule_counts, stream_late_rows, stream_tumbling, dedup_watermark, stream_scd1, stream_scd2,
         stream_impossible_travel, stream_late_travel,
     )
 }
