@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veriflux.llm import centroids, periods, queries, word_pieces
+from veriflux.llm import centroids, metric_tree, periods, queries, word_pieces
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -225,3 +225,27 @@ def test_pieces_query_equals_the_library(spark):
         ids = library.encode(r.text or "", add_special_tokens=False).ids
         want.add((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
     assert {tuple(r) for r in queries.op13_word_pieces(spark, SF).collect()} == want
+
+
+def test_vector_search_of_odd_rows(spark):
+    """Ties, repeated rows and ids, several lengths, empty vectors, nulls, large components, many parts and trees."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 3)]) for i in range(400)]
+    rows += [(7, [1.0, 0.0, 2.0]), (8, rows[8][1]), (8, rows[8][1]), (None, [1.0, 1.0, 1.0]), (500, None), (501, [None, 1.0, 1.0]), (502, [math.nan, 0.0, 0.0])]
+    rows += [(600 + i, [float(i % 4)] * 2) for i in range(20)] + [(700, []), (701, [])]
+    df = spark.createDataFrame([(i, v, 1, 0) for i, v in rows], "vec_id long, vector array<double>, part int, tree int")
+    asked = F.col("vec_id") % 10 == 0
+    got = metric_tree.top_inner_products(df, asked, tree_rows=90, task_queries=11).collect()
+    usable = [(i, tuple(v)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for i, v in sorted({r for r in usable if r[0] % 10 == 0}):
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in usable if j != i and len(w) == len(v))
+        want += [(i, n, j, int(-s)) for n, (s, j) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    large = [[2.0**29 + i, 2.0**30 - 3 * i, float(i)] for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(large)), "vec_id long, vector array<double>")
+    got = metric_tree.top_inner_products(df, F.col("vec_id") == 3, k=60).collect()
+    want = sorted((-sum(int(a) * int(b) for a, b in zip(large[3], w, strict=True)), j) for j, w in enumerate(large) if j != 3)
+    assert [(r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(-s, j) for s, j in want]
+    with pytest.raises(Exception, match="too large"):
+        metric_tree.top_inner_products(spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, vector array<double>"), F.lit(True)).collect()
