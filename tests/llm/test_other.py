@@ -139,7 +139,7 @@ def test_main_text_learns_from_rare_labels(spark):
     least = spark.createDataFrame([(h,) for h in given], "h string").orderBy(F.xxhash64("h"), "h").limit(4).collect()
     assert few.start == main_text.fit([r.h for r in least]).start
     none = main_text.train(spark.createDataFrame([(h,) for h in empty[:50]], "html string"))
-    assert none.trees == [] and none.start == 0
+    assert none.start == main_text.fit([]).start  # the layouts that always teach
 
 
 def test_main_text_rows(spark, model):
@@ -148,7 +148,7 @@ def test_main_text_rows(spark, model):
 
 
 def test_decode_is_hierarchical(model):
-    page = main_text.dom.parse("<div><nav><p>x</p></nav><section><p>y</p></section></div>")
+    page = main_text.dom.parse("<div><button><b>x</b></button><section><p>y</p></section></div>")
     kept = main_text.decode(page, np.array([0.0, 1.0, 5.0, 9.0, -9.0, 1.0]))
     assert kept.tolist() == [True, True, False, False, False, False]
 

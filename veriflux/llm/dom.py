@@ -20,11 +20,17 @@ CLOSES_P = frozenset(
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+CONTROLS = {"button": CLOSES_P | {"button"}, "select": CLOSES_P | {"select", "input", "textarea", "button"}}  # what ends an open one
+# A quote opens a value only where a value begins, behind an equals sign.
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?([a-zA-Z][^\s/>]*+)"
+    r"((?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?|=)*+)>", re.S)
 _NAMES = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_SAID = re.compile(r"[^\W\d_]{4,}|©")
 
-TAGS = tuple("html body article main section div p h1 h2 h3 h4 ul ol li a nav header footer aside form table td blockquote pre b".split())
+TAGS = tuple("html body article main section div p h1 h2 h3 h4 ul ol li a nav header footer aside form table tr td th dl dt dd figure figcaption blockquote pre b".split())
 # Words of attributes that tell a part's purpose; the model weighs them.
 PURPOSE = {
     "body": "article content post entry story text body main page copy paragraph prose read",
@@ -41,7 +47,14 @@ _PURPOSES: dict[str, int] = {}  # bit sets
 for _k, _words in enumerate(PURPOSE.values()):
     for _w in _words.split():
         _PURPOSES[_w] = _PURPOSES.get(_w, 0) | 1 << _k
-N_FEATURES = len(TAGS) + 2 * len(KINDS) + 14
+# Words that notices, forms and edges use in their text; the model weighs them too.
+SPOKEN = frozenset((
+    "cookie cookies consent accept privacy policy gdpr subscribe newsletter signup login logout password username register copyright rights reserved "
+    "share tweet follow reply replies comment comments posted advertisement sponsored promoted related trending read menu search submit cancel "
+    "datenschutz akzeptieren anmelden abonnieren kommentar antworten accepter confidentialité abonnez connexion commentaires répondre aceptar "
+    "privacidad suscríbete comentarios responder publicidad anzeige ©"
+).split())
+N_FEATURES = len(TAGS) + 2 * len(KINDS) + 16
 
 
 BREAK = -1  # stands among the pieces wherever a block begins or ends
@@ -98,9 +111,13 @@ def parse(text: str) -> Page:
     while at < size:
         m = _TAG.search(text, at)
         if not m:
+            if not text[at:].isspace():
+                close(("head",))
             page.pieces.append((open_[-1], text[at:]))
             break
         if m.start() > at:
+            if not text[at : m.start()].isspace():
+                close(("head",))  # text ends an open head
             page.pieces.append((open_[-1], text[at : m.start()]))
         at = m.end()
         name = m[1]
@@ -113,6 +130,11 @@ def parse(text: str) -> Page:
             if name == "br" or name not in VOID:
                 close((name,), frozenset(("table", "article", "#page")) if name in INLINE else ("#page",))
             continue
+        if name not in HEAD:
+            close(("head",))
+        for control, ends in CONTROLS.items():
+            if name in ends:
+                close((control,), ("#page", "form", "td", "div"))
         if name in CLOSES_P:
             close(("p",), ("article", "section", "div", "td", "li", "body", "table", "aside", "main", "blockquote"))
         if name in SAME_ENDS:
@@ -147,7 +169,7 @@ def features(page: Page) -> np.ndarray:
         children[p] += 1
         above[i] = above[p] | own_kinds[p]
         own_kinds[i] = _TAG_PURPOSE.get(tags[i], 0) | (purposes(page.names[i]) if page.names[i] else 0)
-    own, linked, marks = [0.0] * n, [0.0] * n, [0.0] * n
+    own, linked, marks, spoken = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
     for node, text in page.pieces:
         if node == BREAK or text.isspace():
             continue
@@ -155,12 +177,14 @@ def features(page: Page) -> np.ndarray:
         if in_link[node]:
             linked[node] += len(text)
         marks[node] += text.count(". ") + text.count(", ")
+        spoken[node] += sum(w in SPOKEN for w in _SAID.findall(text.lower()))
     total, nodes, paragraphs = own.copy(), [1.0] * n, [1.0 if t == "p" else 0.0 for t in tags]
     for i in range(n - 1, 0, -1):
         p = parents[i]
         total[p] += total[i]
         linked[p] += linked[i]
         marks[p] += marks[i]
+        spoken[p] += spoken[i]
         nodes[p] += nodes[i]
         paragraphs[p] += paragraphs[i]
     t, k = len(TAGS), len(KINDS)
@@ -170,8 +194,8 @@ def features(page: Page) -> np.ndarray:
     bits = np.arange(k)
     out[:, t : t + k] = np.array(own_kinds)[:, None] >> bits & 1
     out[:, t + k : t + 2 * k] = np.array(above)[:, None] >> bits & 1
-    parent, own, total, links, sentences, nodes, paragraphs, depth, nth, children = (
-        np.array(x) for x in (parents, own, total, linked, marks, nodes, paragraphs, depth, nth, children)
+    parent, own, total, links, sentences, nodes, paragraphs, depth, nth, children, spoken = (
+        np.array(x) for x in (parents, own, total, linked, marks, nodes, paragraphs, depth, nth, children, spoken)
     )
     whole, up = max(1.0, total[0]), np.maximum(parent, 0)
     rest = out[:, t + 2 * k :]
@@ -188,6 +212,8 @@ def features(page: Page) -> np.ndarray:
     rest[:, 11] = links[up] / np.maximum(1, total[up])
     rest[:, 12] = np.log1p(own)
     rest[:, 13] = paragraphs[up]
+    rest[:, 14] = spoken / np.maximum(1, total) * 100
+    rest[:, 15] = (spoken / np.maximum(1, total) * 100)[up]
     return out
 
 

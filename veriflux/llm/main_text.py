@@ -11,6 +11,7 @@ attribute words, or not even these, and with further kinds of boilerplate, so th
 
 from __future__ import annotations
 
+import html
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,10 +26,27 @@ from veriflux.llm import dom
 SAMPLE = 160
 VARIANTS = 4
 TOGETHER = 64  # pages whose nodes are scored at once
-ROUNDS, DEPTH, BINS, SHRINK, PENALTY = 40, 4, 32, 0.25, 1.0
-BOND = 1.5  # odds by which an element goes with the one around it
+ROUNDS, DEPTH, BINS, SHRINK, PENALTY = 60, 4, 32, 0.25, 1.0
+BOND = 1.0  # odds by which an element goes with the one around it
 RESULT = "page_id bigint, url string, text string"
-DROPPED = frozenset("nav header footer aside form script style noscript template iframe svg select button textarea menu dialog head title".split())
+MARKUP = frozenset("script style noscript template iframe svg select button textarea head title".split())  # never text of a page
+ASIDE = frozenset("nav header footer aside form menu dialog".split()) | MARKUP  # what teaches that a part is no main text
+
+# Pages that always teach, besides those of the sample: layouts that pages without article elements use.
+SEEDS = (
+    "<html><body><div class=top><a href=/>Home</a> <a href=/a>News</a></div><article><header><h1>{0}</h1><p>{1}</p></header><p>{2}</p><h2>{3}</h2><ul><li>{4}</li><li>{5}</li></ul>"
+    "<table><tr><th>{6}</th><th>{7}</th></tr><tr><td>{8}</td><td>{9}</td></tr></table><p>{10}</p></article><footer>© 2021 {11}</footer></body></html>",
+    "<html><body><nav><ul><li><a href=/>{3}</a></li><li><a href=/b>{4}</a></li></ul></nav><article><h1>{0}</h1><dl><dt>{5}</dt><dd>{1}</dd><dt>{6}</dt><dd>{2}</dd></dl><ol><li>{7}</li><li>{8}</li></ol>"
+    "<figure><img src=x><figcaption>{9}</figcaption></figure><p>{10}</p></article><aside><h3>Related</h3><ul><li><a href=/c>{11}</a></li></ul></aside></body></html>",
+    "<html><body><form action=/><div class=header><a href=/>{3}</a></div><article><h1>{0}</h1><p>{1}</p><p>{2}</p><blockquote><p>{10}</p></blockquote><pre>{8}</pre></article><div class=footer>© {4}</div></form></body></html>",
+)
+NOTICES = (
+    "We use cookies to improve this site. Accept all cookies or read our privacy policy.", "This website uses cookies. By continuing you consent to our use of cookies.",
+    "Subscribe to our newsletter and never miss a story.", "Sign up for the newsletter: enter your email address to subscribe.", "Please login or register to post a comment.",
+    "Share this page. Follow us. Tweet.", "Advertisement", "Sponsored: promoted content from our partners.", "Copyright 2020. All rights reserved.", "Related stories you may like to read.",
+    "Wir verwenden Cookies. Mit Akzeptieren stimmen Sie zu; mehr im Datenschutz.", "Nous utilisons des cookies, accepter ou lire la politique de confidentialité.", "Usamos cookies. Aceptar o leer la política de privacidad.",
+    "3 comments. Reply. Great post, thank you!", "Anna says: I read this twice and still do not agree with it. Reply",
+)
 
 
 @dataclass
@@ -36,11 +54,12 @@ class Model:
     start: float
     edges: list[np.ndarray]
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # feature and cut of each inner node, value of each leaf
+    prior: np.ndarray  # what each feature adds before the trees do
 
     def odds(self, x: np.ndarray) -> np.ndarray:
         """Logarithms of the odds."""
         binned = _binned(x, self.edges)
-        out = np.full(len(x), self.start)
+        out = self.start + x @ self.prior
         for feature, cut, value in self.trees:
             at = np.zeros(len(x), np.int64)
             for _ in range(DEPTH):
@@ -53,13 +72,14 @@ def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], 1).astype(np.int16)
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Model:
-    """Second-order boosting of the logistic loss; complete trees of DEPTH levels on binned features."""
+def boost(x: np.ndarray, y: np.ndarray, prior: np.ndarray | None = None) -> Model:
+    """Second-order boosting of the logistic loss; complete trees of DEPTH levels on binned features. The trees start from
+    the mean and the prior weights of the features."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0) for j in range(x.shape[1])]
     binned, n, width = _binned(x, edges), len(x), BINS + 1
     mean = min(max(float(y.mean()) if n else 0.5, 1e-3), 1 - 1e-3)
-    model = Model(float(np.log(mean / (1 - mean))), edges, [])
-    score = np.full(n, model.start)
+    model = Model(float(np.log(mean / (1 - mean))), edges, [], np.zeros(x.shape[1]) if prior is None else prior)
+    score = model.start + x @ model.prior
     for _ in range(ROUNDS if n else 0):
         p = 1 / (1 + np.exp(-score))
         slope, bend = y - p, p * (1 - p)
@@ -92,7 +112,7 @@ def decode(page: dom.Page, odds: np.ndarray) -> np.ndarray:
     """Which nodes are kept: the most probable choice in which nothing below a cut node is kept."""
     n = len(page.tag)
     block = [name not in dom.INLINE for name in page.tag]
-    never = [name in DROPPED for name in page.tag]
+    never = [name in MARKUP for name in page.tag]
     keep_gain = [o + BOND if b else 0.0 for o, b in zip(odds.tolist(), block, strict=True)]
     gain = [0.0] * n  # of the best choice below and at a node over cutting it
     kept = [False] * n
@@ -120,7 +140,11 @@ def extract(texts: list[str | None], model: Model) -> list[str]:
 
 _WORDS = {"body": ("content", "post-content", "entry", "article-body", "story", "main-text", "prose"), "nav": ("menu", "navbar", "topnav", "breadcrumbs"),
           "footer": ("footer", "site-footer", "legal", "bottom"), "header": ("masthead", "header", "banner"), "aside": ("sidebar", "related", "widget", "recommended")}
-_MORE = ("comments", "comment-list", "cookie-notice", "consent", "newsletter", "subscribe-box", "promo", "sponsored", "share", "share-buttons", "ad", "ad-slot", "login-form", "search", "popular-posts")
+SEEDED = 24
+PRIOR = np.zeros(dom.N_FEATURES)  # elements that say what they are; trees may overrule them
+PRIOR[[dom.TAGS.index(t) for t in ("nav", "footer", "aside")]] = -4.0
+PROSE = "It was late in the year when they came back to the old house by the river, and nothing there had changed, or so it seemed to them at first. " * 4
+_MORE = ("comments", "comment-list", "comments", "reader-comments", "discussion", "cookie-notice", "consent", "newsletter", "subscribe-box", "promo", "sponsored", "share", "share-buttons", "ad", "ad-slot", "login-form", "search", "popular-posts")
 
 
 def _labels(page: dom.Page) -> np.ndarray | None:
@@ -130,7 +154,8 @@ def _labels(page: dom.Page) -> np.ndarray | None:
     for i in range(1, n):
         p = page.parent[i]
         purpose = dom.purposes(page.names[i])
-        bad = page.tag[i] in DROPPED or purpose and not purpose & 1
+        own_header = page.tag[i] == "header" and inside[p]  # an article's own heading
+        bad = page.tag[i] in ASIDE and not own_header or purpose and not purpose & 1
         inside[i] = (inside[p] or page.tag[i] in ("article", "main")) and not bad
     y = np.array(inside, float)
     if not y.any():
@@ -143,7 +168,7 @@ def _labels(page: dom.Page) -> np.ndarray | None:
 
 def _varied(page: dom.Page, y: np.ndarray, others: list[str], rng: random.Random) -> tuple[dom.Page, np.ndarray]:
     """The page with other elements and more boilerplate around the same text."""
-    plain, worded = rng.random() < 0.6, rng.random() < 0.8
+    plain, worded, wrapped, short = rng.random() < 0.6, rng.random() < 0.8, rng.random() < 0.15, rng.random() < 0.2
     out, labels, at = dom.Page(), [1.0], {0: 0}
     top = next((i for i, t in enumerate(page.tag) if t in ("article", "main")), -1)
 
@@ -154,15 +179,24 @@ def _varied(page: dom.Page, y: np.ndarray, others: list[str], rng: random.Random
         labels.append(label)
         return len(out.tag) - 1
 
+    def some(count: int) -> str:
+        words = rng.choice(others).split()
+        k = rng.randrange(max(1, len(words) - 40))
+        return " ".join(words[k : k + count])
+
     def extra(parent: int) -> None:
         name = rng.choice(_MORE)
         tag = rng.choice(("form", "section", "div", "aside")) if "form" not in name else "form"
+        if rng.random() < 0.2:  # a notice that nothing but its text gives away
+            box = add("div", parent, "", 0.0)
+            out.pieces.append((add("p", box, "", 0.0) if rng.random() < 0.5 else box, rng.choice(NOTICES)))
+            return
         box = add(tag, parent, name if tag in ("div", "section") or rng.random() < 0.5 else "", 0.0)
         for _ in range(rng.randint(1, 6)):
             item = box if rng.random() < 0.25 else add(rng.choice(("p", "li", "div")), box, rng.choice(("", "", "item")), 0.0)
-            words = rng.choice(others).split()
-            k = rng.randrange(max(1, len(words) - 40))
-            out.pieces.append((item, " ".join(words[k : k + rng.randint(2, 40)])))
+            if out.tag[item] == "div" and rng.random() < 0.5:
+                item = add("p", item, "", 0.0)
+            out.pieces.append((item, rng.choice(NOTICES) if rng.random() < 0.5 else some(rng.randint(2, 40))))
 
     by_node: dict[int, list[str]] = {}
     for node, text in page.pieces:
@@ -175,13 +209,18 @@ def _varied(page: dom.Page, y: np.ndarray, others: list[str], rng: random.Random
             tag, names = rng.choice(("div", "section", "div")), rng.choice(_WORDS[kind]) if worded or kind != "body" else ""
         parent = at[page.parent[i]]
         if y[i] and tag == "p" and rng.random() < 0.3:
-            tag = rng.choice(("li", "blockquote", "h2", "h3", "div", "pre", "td", "p"))
+            tag = rng.choice(("li", "li", "blockquote", "h2", "h3", "div", "pre", "td", "th", "dt", "dd", "figcaption", "p"))
             names = rng.choice(("", "", "lead", "text"))
-            if tag in ("li", "td") and rng.random() < 0.7:
-                parent = add({"li": "ul", "td": "tr"}[tag], parent, "", 1.0)
+            holders = {"li": (rng.choice(("ul", "ol")),), "td": ("table", "tr"), "th": ("table", "tr"), "dt": ("dl",), "dd": ("dl",), "figcaption": ("figure",)}
+            for holder in holders.get(tag, ()):
+                parent = add(holder, parent, "", 1.0)
+            for _ in range(rng.choice((0, 1, 3)) if tag in holders else 0):  # short neighbours
+                out.pieces.append((add(tag, parent, "", 1.0), some(rng.randint(1, 9))))
         if i == top:
             for _ in range(rng.randint(0, 2)):
                 extra(parent)
+            if wrapped:  # pages that are one form
+                parent = add("form", parent, "", 1.0)
             if rng.random() < 0.5:
                 parent = add("div", parent, rng.choice(("wrapper", "container", "main", "")), 1.0)
                 if rng.random() < 0.5:
@@ -189,7 +228,9 @@ def _varied(page: dom.Page, y: np.ndarray, others: list[str], rng: random.Random
         at[i] = add(tag, parent, names, float(y[i]))
         if i in page.raw:
             out.raw.add(at[i])
-        out.pieces += [(at[i], text) for text in by_node.get(i, ())]
+        quotes = y[i] and page.tag[i] == "p" and rng.random() < 0.12
+        for text in by_node.get(i, ()):  # short articles are main text too, and so is what an article says of cookies
+            out.pieces.append((at[i], rng.choice(NOTICES)) if quotes else (at[i], " ".join(text.split()[: rng.randint(1, 8)]) if short and y[i] and not text.isspace() else text))
         for _ in range(rng.choice((0, 0, 1, 2)) if i == top else 0):
             extra(at[i])
     if top > 0:
@@ -201,19 +242,27 @@ def _varied(page: dom.Page, y: np.ndarray, others: list[str], rng: random.Random
 
 
 def fit(pages: list[str], seed: int = 7) -> Model:
-    """From pages with article elements; pages without any teach nothing."""
+    """From pages with article elements, and the layouts of SEEDS filled with words of these pages."""
     rng, xs, ys = random.Random(seed), [], []
     parsed = [(p, y) for p in map(dom.parse, pages) if (y := _labels(p)) is not None]
-    others = [t for p, _ in parsed for n, t in p.pieces if n != dom.BREAK and len(t) > 40 and n not in p.raw] or ["more to read"]
+    others = [t for p, _ in parsed for n, t in p.pieces if n != dom.BREAK and len(t) > 40 and n not in p.raw] or [PROSE]
+
+    def words(low: int, high: int) -> str:
+        found = html.escape(rng.choice(others)).split()
+        at = rng.randrange(max(1, len(found) - high))
+        return " ".join(found[at : at + rng.randint(low, high)])
+
+    for k in range(max(SEEDED, len(parsed) // 4)):
+        lengths = ((4, 9), (15, 60), (30, 90), (1, 4), (2, 14), (2, 14), (1, 3), (1, 3), (1, 9), (3, 12), (20, 70), (3, 9))
+        page = dom.parse(SEEDS[k % len(SEEDS)].format(*(words(*n) for n in lengths)))
+        parsed.append((page, _labels(page)))
     for page, y in parsed:
         for k in range(1 + VARIANTS):
             shown, labels = (page, y) if not k else _varied(page, y, others, rng)
             block = np.array([name not in dom.INLINE for name in shown.tag])
             xs.append(dom.features(shown)[block])
             ys.append(labels[block])
-    if not xs:
-        return boost(np.zeros((0, dom.N_FEATURES)), np.zeros(0))
-    return boost(np.concatenate(xs), np.concatenate(ys))
+    return boost(np.concatenate(xs), np.concatenate(ys), PRIOR)
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,10 +275,10 @@ def train(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Mod
 
     Pages whose text names an article or main element are counted; whether it is one that labels the page, and not part
     of a comment or a list of comments, is found by reading pages in the order of their hashes, in shares that grow until
-    there are enough of them. Without any, the model has no tree and gives all nodes even odds.
+    there are enough of them. Without any, the layouts of SEEDS alone teach the model.
     """
-    html = pages[html_col].cast("string")
-    named = pages.select(html.alias("h"), F.xxhash64(html).alias("k")).filter(F.col("h").rlike("(?i)<(article|main)"))
+    page = pages[html_col].cast("string")
+    named = pages.select(page.alias("h"), F.xxhash64(page).alias("k")).filter(F.col("h").rlike("(?i)<(article|main)"))
     share, drawn = min(1.0, 4 * sample / max(named.count(), 1)), []
     while True:
         some = named.filter(F.col("k") <= int(share * (1 << 64)) - (1 << 63)) if share < 1 else named
