@@ -1,7 +1,7 @@
 """Chat formatting: one canonical JSON message for each turn, with tool calls linked to their results.
 
-An assistant turn whose text is a JSON object with `tool_calls` (a list of id, name, arguments) makes calls; a `tool`
-turn whose text is a JSON object with `tool_call_id` is a result. Only DataFrame functions are used, and no
+An assistant turn whose text is a JSON object with `tool_calls` (a list of id, name, arguments, the last two bare or as
+`function`) makes calls; a `tool` turn whose text is a JSON object with `tool_call_id` is a result. Only DataFrame functions are used, and no
 conversation is collected into one row: a conversation may hold any share of all turns.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CALLS = "content string, tool_calls array<struct<id:string,name:string,arguments:string>>"
+CALLS = "content string, tool_calls array<struct<id:string,name:string,arguments:string,function:struct<name:string,arguments:string>>>"
 RESULT = "content string, tool_call_id string"
 _PARAMETERS = "parameters:struct<required:array<string>,properties:map<string,struct<type:string>>>"
 TOOLS = f"tools array<struct<name:string,{_PARAMETERS},function:struct<name:string,{_PARAMETERS}>>>"
@@ -21,6 +21,14 @@ def _object(text: Column, schema: str) -> Column:
     return F.when(F.ltrim(text).startswith("{"), F.from_json(text, schema, {"mode": "PERMISSIVE"}))
 
 
+def _calls(text: Column) -> Column:
+    """The calls of a turn, both forms as one."""
+    call = _object(text, CALLS)
+    both = F.transform(call["tool_calls"], lambda c: F.struct(
+        c["id"].alias("id"), F.coalesce(c["name"], c["function"]["name"]).alias("name"), F.coalesce(c["arguments"], c["function"]["arguments"]).alias("arguments")))
+    return F.when(call.isNotNull(), F.struct(call["content"].alias("content"), both.alias("tool_calls")))
+
+
 def _types(arguments: Column) -> Column:
     """Names and JSON types of the arguments; null if they aren't a JSON object."""
     parsed = F.when(F.ltrim(arguments).startswith("{"), F.from_json(arguments, "map<string,variant>"))
@@ -72,8 +80,8 @@ def declared_tools(turns: DataFrame) -> DataFrame:
 def format_turns(turns: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     """conv_id, turn, place, role, call_turn, problem, message for each row of `turns` (conv_id, turn, role, text).
 
-    message: canonical JSON (keys in order, no white space). place (turn, later, row) sorts a conversation so that a
-    result comes after its call: a result that stands before it moves right behind the turn of the call. call_turn: the
+    message: canonical JSON (keys in order, no white space). place (turn, later, given, row) sorts a conversation so that a
+    result comes after its call: results that stand before it move right behind the turn of the call, in the order of their turns. call_turn: the
     turn that a result answers, the first with that identifier. problem: of a result, that no call has its identifier;
     of calls, why their arguments don't match `tools` (name, required array<string>, properties map<string,string>, and
     conv_id if a tool is known in its own conversation only; not checked when `tools` is None).
@@ -86,7 +94,7 @@ def format_turns(turns: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     text = F.col("text")
     rows = turns.select("conv_id", "turn", "role", text.cast("string").alias("text"))
     rows = rows.withColumns({
-        "call": F.when(F.col("role") == "assistant", _object(text, CALLS)), "result": F.when(F.col("role") == "tool", _object(text, RESULT)),
+        "call": F.when(F.col("role") == "assistant", _calls(text)), "result": F.when(F.col("role") == "tool", _object(text, RESULT)),
     })
     is_call, is_result = F.col("call.tool_calls").isNotNull(), F.col("result.tool_call_id").isNotNull()
     calls = rows.filter(is_call).select("conv_id", "turn", F.explode("call.tool_calls").alias("c"))
@@ -121,7 +129,7 @@ def format_turns(turns: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     moved = F.col("call_turn") >= F.col("turn")
     place = F.struct(
         F.when(moved, F.col("call_turn")).otherwise(F.col("turn")).alias("turn"), F.when(moved, 1).otherwise(0).alias("later"),
-        F.xxhash64("turn", "role", "text").alias("row"),
+        F.when(moved, F.col("turn")).alias("given"), F.xxhash64("turn", "role", "text").alias("row"),
     )
     keep = {"ignoreNullFields": "false"}
     arguments = lambda c: F.coalesce(F.to_json(F.try_parse_json(c["arguments"])), F.to_json(F.struct(c["arguments"].alias("text"))))

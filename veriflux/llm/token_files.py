@@ -249,8 +249,8 @@ def read(spark: SparkSession, folder: str, vocabulary: int) -> DataFrame:
     dtype = id_type(vocabulary)
     files = spark.read.format("binaryFile").load(folder)
     sizes = files.select("path", "content").mapInArrow(lambda b: _counts(b, dtype), "path string, n bigint")
-    # One row for each file; their names sort in the order in which they were written.
-    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each file, in the order of the numbers in their names: Spark pads these to five digits only.
+    before = Window.orderBy(F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("bigint"), "path").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     rows = files.select("path", "content").mapInArrow(lambda b: _documents(b, dtype), DOCUMENT)
     found = rows.join(bases, "path")
