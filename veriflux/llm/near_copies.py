@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from veriflux.llm import blocks as B
 from veriflux.llm import words as W
-from veriflux.llm.components import components
+from veriflux.llm.components import components, look_up
 from veriflux.llm.store import stored
 
 WIDTH = 5
@@ -32,7 +32,9 @@ PART_ROWS = 8192  # documents of a group that one task holds; larger groups are
 SMALL = 32
 BROADCAST_ROWS = 100_000
 SUMMARY = "nul boolean, id bigint, node bigint, n bigint, s1 bigint, s2 bigint, g bigint, token bigint, times bigint"
-SHIPPED = "g bigint, part int, home boolean, node bigint, body binary"
+SHIPPED = "g bigint, part int, home boolean, nul boolean, id bigint, node bigint, body binary"
+KEY = ["nul", "id", "node"]  # of a document; the order of keys decides which document a component is named by
+LINKS = ", ".join(f"{end} struct<nul:boolean,id:bigint,node:bigint>" for end in "ab")
 NAME_SHIFT = np.uint64(24)
 
 
@@ -244,7 +246,7 @@ def _shipments(table: pa.Table, replies: pa.Table, width: int) -> pa.Table:
     rows: list[tuple] = []
     if table.num_rows and replies.num_rows:
         table = B.in_order(table)
-        nodes = table.column("node").to_pylist()
+        keys = list(zip(*(table.column(name).to_pylist() for name in KEY), strict=True))
         visits: dict[int, dict[int, list[int]]] = {}
         for k, g, p, l, shared, least, most in zip(*(x.tolist() for x in B.gathered(replies, B.OWN, _VISIT)[1:]), strict=True):
             held = visits.setdefault(k, {}).setdefault(g, [p, l, 0, least, most])
@@ -261,12 +263,12 @@ def _shipments(table: pa.Table, replies: pa.Table, width: int) -> pa.Table:
                         continue
                     body = B.pack(mine)
                     if p == -1:
-                        rows.append((g, -1, False, nodes[k], body))
+                        rows.append((g, -1, False, *keys[k], body))
                         continue
-                    rows.append((g, max(p, 0), True, nodes[k], body))
-                    rows += [(g, other, False, nodes[k], body) for other in range(l, max(p, 0))]
-    types = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
+                    rows.append((g, max(p, 0), True, *keys[k], body))
+                    rows += [(g, other, False, *keys[k], body) for other in range(l, max(p, 0))]
+    types = (pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+    columns = zip(*rows, strict=True) if rows else [[]] * len(types)
     return pa.table([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in SHIPPED.split(", ")])
 
 
@@ -357,15 +359,14 @@ def group_links(sets: list[np.ndarray], n_home: int) -> list[tuple[int, int]]:
 
 
 def _group(table: pa.Table) -> pa.Table:
-    table = table.sort_by([("home", "descending"), ("node", "ascending")])
+    table = table.sort_by([("home", "descending"), *((name, "ascending") for name in KEY)]).combine_chunks()
     home = int(np.sum(table.column("home").to_numpy(zero_copy_only=False)))
-    nodes = table.column("node").to_pylist()
     links: list[tuple[int, int]] = []
-    if home and len(nodes) > 1:
-        sets = [B.unpack(body, (np.uint64,))[0] for body in table.column("body").to_pylist()]
-        links = [(nodes[a], nodes[b]) for a, b in group_links(sets, home)]
-    columns = zip(*links, strict=True) if links else [[]] * 2
-    return pa.table([pa.array(list(c), pa.int64()) for c in columns], names=["a", "b"])
+    if home and table.num_rows > 1:
+        links = group_links([B.unpack(body, (np.uint64,))[0] for body in table.column("body").to_pylist()], home)
+    ends = [table.select(KEY).take(pa.array([link[end] for link in links], pa.int64())).combine_chunks() for end in (0, 1)]
+    ends = [pa.StructArray.from_arrays([pa.array(t.column(name).to_pylist(), t.schema.field(name).type) for name in KEY], KEY) for t in ends]
+    return pa.table(ends, names=["a", "b"])
 
 
 def _identity(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, Column]:
@@ -387,7 +388,7 @@ def _memberships(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     often = often.orderBy(F.desc("times"), "token").limit(HOT_TOKENS).select("token").toArrow()
     hot = spark.sparkContext.broadcast(np.sort(often.column("token").to_numpy().view(np.uint64)))
     sizes = summary.filter("token is null").drop("token", "times")
-    stands = sizes.filter("n > 0").groupBy("n", "s1", "s2").agg(F.first("g").alias("g"), F.min(F.struct("nul", "id", "node")).alias("rep"))
+    stands = sizes.filter("n > 0").groupBy("n", "s1", "s2").agg(F.first("g").alias("g"), F.min(F.struct(*KEY)).alias("rep"), F.count("*").alias("times"))
     stands = stored(stands, "near-copies")
     blocks = 2 * buckets
     texts = B.blocked(docs, id_col, text_col, blocks, node=node)
@@ -399,13 +400,11 @@ def _memberships(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     together = texts.groupBy("block").cogroup(B.to_blocks(replies).groupBy("block"))
     shipped = together.applyInArrow(lambda t, r: _shipments(t, r, width), SHIPPED)
     shipped = _to_all_parts(shipped, stands.groupBy("g").agg(F.count("*").alias("rows")).filter(F.col("rows") > PART_ROWS))
-    links = shipped.groupBy("g", "part").applyInArrow(_group, "a bigint, b bigint")
+    links = shipped.groupBy("g", "part").applyInArrow(_group, LINKS)
     roots = components(links)
-    by_set = stands.select("n", "s1", "s2", "rep").join(roots, F.col("rep.node") == F.col("node"), "left").drop("node")
-    least = by_set.filter("root is not null").groupBy("root").agg(F.min("rep").alias("least")).withColumnRenamed("root", "its_root")
-    by_set = by_set.join(least, F.col("root") == F.col("its_root"), "left")
-    by_set = by_set.select("n", "s1", "s2", F.coalesce("least", "rep").alias("c")).hint("shuffle_hash")
-    return sizes.join(by_set, ["n", "s1", "s2"], "left").select("nul", "id", "node", "n", "c")
+    by_set = stands.join(roots, F.col("rep") == F.col("node"), "left").select("n", "s1", "s2", "times", F.coalesce("root", "rep").alias("c"))
+    sizes = sizes.select(*KEY, "n", "s1", "s2")
+    return look_up(sizes, stored(by_set, "near-copies"), ["n", "s1", "s2"], sizes.count()).select(*KEY, "n", "c")
 
 
 def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -430,15 +429,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """The rows of `docs`, all columns as they are: of each component the document with the least id, and every document
     with an empty set. Of full copies (equal id and text) one row stays."""
     found = stored(_memberships(docs, id_col, text_col, width), "near-copies")
-    gone = found.filter(F.col("c").isNotNull() & (F.col("c.node") != F.col("node"))).select(F.col("node").alias("gone")).distinct()
-    copies = found.filter("c is not null").groupBy("node").agg(F.count("*").alias("times")).filter("times > 1").select("node")
-    copies = copies.withColumnRenamed("node", "copied")
-    _, _, node = _identity(docs, id_col, text_col)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), node.alias("node"))
-    rows = rows.join(gone, F.col("node") == F.col("gone"), "left_anti")
-    if not copies.isEmpty():
-        single = rows.join(copies, F.col("node") == F.col("copied"), "left_anti")
-        rows = single.unionByName(rows.join(copies, F.col("node") == F.col("copied"), "left_semi").dropDuplicates(["node"]))
+    gone = found.filter(F.col("c") != F.struct(*KEY)).select(F.struct(*KEY).alias("gone")).distinct()
+    copied = found.filter("c is not null").groupBy(*KEY).agg(F.count("*").alias("times")).filter("times > 1").select(F.struct(*KEY).alias("copied"))
+    key = F.struct(*(c.alias(name) for c, name in zip(_identity(docs, id_col, text_col), KEY, strict=True)))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    rows = rows.join(gone, F.col("key") == F.col("gone"), "left_anti")
+    if not copied.isEmpty():
+        single = rows.join(copied, F.col("key") == F.col("copied"), "left_anti")
+        rows = single.unionByName(rows.join(copied, F.col("key") == F.col("copied"), "left_semi").dropDuplicates(["key"]))
     return rows.select("row.*")
 
 
@@ -450,4 +448,4 @@ def _to_all_parts(shipped: DataFrame, large: DataFrame) -> DataFrame:
         shipped = shipped.join(F.broadcast(cut) if n <= BROADCAST_ROWS else cut, F.col("g") == F.col("cut"), "left")
         last = F.coalesce("last", F.lit(0))
     parts = F.when(F.col("part") < 0, F.sequence(F.lit(0), last)).otherwise(F.array("part"))
-    return shipped.select("g", F.explode(parts).alias("part"), "home", "node", "body")
+    return shipped.select("g", F.explode(parts).alias("part"), "home", *KEY, "body")
