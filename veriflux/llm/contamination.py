@@ -208,6 +208,7 @@ def _clean(batches: Iterator[pa.RecordBatch], index: Index, text_at: int) -> Ite
         clean = np.ones(batch.num_rows, bool)
         clean[[row for row, *_ in _hits(batch.column(text_at), index)]] = False
         yield batch.filter(pa.array(clean))
+    W.give_back()
 
 
 def normal(text: str | None) -> bytes:

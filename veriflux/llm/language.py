@@ -215,6 +215,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int) -> I
         score = np.clip(p.max(1), 0.0, 1.0) if p.shape[1] else np.zeros(len(p))
         columns = [*batch.columns, pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, [f"c{k}" for k in range(len(columns))])
+    W.give_back()
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:

@@ -89,6 +89,7 @@ def _summaries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
         n = int(often.sum())
         columns = [pa.nulls(n, pa.bool_())] + [pa.nulls(n, pa.int64())] * 6 + [pa.array(all_[edge[:-1][often]].view(np.int64)), pa.array(times[often])]
         yield pa.RecordBatch.from_arrays(columns, names)
+    W.give_back()
 
 
 def _ordered(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:

@@ -16,7 +16,6 @@ nothing half-written, and any file system that Spark can write to will do.
 
 from __future__ import annotations
 
-import ctypes
 import os
 import zlib
 from collections.abc import Iterator
@@ -177,22 +176,13 @@ def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
-def _give_back() -> None:
-    """Returns memory that is free to the machine: workers are used again, also by stages that need much more or less."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
-
-
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """The records of one file: the ids of each document, then the footer. The writer adds the end id to each."""
     model = encoder(path)
     doc_ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for batch in batches:
         doc_ids.append(pc.fill_null(batch.column("doc_id"), NO_ID).to_numpy(zero_copy_only=False))
-        _give_back()
+        W.give_back()
         for c in (c for k in range(0, batch.num_rows, ROWS) for c in W.chunks(batch.column("text").slice(k, ROWS))):
             ids, n = model.chunk(c)
             sizes.append(n + 1)

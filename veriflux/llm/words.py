@@ -7,6 +7,7 @@ sums. They depend on nothing but the bytes and are the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,6 +140,15 @@ def chunks(column, lower: bool = False, size: int = CHUNK_BYTES) -> Iterator[Tex
         first = last
 
 
+def give_back() -> None:
+    """Returns memory that is free to the machine: workers are used again, also by stages that need much more or less."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def runs(sorted_values: np.ndarray) -> np.ndarray:
     """Start positions of the runs of equal values, and the length at the end."""
     if not len(sorted_values):
