@@ -207,6 +207,25 @@ def test_scd2_stream_equals_batch_in_any_order(spark, folder, policy):
     assert sorted(map(str, upsert.history().collect())) == sorted(map(str, batch.collect()))
 
 
+def test_scd2_stream_keeps_each_record_under_a_key_of_its_own(spark, folder):
+    """Records of one key, some of them twice and some without a sequence, over several micro-batches."""
+    rows = spark.range(300).select(
+        F.lit("hot").alias("key"), F.when(F.col("id") % 50 != 7, F.col("id")).alias("seq"), F.col("id").alias("number"),
+        (F.col("id") % 7).alias("a"))
+    feed = Feed(spark, folder, rows.schema)
+    for i in (2, 0, 1):
+        feed.deliver(rows.filter(F.pmod(F.xxhash64("number"), F.lit(3)) == i))
+    feed.deliver(rows.filter("number % 10 = 3"))
+    upsert = Scd2Stream(feed.stream(), folder, ["key"], ["seq", "number"], ["a"])
+    query = upsert.start()
+    drain(query)
+    states = [s for p in query.recentProgress for s in p.stateOperators]
+    assert states[-1].numRowsTotal == 300 and all(s.operatorName == "dedupe" for s in states)
+    batch = scd2(rows, ["key"], ["seq", "number"], ["a"])
+    assert sorted(map(str, upsert.history().collect())) == sorted(map(str, batch.collect()))
+    assert upsert.kept_rows().count() == 300 and upsert.late().count() == 0
+
+
 @pytest.mark.parametrize("groups", [None, 7])
 def test_travel_pairs_across_batches(spark, folder, groups):
     rows = inputs.transactions(spark, SF).select("customer_id", "amount", *gold.TRAVEL_STATE)

@@ -65,8 +65,11 @@ class Scd2Stream:
 
     With `lateness` (the first sequence column is a time then), records behind the watermark go to `late()`, and a version that
     the watermark shows to be complete is written once and leaves the state: what stays is the last record before the watermark
-    and all later ones. Timers see to it for keys of which nothing more comes. Without `lateness` no record is late, and all
-    records of a key stay in its state, from which each touched key's versions follow.
+    and all later ones. Timers see to it for keys of which nothing more comes.
+
+    Without `lateness` no record is late and no version is ever complete: the state is the set of all records, each under a key
+    of its own, so that a micro-batch reads and writes its own records and a hot key is spread over the tasks. `history()`
+    derives the versions from it. Full copies of a record are kept once.
     """
 
     def __init__(
@@ -85,20 +88,23 @@ class Scd2Stream:
         self.columns, self.track = changes.columns, list(track)
 
         def prepared(rows: DataFrame) -> DataFrame:
-            rows = change_rows(rows, keys, track, delete_when)
-            return rows.withColumns({f"_from_{c}": F.col(c) for c in self.order}).drop("_tracked")
+            rows = change_rows(rows, keys, track, delete_when).drop("_tracked")
+            return rows.withColumns({f"_from_{c}": F.col(c) for c in self.order}) if lateness else rows
 
         self.given = prepared(changes).schema
-        self.processor = Versions(as_micros(prepared(changes)).schema, self.order, track, lateness is not None)
+        self.processor = Versions(as_micros(prepared(changes)).schema, self.order, track) if lateness else None
         if lateness:
             changes = watermarked(changes, sequence[0], lateness, "_at")
+        # As numbers, times carry no watermark that would make the set of records forget some.
         self.rows = as_micros(prepared(changes).select(*self.given.names))
 
     def start(self, every: str | None = None) -> StreamingQuery:
-        found = self.rows.groupBy(*self.keys).transformWithState(
-            self.processor, self.processor.output(), "append", "eventTime" if self.lateness else "none")
-        writer = self._timed(found).writeStream.format("parquet").outputMode("append").partitionBy("kind")
-        writer = writer.option("checkpointLocation", f"{self.path}/checkpoint").option("path", f"{self.path}/ended")
+        if self.processor:
+            found = self.rows.groupBy(*self.keys).transformWithState(self.processor, self.processor.output(), "append", "eventTime")
+            writer = self._timed(found).writeStream.format("parquet").partitionBy("kind").option("path", f"{self.path}/ended")
+        else:
+            writer = self.rows.dropDuplicates().writeStream.format("noop")
+        writer = writer.outputMode("append").option("checkpointLocation", f"{self.path}/checkpoint")
         with keyed_state(self.spark):
             return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
@@ -116,14 +122,22 @@ class Scd2Stream:
 
     def late(self) -> DataFrame:
         """Records that came behind the watermark."""
+        if not self.processor:
+            return self.kept_rows().select(*self.columns).limit(0)
         return self._written("late").select(*self.columns)
 
     def kept_rows(self) -> DataFrame:
         """The records in the state."""
-        rows = state_rows(self.spark, f"{self.path}/checkpoint", "rows").select("list_element.*")
-        return as_times(rows.select(*self.processor.kept.names), self.given)
+        if self.processor:
+            rows = state_rows(self.spark, f"{self.path}/checkpoint", "rows").select("list_element.*")
+        else:
+            rows = state_rows(self.spark, f"{self.path}/checkpoint").select("key.*")
+        return as_times(rows.select(*self.given.names), self.given)
 
     def history(self) -> DataFrame:
+        if not self.processor:
+            kept = self.kept_rows().withColumn("_tracked", F.struct("_deleted", *self.track))
+            return history_rows(versions(kept, self.keys, self.order, self.policy), self.columns, self.sequence)
         origin = F.struct(*[F.col(f"_from_{c}").alias(c) for c in self.order])
         kept = self.kept_rows().withColumns({"_origin": origin, "_tracked": F.struct("_deleted", *self.track)})
         kept = kept.drop(*[f"_from_{c}" for c in self.order])
