@@ -15,7 +15,7 @@ from veriflux.streaming.run import drain, to_batches, to_files
 from veriflux.streaming.travel import TravelStream
 from veriflux.streaming.upsert import Scd1Stream, Scd2Stream
 from veriflux.streaming.windows import windowed_activity
-from workload import inputs
+from workload import inputs, streams
 
 
 class Feed:
@@ -323,6 +323,25 @@ def test_scd2_stream_settles_versions_behind_the_watermark(spark, folder):
     assert upsert.kept_rows().filter("id = 'k'").count() <= 2
 
 
+def test_deliveries_of_any_size_are_one_micro_batch_each(spark, folder, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    rows = spark.range(1500).select(F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("empty"))
+    parts = [(rows.filter("id < 950"), 950), (rows.filter("id = 950"), 1), (rows.filter("false"), 0), (rows.filter("id > 950"), 549)]
+    files = streams._deliver(parts, f"{folder}/in")
+    feed = stream_files(spark, f"{folder}/in", "parquet", rows.schema, files)
+    seen = []
+    drain(to_batches(feed, lambda df, i: seen.append(df.count()), f"{folder}/c"))
+    assert files == 10 and seen == [950, 1, 0, 549]
+
+
+def test_a_shuffled_feed_takes_few_micro_batches_of_small_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 20)
+    rows = spark.range(0, 3000, 1, 4).select("id", F.lit("x").alias("a"))
+    seen = []
+    drain(to_batches(streams._shuffled_feed(rows, folder, "id"), lambda df, i: seen.append(df.count()), f"{folder}/c"))
+    assert sum(seen) == 3000 and 2 <= len(seen) <= 7 and max(seen) <= 4 * 8 * 20
+
+
 def test_one_alert_per_transaction(spark, folder):
     deliveries = [
         [dict(transaction_id="A", is_fraud=False), dict(transaction_id="B", is_fraud=True, fraud_score=0.7)],

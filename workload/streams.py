@@ -3,6 +3,8 @@ the result as a batch frame."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +34,37 @@ def _feed(rows: DataFrame, folder: str, files_per_trigger: int | None = None) ->
     return stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, files_per_trigger)
 
 
+# Files of this many rows keep the tasks of a micro-batch small and let all cores take part in it.
+FILE_ROWS = 250_000
+
+
+def _files(spark: SparkSession, path: str) -> int:
+    return len(spark.read.parquet(path).inputFiles())
+
+
 def _shuffled_feed(rows: DataFrame, folder: str, number: str) -> DataFrame:
-    """Delivers `rows` in three parts without regard to their order, read two files at a time."""
-    parts = rows.withColumn("part", F.pmod(F.xxhash64(number), F.lit(3)))
-    parts.write.partitionBy("part").parquet(f"{folder}/in")
-    stream = stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, 2)
+    """Delivers `rows` in three parts without regard to their order. A micro-batch takes two thirds of the files, and no
+    more than four for each core."""
+    spark = rows.sparkSession
+    for part in range(3):
+        writer = rows.filter(F.pmod(F.xxhash64(number), F.lit(3)) == part).write.option("maxRecordsPerFile", FILE_ROWS)
+        writer.mode("append").parquet(f"{folder}/in")
+    most = 4 * spark.sparkContext.defaultParallelism
+    stream = stream_files(spark, f"{folder}/in", "parquet", rows.schema, min(most, -(-2 * _files(spark, f"{folder}/in") // 3)))
     return stream.select(*rows.columns)
 
 
+def _deliver(parts: Sequence[tuple[DataFrame, int]], path: str) -> int:
+    """Writes parts of known sizes, each as one delivery. All deliveries get the same number of files, which is returned:
+    micro-batches of as many files hold one delivery each."""
+    files = max([1, *(-(-size // FILE_ROWS) for _, size in parts)])
+    for number, (rows, _) in enumerate(parts, 1):
+        rows.repartition(files, *rows.columns).write.mode("append").parquet(path)
+        while _files(rows.sparkSession, path) < number * files:
+            rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
 def _transactions(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     return bronze.transactions_landed(_feed(inputs.landing(spark, sf), folder))
 
@@ -72,16 +97,18 @@ def stream_fx_join_growing(spark: SparkSession, sf: str) -> DataFrame:
     """Rates come in the course of the stream, later than the transactions that need them, and are corrected once."""
     folder = shared_dir(spark, "fx-growing")
     rows, rates = inputs.landing(spark, sf), inputs.fx_records(spark, sf)
-    for low in (1, 11, 21):
-        part = F.dayofmonth("transaction_date").between(low, low + 9 if low < 21 else 31)
-        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    thirds = [F.dayofmonth("transaction_date").between(low, low + 9 if low < 21 else 31) for low in (1, 11, 21)]
+    sizes = rows.agg(*[F.count_if(third) for third in thirds]).first()
+    files = _deliver([(rows.filter(third), size) for third, size in zip(thirds, sizes, strict=True)], f"{folder}/in")
     # A correction comes one delivery after the first rate, all rates one delivery after their transactions.
     day = F.dayofmonth("rate_date")
     for low in (-9, 1, 11, 21):
         first = (F.col("_ingested_at") == 1) & day.between(low, low + 9 if low < 21 else 31)
         second = (F.col("_ingested_at") == 2) & day.between(low - 2, low + 7 if low < 21 else 31)
         rates.filter(first | second).coalesce(1).write.mode("append").parquet(f"{folder}/rates")
-    feed = bronze.transactions_landed(stream_files(spark, f"{folder}/in", "parquet", rows.schema, 1))
+    feed = bronze.transactions_landed(stream_files(spark, f"{folder}/in", "parquet", rows.schema, files))
+    # A transaction waits in the state with all its columns: those that nobody asks for stay out.
+    feed = feed.select("transaction_id", "currency", "amount", "event_timestamp")
     moving = stream_files(spark, f"{folder}/rates", "parquet", rates.schema, 1)
     found = streamed(with_moving_rates(feed, moving, patience="4 days"), folder)
     return found.select("transaction_id", "currency", "amount", "amount_usd", "rate_missing")
@@ -91,7 +118,8 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of a feed, with whether it came behind the watermark: what windows and deduplication drop."""
     folder = shared_dir(spark, "late-rows")
     rows = inputs.transactions(spark, sf)
-    feed = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
+    feed, _ = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
+    feed = feed.select("transaction_id", "customer_id", "amount", "event_timestamp")
     found = streamed(mark_late(feed, "event_timestamp", "customer_id", TRAVEL_LATENESS), folder)
     return found.select("transaction_id", "customer_id", "amount", F.col("_late").alias("late"))
 
@@ -143,16 +171,19 @@ def stream_scd2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TRAVEL_LATENESS = "1 day"
+# Transactions of a group of customers over the whole feed.
+GROUP_ROWS = 50_000
 
 
-def _travel_feed(rows: DataFrame, folder: str, delivery: Column) -> DataFrame:
-    """One file and micro-batch per delivery. A delivery takes ten days; a transaction is up to twenty hours late."""
-    deliveries = rows.withColumn("delivery", delivery.cast("int")).persist()
-    for number in sorted(r.delivery for r in deliveries.select("delivery").distinct().collect()):
-        part = deliveries.filter(F.col("delivery") == number).drop("delivery")
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    deliveries.unpersist()
-    return stream_files(rows.sparkSession, f"{folder}/in", "parquet", rows.schema, 1)
+def _travel_feed(rows: DataFrame, folder: str, delivery: Column) -> tuple[DataFrame, int]:
+    """One micro-batch per delivery, and among how many groups customers are best dealt. A delivery takes ten days; a
+    transaction is up to twenty hours late. Those without a time come first."""
+    spark, dealt = rows.sparkSession, rows.withColumn("delivery", delivery.cast("int"))
+    sizes = {r.delivery: r["count"] for r in dealt.groupBy("delivery").count().collect()}
+    parts = [(dealt.filter(F.col("delivery").eqNullSafe(n)).drop("delivery"), sizes[n]) for n in sorted(sizes, key=lambda n: (n is not None, n))]
+    files = _deliver(parts, f"{folder}/in")
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sizes.values()) // GROUP_ROWS)
+    return stream_files(spark, f"{folder}/in", "parquet", rows.schema, files), groups
 
 
 def _delivery() -> Column:
@@ -166,8 +197,8 @@ def _held_back() -> Column:
 
 def stream_impossible_travel(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "travel")
-    feed = _travel_feed(gold.recent(inputs.transactions(spark, sf), PARAMS), folder, _delivery())
-    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS)
+    feed, groups = _travel_feed(gold.recent(inputs.transactions(spark, sf), PARAMS), folder, _delivery())
+    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS, groups=groups)
     travel.run()
     return present(travel.found())
 
@@ -176,8 +207,8 @@ def stream_late_travel(spark: SparkSession, sf: str) -> DataFrame:
     """Some customers' transactions come at the very end: those behind the watermark are listed as late, with no pair."""
     folder = shared_dir(spark, "late-travel")
     rows = gold.recent(inputs.transactions(spark, sf), PARAMS)
-    feed = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
-    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS)
+    feed, groups = _travel_feed(rows, folder, F.when(_held_back(), F.lit(1_000_000)).otherwise(_delivery()))
+    travel = TravelStream(feed, folder, PARAMS, lateness=TRAVEL_LATENESS, groups=groups)
     travel.run()
     late = travel.late().select("customer_id", F.lit(None).cast("string").alias("txn_id_1"), F.col("transaction_id").alias("txn_id_2"), F.lit(True).alias("late"))
     return travel.found().select("customer_id", "txn_id_1", "txn_id_2", F.lit(False).alias("late")).unionByName(late)
