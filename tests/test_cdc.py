@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from veriflux.operators.cdc import changed, current_rows, drop_duplicates, merge_winners, scd1, scd2, winners
-from veriflux.operators.ordered import SkewPolicy
+from veriflux.operators.ordered import OrderedRows, SkewPolicy
 
 CHANGE = "id string, seq int, a string, b string, gone boolean"
 NEVER_HOT, ALWAYS_HOT = SkewPolicy(), SkewPolicy(hot_rows=3)
@@ -128,3 +128,16 @@ def test_dedup_keeps_the_first_by_order(spark):
     assert kept.columns == ["id", "seq", "a", "b", "gone"]
     # The stream form has no meaning on batch frames and falls back.
     assert drop_duplicates(changes(spark, rows), ["id"], watermark=True).count() == 2
+
+
+def test_hot_histories_without_copies_save_the_shuffle_that_merges_copies(spark):
+    rows = changes(spark, [("k", i, "ab"[i // 3 % 2], None if i % 4 else "x", i % 7 == 0) for i in range(40)])
+    ordered = OrderedRows(rows, ["id"], ["seq"], ALWAYS_HOT, merge_copies=True)
+    assert not ordered.hot.tied and "Aggregate" not in ordered.rows._jdf.queryExecution().analyzed().toString()
+    copied = rows.unionByName(rows.filter("seq = 5").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(30)))).drop("n"))
+    merged = OrderedRows(copied, ["id"], ["seq"], ALWAYS_HOT, merge_copies=True)
+    assert merged.hot.tied and merged.result().count() == 40
+    for given in (rows, copied):
+        hot, plain = (scd2(given, ["id"], ["seq"], ["a", "b"], policy, F.col("gone")) for policy in (ALWAYS_HOT, NEVER_HOT))
+        assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
+    assert "_tracked" not in hot._jdf.queryExecution().analyzed().toString()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,20 +96,20 @@ def scd1(
 
 
 def change_rows(
-    changes: DataFrame, keys: Sequence[str], track: Sequence[str], delete_when: Column | None = None
+    changes: DataFrame, keys: Sequence[str], delete_when: Column | None = None
 ) -> DataFrame:
-    """Change records with what `versions` needs: a tie-break, a delete mark and the tracked struct."""
+    """Change records with what `versions` needs: a tie-break and a delete mark."""
     deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     return changes.withColumns({
         "_tie": null_safe_hash(*business([c for c in changes.columns if c not in keys])),
         "_deleted": deleted,
-    }).withColumn("_tracked", F.struct("_deleted", *track))
+    })
 
 
 def versions(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], policy: SkewPolicy, origin: Column | None = None
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], track: Sequence[str], policy: SkewPolicy, origin: Column | None = None
 ) -> DataFrame:
-    """One row per run of equal `_tracked` values, in the total order of the `order` columns.
+    """One row per run of equal `_deleted` and `track` values, in the total order of the `order` columns.
 
     It carries the columns of the last row of the run, the order values of its first row as `_from_*`, and
     the `_from_*` of the following run as `_next` (null for the last one). `origin` replaces the order
@@ -116,19 +117,25 @@ def versions(
     """
     columns = [c for c in rows.columns if c not in keys]
     # Copies of a record change nothing: the last of a run is the same with and without them.
-    ordered = OrderedRows(rows, keys, order, policy, merge_copies=True).previous(["_tracked"])
-    # The first row of a key has no predecessor, so its previous struct is null and differs.
-    starts_here = ~F.col("_tracked").eqNullSafe(F.col("prev__tracked"))
-    begin = F.struct(*order) if origin is None else origin
+    # Tracked columns are compared one by one: a struct of them would travel beside them through every shuffle.
+    tracked = ["_deleted", *(c for c in track if c != "_deleted")]
+    ordered = OrderedRows(rows, keys, order, policy, merge_copies=True).previous(tracked)
+    # The first row of a key has no predecessor, so its previous delete mark is null and differs.
+    starts_here = reduce(Column.__or__, [changed(F.col(c), F.col(f"prev_{c}")) for c in tracked])
+    # A run keeps the slice of its first row, so that its rows need not meet the table of slices again.
+    sliced = ordered.hot is not None and origin is None
+    begin = F.struct(*order, *(["_slice"] if sliced else [])) if origin is None else origin
     ordered = ordered.with_column("_start", F.when(starts_here, begin)).running_last("_start", "_version")
     runs = (
-        ordered.result()
+        ordered.rows
         .groupBy(*keys, "_version")
         .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_row"))
-        .select(*keys, "_row.*", *[F.col("_version")[c].alias(f"_from_{c}") for c in order])
+        .select(
+            *keys, "_row.*", *[F.col("_version")[c].alias(f"_from_{c}") for c in order],
+            *([F.col("_version")["_slice"].alias("_slice")] if sliced else []))
     )
     starts = [f"_from_{c}" for c in order]
-    ends = OrderedRows(runs, keys, starts, policy, hot=ordered.hot, look_for_hot=False)
+    ends = OrderedRows(runs, keys, starts, policy, hot=ordered.hot, look_for_hot=False, sliced=sliced)
     return ends.following([starts[0]]).result().withColumnRenamed(f"next_{starts[0]}", "_next")
 
 
@@ -145,8 +152,8 @@ def scd2(
     A new version starts where a tracked column differs from the record before; other columns show
     their latest value within the version. A delete ends the version before it and starts none.
     """
-    rows = change_rows(changes, keys, track, delete_when)
-    return history_rows(versions(rows, keys, [*sequence, "_tie"], policy), changes.columns, sequence)
+    rows = change_rows(changes, keys, delete_when)
+    return history_rows(versions(rows, keys, [*sequence, "_tie"], track, policy), changes.columns, sequence)
 
 
 def history_rows(runs: DataFrame, columns: Sequence[str], sequence: Sequence[str]) -> DataFrame:

@@ -20,6 +20,15 @@ PART = "_part"
 DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 
 
+# A task of a merge handles one bucket.
+BUCKET_ROWS = 200_000
+
+
+def buckets_for(spark: SparkSession, rows: int) -> int:
+    """Buckets for a table that is to hold about so many records: tasks stay of one size however large it is."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(DYNAMIC)
@@ -148,8 +157,8 @@ class Scd2Table(_Merged):
         self.sequence, self.policy = list(sequence), policy
         self.order = [*sequence, "_tie"]
         self.log, self.runs = self._table("_log"), self._table("")
-        self._prepare = lambda rows: change_rows(rows, keys, track, delete_when)
-        self._versions = lambda rows: versions(rows, self.keys, self.order, policy)
+        self._prepare = lambda rows: change_rows(rows, keys, delete_when)
+        self._versions = lambda rows: versions(rows, self.keys, self.order, track, policy)
 
     def touched_keys(self, rows: DataFrame) -> DataFrame:
         return self.log.aligned(rows.select(*self.keys).distinct())
@@ -162,6 +171,10 @@ class Scd2Table(_Merged):
         """The versions of all other keys of these parts."""
         return self.runs.read(parts).join(keys, self.keys, "left_anti")
 
+    def derived(self, keys: DataFrame, parts: Sequence[int], rows: DataFrame) -> DataFrame:
+        """The versions of these keys from the logged and the given records, one task for each bucket."""
+        return self._versions(self.log.aligned(self.known(keys, parts).unionByName(rows)))
+
     def apply(self, changes: DataFrame) -> None:
         rows = self._prepare(self._keyed(changes))
         if not self.log.exists():
@@ -171,8 +184,8 @@ class Scd2Table(_Merged):
         parts = self.log.touched(rows)
         if parts:
             keys = self.touched_keys(rows)
-            derived = self._versions(self.known(keys, parts).unionByName(rows))
-            self.runs.replace(self.untouched(keys, parts).unionByName(self.runs._laid_out(derived)))
+            derived = self.runs._laid_out(self.derived(keys, parts, rows))
+            self.runs.replace(self.untouched(keys, parts).unionByName(derived))
             self.log.append(rows)
 
     def rebuild(self, parts: Sequence[int]) -> None:
@@ -180,6 +193,6 @@ class Scd2Table(_Merged):
         self.runs.replace(self.runs._laid_out(self._versions(self.log.read(parts).drop(PART))))
 
     def history(self) -> DataFrame:
-        inner = {PART, "_tie", "_deleted", "_tracked"}
+        inner = {PART, "_tie", "_deleted"}
         columns = [c for c in self.log.read().columns if c not in inner]
         return history_rows(self.runs.read(), columns, self.sequence)

@@ -132,6 +132,8 @@ class HotKeys:
 
     kinds: tuple[DataType, ...]
     levels: tuple[Cuts, ...]
+    # Whether rows without an order among them may fill a task.
+    tied: bool = False
 
     @classmethod
     def find(
@@ -174,7 +176,10 @@ class HotKeys:
             if cuts is None:
                 break
             found = cls(found.kinds, (*found.levels, cuts))
-        return found if found.levels else None
+        if not found.levels:
+            return None
+        most = rows.groupBy(*dict.fromkeys([*keys, *order])).count().agg(F.max("count")).first()[0]
+        return cls(found.kinds, found.levels, bool(most and most > max(1, limit / 4)))
 
     def _next_cuts(
         self, sample: DataFrame, keys: Sequence[str], order: Sequence[str], limit: float, policy: SkewPolicy, path: str
@@ -274,7 +279,8 @@ class OrderedRows:
     """Rows grouped by `keys` in the total order of the `order` columns.
 
     With `merge_copies` rows of a hot key that agree in every column become one row, so that a much-repeated
-    row, which no order can cut, does not end up in one task. For uses whose result is the same without copies.
+    row, which no order can cut, does not end up in one task. For uses whose result is the same without copies; where the
+    sample shows no such row, copies stay and a shuffle of all rows is saved.
     """
 
     def __init__(
@@ -286,11 +292,13 @@ class OrderedRows:
         hot: HotKeys | None = None,
         look_for_hot: bool = True,
         merge_copies: bool = False,
+        sliced: bool = False,
     ):
         self.keys, self.order, self.policy = list(keys), list(order), policy
         self.hot = HotKeys.find(df, keys, order, policy) if look_for_hot else hot
-        self.rows = self.hot.slice(df, keys, order) if self.hot else df
-        if self.hot and merge_copies:
+        # `sliced` says that the rows have the slices of `hot` already.
+        self.rows = self.hot.slice(df, keys, order) if self.hot and not sliced else df
+        if self.hot and self.hot.tied and merge_copies:
             sliced = self.rows.filter(F.col("_slice").isNotNull()).distinct()
             self.rows = self.rows.filter(F.col("_slice").isNull()).unionByName(sliced)
 

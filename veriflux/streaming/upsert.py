@@ -88,7 +88,7 @@ class Scd2Stream:
         self.columns, self.track = changes.columns, list(track)
 
         def prepared(rows: DataFrame) -> DataFrame:
-            rows = change_rows(rows, keys, track, delete_when).drop("_tracked")
+            rows = change_rows(rows, keys, delete_when)
             return rows.withColumns({f"_from_{c}": F.col(c) for c in self.order}) if lateness else rows
 
         self.given = prepared(changes).schema
@@ -136,11 +136,11 @@ class Scd2Stream:
 
     def history(self) -> DataFrame:
         if not self.processor:
-            kept = self.kept_rows().withColumn("_tracked", F.struct("_deleted", *self.track))
-            return history_rows(versions(kept, self.keys, self.order, self.policy), self.columns, self.sequence)
+            runs = versions(self.kept_rows(), self.keys, self.order, self.track, self.policy)
+            return history_rows(runs, self.columns, self.sequence)
         origin = F.struct(*[F.col(f"_from_{c}").alias(c) for c in self.order])
-        kept = self.kept_rows().withColumns({"_origin": origin, "_tracked": F.struct("_deleted", *self.track)})
+        kept = self.kept_rows().withColumn("_origin", origin)
         kept = kept.drop(*[f"_from_{c}" for c in self.order])
-        runs = versions(kept, self.keys, self.order, self.policy, origin=F.col("_origin"))
+        runs = versions(kept, self.keys, self.order, self.track, self.policy, origin=F.col("_origin"))
         ended = history_rows(self._written("version"), self.columns, self.sequence)
         return ended.unionByName(history_rows(runs, self.columns, self.sequence))
