@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from veriflux.operators.cdc import scd1, scd2
-from veriflux.operators.merge import PART, Scd1Table, Scd2Table
+from veriflux.operators.merge import PART, Scd1Table, Scd2Table, buckets_for
+from veriflux.operators.ordered import SkewPolicy
 
 
 @pytest.fixture
@@ -99,3 +100,18 @@ def test_the_stored_side_is_not_shuffled(spark, name, folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_versions_of_a_delivery_take_one_task_for_each_bucket(spark, name, folder):
+    rows = changes(spark).filter("key is not null")
+    table = Scd2Table(spark, name, ["key"], ["seq"], ["a"], SkewPolicy(hot_rows=None), parts=2, buckets=16, path=folder)
+    table.apply(rows)
+    fresh = table._prepare(spark.createDataFrame(rows.limit(50).collect(), rows.schema))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert table.derived(table.touched_keys(fresh), [0, 1], fresh).rdd.getNumPartitions() == 16
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert (buckets_for(spark, 10), buckets_for(spark, 54_000_000)) == (8, 270)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veriflux.functions import bands, geo, times
 from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators import audit, cdc, quality
-from veriflux.operators.merge import Scd1Table, Scd2Table
+from veriflux.operators.merge import Scd1Table, Scd2Table, buckets_for
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
 from veriflux.params import RiskParams
 from veriflux.plans import bronze, gold, monitoring, partials, silver
@@ -518,17 +518,21 @@ def _table_name(folder: str) -> str:
 
 def scd2_merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "history")
+    changes = inputs.customer_changes(spark, sf)
     table = Scd2Table(
-        spark, _table_name(folder), ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY, parts=4, path=folder)
-    _delivered(table, inputs.customer_changes(spark, sf), "change_id")
+        spark, _table_name(folder), ["customer_id"], ["changed_at", "change_id"], silver.CUSTOMER_HISTORY, parts=4,
+        buckets=buckets_for(spark, changes.count()), path=folder)
+    _delivered(table, changes, "change_id")
     return present(table.history())
 
 
 def scd1_merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "current")
     exclude = [*silver.TRANSPORT_COLUMNS, "offset"]
-    table = Scd1Table(spark, _table_name(folder), ["transaction_id"], ["offset"], exclude, unique_sequence=True, parts=4, path=folder)
-    _delivered(table, inputs.transaction_changes(spark, sf), "offset")
+    changes = inputs.transaction_changes(spark, sf)
+    buckets = buckets_for(spark, changes.count())
+    table = Scd1Table(spark, _table_name(folder), ["transaction_id"], ["offset"], exclude, unique_sequence=True, parts=4, buckets=buckets, path=folder)
+    _delivered(table, changes, "offset")
     return present(table.table().select(*TRANSACTION_TABLE_COLUMNS))
 
 
