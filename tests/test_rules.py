@@ -353,3 +353,14 @@ def test_cleaned_table_leaves_transport_columns_behind(spark):
     table = silver.transactions_cleaned(bronze.transactions_raw(envelopes))
     assert not set(silver.TRANSPORT_COLUMNS) & set(table.columns)
     assert {"transaction_id", "event_timestamp", "transaction_date", "_layer"} <= set(table.columns)
+
+
+def test_distinct_values_are_counted_beside_the_sums(spark):
+    """No row is multiplied with all its sums; nulls are no value, and unknown customers are one."""
+    rows = txns(
+        spark, dict(device_id="a", ip_address=None), dict(device_id="b", ip_address=None), dict(device_id="a", ip_address=None),
+        dict(customer_id=None, device_id="a"), dict(customer_id=None, device_id=None))
+    stats = gold.customer_stats(rows, AS_OF)
+    assert "Expand" not in stats._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.customer_id is None: (r.total_txns_30d, r.unique_devices_30d, r.unique_ips_30d) for r in stats.collect()}
+    assert got[False] == (3, 2, 0) and got[True][:2] == (2, 1)

@@ -266,18 +266,24 @@ def top_merchants(scores: DataFrame, k: int) -> DataFrame:
 
 
 def customer_stats(transactions: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
-    """Thirty-day behaviour per customer."""
+    """Thirty-day behaviour per customer.
+
+    Distinct values are counted beside the sums: an aggregate that does both keeps all sums again for each distinct value
+    of a customer.
+    """
     amount, fraud, one = F.col(params.amount_column), F.col("is_fraud"), F.lit(1)
-    return recent(transactions, params).groupBy("customer_id").agg(
+    rows = recent(transactions, params)
+    distinct = {
+        "unique_devices_30d": "device_id", "unique_cities_30d": "location_city",
+        "unique_merchant_cats": "merchant_category", "unique_ips_30d": "ip_address",
+    }
+    sums = rows.groupBy("customer_id").agg(
         F.count(one).alias("total_txns_30d"),
         F.sum(amount).alias("total_spend_30d"),
         F.avg(amount).alias("avg_txn_amount"),
         F.max(amount).alias("max_single_txn"),
         F.stddev_samp(amount).alias("txn_amount_stddev"),
-        F.countDistinct("device_id").alias("unique_devices_30d"),
-        F.countDistinct("location_city").alias("unique_cities_30d"),
-        F.countDistinct("merchant_category").alias("unique_merchant_cats"),
-        F.countDistinct("ip_address").alias("unique_ips_30d"),
+        *[F.lit(0).cast("bigint").alias(name) for name in distinct],
         F.avg("hour_of_day").alias("avg_hour_of_day"),
         F.count_if(F.col("is_night_transaction")).alias("night_txn_count"),
         F.count_if(F.col("is_weekend")).alias("weekend_txn_count"),
@@ -291,6 +297,12 @@ def customer_stats(transactions: DataFrame, params: RiskParams = RiskParams()) -
         F.count_if(amount.between(params.structuring_low, params.structuring_high))
         .alias("structuring_pattern_count"),
     )
+    values = F.array(*[F.struct(F.lit(name).alias("name"), F.col(c).cast("string").alias("value")) for name, c in distinct.items()])
+    seen = rows.select("customer_id", F.inline(values)).filter(F.col("value").isNotNull()).distinct()
+    counts = seen.groupBy("customer_id").agg(*[F.count_if(F.col("name") == name).alias(name) for name in distinct])
+    # One row of either kind for each customer: nulls are left out of the greatest value.
+    both = sums.unionByName(counts, allowMissingColumns=True)
+    return both.groupBy("customer_id").agg(*[F.max(c).alias(c) for c in sums.columns if c != "customer_id"])
 
 
 def customer_profiles(
