@@ -1,3 +1,6 @@
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +163,40 @@ def test_a_batch_touches_only_the_state_of_its_keys(spark, folder):
         assert touched and all(updated <= 4 and total >= 5001 for updated, total in touched)
 
 
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for name in blocks.mkString(",").split(",") if name.startswith("shuffle_")}
+
+
+def test_a_micro_batch_leaves_no_shuffle_files(spark, folder):
+    """Also where what it changed is read more than once."""
+    rows = spark.range(2000).select((F.col("id") % 700).alias("id"), F.col("id").alias("seq"), F.lit("a").alias("a"))
+    feed = Feed(spark, folder, rows.schema)
+    for i in range(4):
+        feed.deliver(rows.filter(F.col("seq") % 4 == i))
+    before, seen = shuffle_files(spark), []
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"])
+    drain(upsert.start(publish=lambda changed, _: seen.append((changed.count(), changed.distinct().count(), len(changed.collect())))))
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert len(seen) == 4 and all(a == b == c for a, b, c in seen) and not left
+    assert upsert.table().count() == 700
+
+
+def test_keyed_state_takes_little_disk(spark, folder):
+    """Bytes for a row of forty columns, in the checkpoint and in RocksDB."""
+    rows = spark.range(0, 4000, 1, 1).select(
+        "id", F.col("id").alias("seq"), *[F.concat(F.lit(f"value {i} "), F.col("id") % 50).alias(f"c{i}") for i in range(40)])
+    feed = Feed(spark, folder, rows.schema)
+    feed.deliver(rows)
+    upsert = Scd1Stream(feed.stream(), folder, ["id"], ["seq"])
+    upsert.run()
+    logged = sum(path.stat().st_size for path in Path(f"{folder}/checkpoint/state").rglob("*.changelog"))
+    assert 0 < logged < 100 * 4000
+    assert upsert.table().exceptAll(rows).count() == 0 and upsert.table().count() == 4000
+
+
 def test_scd1_stream_with_deletes_equals_batch(spark, folder):
     rows = spark.range(300).select(
         F.concat(F.lit("k"), (F.col("id") % 7).cast("string")).alias("id"), F.col("id").alias("seq"),
