@@ -1,10 +1,12 @@
 import random
+from functools import reduce
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from veriflux.operators.cdc import changed, current_rows, drop_duplicates, merge_winners, scd1, scd2, winners
+from veriflux.operators.cdc import apart, changed, current_rows, drop_duplicates, merge_winners, neighbours, scd1, scd2, winners
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
 
 CHANGE = "id string, seq int, a string, b string, gone boolean"
@@ -141,3 +143,23 @@ def test_hot_histories_without_copies_save_the_shuffle_that_merges_copies(spark)
         hot, plain = (scd2(given, ["id"], ["seq"], ["a", "b"], policy, F.col("gone")) for policy in (ALWAYS_HOT, NEVER_HOT))
         assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
     assert "_tracked" not in hot._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("ignore_nulls", [True, False])
+def test_columns_kept_together_come_apart_as_each_on_its_own(spark, ignore_nulls):
+    """Sequences that repeat or are null, nulls in any column, deletes; merged from four parts."""
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 9 != 4, F.col("id") % 9).alias("k"), F.when(F.col("id") % 31 != 2, F.pmod(F.xxhash64("id"), F.lit(20))).alias("seq"),
+        *[F.when(F.pmod(F.xxhash64("id", F.lit(c)), F.lit(4)) != 0, F.pmod(F.xxhash64(F.lit(c), "id"), F.lit(5))).alias(c) for c in "abcdef"],
+        F.col("id").cast("string").alias("_run"), (F.col("id") % 23 == 5).alias("gone"))
+    columns = [*"abcdef", "_run"]
+    options = dict(ignore_nulls=ignore_nulls, delete_when=F.col("gone"))
+    together = neighbours(columns, size=3)
+    assert together == [["a", "b", "c"], ["d", "e", "f"]] and neighbours(columns, unique_sequence=True) == []
+    alone = winners(rows, ["k"], ["seq"], columns, **options)
+    parts = [winners(rows.filter(F.pmod("seq", F.lit(4)).eqNullSafe(i)), ["k"], ["seq"], columns, **options, together=together) for i in (3, None, 0, 2, 1)]
+    merged = reduce(lambda a, b: merge_winners(a.unionByName(b), ["k"]), parts)
+    found = apart(merged, together)
+    assert found.columns == alone.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, alone.collect()))
+    assert sorted(map(str, current_rows(found, ["k"]).collect())) == sorted(map(str, current_rows(alone, ["k"]).collect()))

@@ -12,6 +12,10 @@ from veriflux.functions.hashing import null_safe_hash
 from veriflux.operators.ordered import OrderedRows, SkewPolicy
 
 
+# Names what columns of merged winners share.
+TOGETHER = "_together_"
+
+
 def business(columns: Sequence[str]) -> list[str]:
     """Columns that describe the record; those that start with an underscore describe the run."""
     return [c for c in columns if not c.startswith("_")]
@@ -27,27 +31,51 @@ def _rank(keys: Sequence[str], sequence: Sequence[str], columns: Sequence[str],
 
 def winners(
     changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], columns: Sequence[str],
-    ignore_nulls: bool = True, delete_when: Column | None = None, unique_sequence: bool = False,
+    ignore_nulls: bool = True, delete_when: Column | None = None, unique_sequence: bool = False, together: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Per key and column the struct (seq, value) with the highest sequence.
 
     max over structs is associative, so these partial states merge in any order: over map tasks, over
-    micro-batches, and over late records.
+    micro-batches, and over late records. Columns that are `together` share a struct and its sequence, as far as
+    records have values in all of them; `apart` undoes it.
     """
     deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     rows = changes.withColumns({"_seq": _rank(keys, sequence, columns, unique_sequence), "_deleted": deleted})
     live = ~F.col("_deleted")
+    whole = [reduce(Column.__and__, [F.col(c).isNotNull() if ignore_nulls else F.lit(True) for c in group]) for group in together]
+    alone = {c: ~is_whole for group, is_whole in zip(together, whole, strict=True) for c in group}
     return rows.groupBy(*keys).agg(
         F.max(F.when(live, F.col("_seq"))).alias("_live"),
         F.max(F.when(~live, F.col("_seq"))).alias("_gone"),
         *[
-            F.max(F.when(live & (F.col(c).isNotNull() if ignore_nulls else F.lit(True)),
+            F.max(F.when(live & alone.get(c, F.lit(True)) & (F.col(c).isNotNull() if ignore_nulls else F.lit(True)),
                          F.struct(F.col("_seq").alias("seq"), F.col(c).alias("value")))).alias(c)
             for c in columns
         ],
+        *[
+            F.max(F.when(live & is_whole, F.struct(F.col("_seq").alias("seq"), F.struct(*group).alias("value")))).alias(f"{TOGETHER}{i}")
+            for i, (group, is_whole) in enumerate(zip(together, whole, strict=True))
+        ],
     )
 
 
+def neighbours(columns: Sequence[str], unique_sequence: bool = False, size: int = 8) -> list[list[str]]:
+    """Columns that `winners` may keep together. Records of equal rank have to agree in them: the hash that decides between
+    equal sequences covers the business columns; where a sequence is only promised to be unique, there are none."""
+    covered = [] if unique_sequence else business(columns)
+    return [covered[i : i + size] for i in range(0, len(covered), size)]
+
+
+def apart(state: DataFrame, together: Sequence[Sequence[str]]) -> DataFrame:
+    """Merged winners with a struct for each column."""
+    shared = {c: F.col(f"{TOGETHER}{i}") for i, group in enumerate(together) for c in group}
+    return state.select(*[
+        F.greatest(F.col(c), F.when(shared[c].isNotNull(), F.struct(shared[c]["seq"].alias("seq"), shared[c]["value"][c].alias("value")))).alias(c)
+        if c in shared else F.col(c)
+        for c in state.columns if not c.startswith(TOGETHER)
+    ])
+
+
 def merge_winners(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
     return partials.groupBy(*keys).agg(*[F.max(c).alias(c) for c in partials.columns if c not in keys])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
-from veriflux.operators.cdc import change_rows, current_rows, history_rows, versions, winners
+from veriflux.operators.cdc import apart, change_rows, current_rows, history_rows, neighbours, versions, winners
 from veriflux.operators.ordered import SkewPolicy
 from veriflux.streaming.keyed import Versions, as_micros, as_times
 from veriflux.streaming.run import drain, keyed_state, state_rows, to_batches, watermarked
@@ -18,7 +18,8 @@ from veriflux.streaming.run import drain, keyed_state, state_rows, to_batches, w
 
 class Scd1Stream:
     """Current rows per key, in any order of arrival: a running aggregate that keeps, per column, the value with the highest
-    sequence. Changes of a key are merged before they are shuffled, so a hot key costs a row per task."""
+    sequence. Changes of a key are merged before they are shuffled, so a hot key costs a row per task. Unless the sequence is
+    promised to be unique, columns next to each other share its place in the state where records have values in all of them."""
 
     def __init__(
         self,
@@ -33,14 +34,15 @@ class Scd1Stream:
     ):
         columns = [c for c in changes.columns if c not in {*keys, *exclude}]
         self.spark, self.keys, self.path = changes.sparkSession, list(keys), path
-        self.merged = winners(changes, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence)
+        self.together = neighbours(columns, unique_sequence)
+        self.merged = winners(changes, keys, sequence, columns, ignore_null_updates, delete_when, unique_sequence, self.together)
 
     def start(self, every: str | None = None, publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
         """`publish` gets the current rows of the keys that a micro-batch changed, deleted ones left out; after a lost
         driver the last micro-batch may come again under its number."""
 
         def changed(batch: DataFrame, batch_id: int) -> None:
-            rows = current_rows(batch, self.keys)
+            rows = current_rows(apart(batch, self.together), self.keys)
             publish(rows, batch_id) if publish else rows.write.format("noop").mode("overwrite").save()
 
         return to_batches(self.merged, changed, f"{self.path}/checkpoint", every, "update")
@@ -57,7 +59,7 @@ class Scd1Stream:
         buffers = "struct<" + ",".join(f"`{c}`:{names[c].dataType.simpleString()}" for c in names.names[len(self.keys) :]) + ">"
         keys = [F.col("key")[k].alias(k) for k in self.keys]
         merged = state.select(*keys, F.col("value").cast(buffers).alias("value")).select(*self.keys, "value.*")
-        return current_rows(merged, self.keys)
+        return current_rows(apart(merged, self.together), self.keys)
 
 
 class Scd2Stream:

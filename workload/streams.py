@@ -79,7 +79,7 @@ def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
 def live_path(spark: SparkSession, sf: str) -> DataFrame:
     """Messages to alerts, with what became of the other messages: current transactions and dead letters."""
     folder = shared_dir(spark, "live")
-    inputs.envelopes(spark, sf).write.parquet(f"{folder}/in")
+    inputs.envelopes(spark, sf).write.option("compression", FEED_CODEC).parquet(f"{folder}/in")
     live = LivePath(bus.replay(spark, f"{folder}/in"), folder, PARAMS)
     live.run()
     alert = live.alerts().select("transaction_id", F.lit("alert").alias("output"), F.col("alert_severity").alias("detail"))
